@@ -12,40 +12,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodegraph.functions.json import items, members, nesting
+
 #: Members whose object entries are rows of the flat tables.
 ENTRY_MEMBERS = ("codeVertices", "dataVertices", "edges", "children", "declarationFacts", "args", "handler_bindings")
 
 _NODE = "struct<path:string,parent_path:string,owner:string,member:string,is_row:boolean,v:variant>"
 
 
-def _items(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
-
-
-def _members(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>")
-
-
 def _node(path: Column, parent: Column, member: Column, is_row: Column, v: Column) -> Column:
     """owner: the path that children of this node name as their parent."""
     return F.struct(path.alias("path"), parent.alias("parent_path"), F.when(is_row, path).otherwise(parent).alias("owner"), member.alias("member"), is_row.alias("is_row"), v.alias("v"))
 
 
-def _level(n: Column, members: tuple[str, ...]) -> Column:
+def _level(n: Column, names: tuple[str, ...]) -> Column:
     """The containers one object level below node `n`."""
     of_object = F.flatten(
         F.transform(
-            F.map_entries(F.coalesce(_members(n["v"]), F.create_map().cast("map<string,variant>"))),
+            F.map_entries(F.coalesce(members(n["v"]), F.create_map().cast("map<string,variant>"))),
             lambda e: F.flatten(
                 F.array(
                     F.transform(
-                        F.coalesce(_items(e["value"]), F.array().cast("array<variant>")),
-                        lambda x, i: _node(F.concat_ws(".", n["path"], e["key"], i.cast("string")), n["owner"], e["key"], e["key"].isin(*members) & _members(x).isNotNull(), x),
+                        F.coalesce(items(e["value"]), F.array().cast("array<variant>")),
+                        lambda x, i: _node(F.concat_ws(".", n["path"], e["key"], i.cast("string")), n["owner"], e["key"], e["key"].isin(*names) & members(x).isNotNull(), x),
                     ),
                     F.when(
-                        _members(e["value"]).isNotNull(),
+                        members(e["value"]).isNotNull(),
                         F.array(
-                            F.when(e["key"].isin(*members), _node(F.concat_ws(".", n["path"], e["key"], F.lit("0")), n["owner"], e["key"], F.lit(True), e["value"]))
+                            F.when(e["key"].isin(*names), _node(F.concat_ws(".", n["path"], e["key"], F.lit("0")), n["owner"], e["key"], F.lit(True), e["value"]))
                             .otherwise(_node(F.concat_ws(".", n["path"], e["key"]), n["owner"], e["key"], F.lit(False), e["value"]))
                         ),
                     ).otherwise(F.array().cast(f"array<{_NODE}>")),
@@ -54,28 +48,13 @@ def _level(n: Column, members: tuple[str, ...]) -> Column:
         )
     )
     # An array right within an array: its entries lie on the path, but belong to no member.
-    of_array = F.transform(F.coalesce(_items(n["v"]), F.array().cast("array<variant>")), lambda x, i: _node(F.concat_ws(".", n["path"], i.cast("string")), n["owner"], n["member"], F.lit(False), x))
+    of_array = F.transform(F.coalesce(items(n["v"]), F.array().cast("array<variant>")), lambda x, i: _node(F.concat_ws(".", n["path"], i.cast("string")), n["owner"], n["member"], F.lit(False), x))
     below = F.concat(of_object, of_array)
-    return F.filter(below, lambda x: _members(x["v"]).isNotNull() | _items(x["v"]).isNotNull())
-
-
-def _depth(json: Column) -> Column:
-    """Nesting of objects and arrays in JSON text, strings left out."""
-    marks = F.regexp_replace(F.regexp_replace(json, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]+", "")
-    marks = F.translate(marks, "{}", "[]")
-    return F.aggregate(
-        F.split(marks, ""),
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda s, c: F.struct(
-            (s["now"] + F.when(c == "[", 1).when(c == "]", -1).otherwise(0)).alias("now"),
-            F.greatest(s["most"], s["now"] + F.when(c == "[", 1).otherwise(0)).alias("most"),
-        ),
-        lambda s: s["most"],
-    )
+    return F.filter(below, lambda x: members(x["v"]).isNotNull() | items(x["v"]).isNotNull())
 
 
-def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], members: tuple[str, ...] = ENTRY_MEMBERS) -> DataFrame:
-    """(key, path, parent_path, member, node_id, json) of every object that is an entry of `members`.
+def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], names: tuple[str, ...] = ENTRY_MEMBERS) -> DataFrame:
+    """(key, path, parent_path, member, node_id, json) of every object that is an entry of `names`.
 
     columns: JSON column -> its member name at the root. Null, empty and malformed columns, and columns
     that hold no array or object, give no rows; null entries keep their position but are no rows. Exact
@@ -83,21 +62,21 @@ def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], members: tupl
     key_rows = df.select(F.col(key).alias("_key"), F.explode(F.array(*[F.struct(F.lit(m).alias("member"), F.col(c).alias("json")) for c, m in columns.items()])).alias("_c"))
     texts = key_rows.select("_key", "_c.*").filter("json is not null and trim(json) <> ''").dropDuplicates(["_key", "member", "json"])
     roots = texts.select("_key", "member", F.try_parse_json("json").alias("v")).filter("v is not null")
-    entries = F.coalesce(_items(F.col("v")), F.when(_members(F.col("v")).isNotNull(), F.array("v")), F.array().cast("array<variant>"))
+    entries = F.coalesce(items(F.col("v")), F.when(members(F.col("v")).isNotNull(), F.array("v")), F.array().cast("array<variant>"))
     top = roots.select("_key", "member", F.posexplode(entries).alias("pos", "v"))
     # A few records hold most entries: spread the entries, not the records.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = top.filter(_members(F.col("v")).isNotNull() | _items(F.col("v")).isNotNull()).repartition(n, F.xxhash64("_key", "member", "pos"))
+    top = top.filter(members(F.col("v")).isNotNull() | items(F.col("v")).isNotNull()).repartition(n, F.xxhash64("_key", "member", "pos"))
     path = F.concat_ws(".", "member", F.col("pos").cast("string"))
-    first = _node(path, F.lit(""), F.col("member"), F.col("member").isin(*members) & _members(F.col("v")).isNotNull(), F.col("v"))
+    first = _node(path, F.lit(""), F.col("member"), F.col("member").isin(*names) & members(F.col("v")).isNotNull(), F.col("v"))
     walked = F.aggregate(
         F.sequence(F.lit(1), F.col("depth")),
         F.struct(F.array("node").alias("now"), F.array(F.array("node")).alias("all")),
-        lambda s, _: F.transform(F.array(F.flatten(F.transform(s["now"], lambda n: _level(n, members)))), lambda nxt: F.struct(nxt.alias("now"), F.concat(s["all"], F.array(nxt)).alias("all")))[0],
+        lambda s, _: F.transform(F.array(F.flatten(F.transform(s["now"], lambda n: _level(n, names)))), lambda nxt: F.struct(nxt.alias("now"), F.concat(s["all"], F.array(nxt)).alias("all")))[0],
         lambda s: F.filter(F.flatten(s["all"]), lambda n: n["is_row"]),
     )
     return (
-        top.select("_key", F.greatest(_depth(F.to_json("v")), F.lit(1)).alias("depth"), first.alias("node"))
+        top.select("_key", F.greatest(nesting(F.to_json("v")), F.lit(1)).alias("depth"), first.alias("node"))
         .select("_key", F.inline(walked))
         .select(
             F.col("_key").alias(key),
