@@ -39,6 +39,8 @@ SAMPLE_DOCUMENTS, SAMPLE_WORDS = 400, 20_000
 LONGEST_GRAM = 5
 #: Score differences of one word are limited to this many nats, as labels of the sample may be wrong.
 WORD_RANGE = 6.0
+#: The same for a word known only by its n-grams.
+GRAM_RANGE = 3.0
 #: Words a sentence of natural language has at least, and Japanese characters.
 LEAST_WORDS, LEAST_KANA = 3, 4
 #: A sentence whose best language is ahead by less than this many nats follows its neighbours.
@@ -137,7 +139,7 @@ class Model:
             found = [v for i in range(len(marked) - size + 1) if (v := self.grams[size].get(marked[i : i + size])) is not None]
             if found:
                 v = sum(found) / math.sqrt(len(found))
-                return np.maximum(v - v.max(), -WORD_RANGE)
+                return np.maximum(v - v.max(), -GRAM_RANGE)
         return np.zeros(len(self.languages), dtype=np.float32)
 
 
