@@ -185,6 +185,8 @@ class Identifier:
 
     def segments(self, texts: list[str | None]) -> list[list[tuple[int, float, int, int]]]:
         """Per text, its segments: (language index, confidence, sentences, words)."""
+        if not self.model.words:
+            return [[] for _ in texts]
         if len(self.vectors) > 400_000:
             self.ids, self.vectors = {}, []
         flat: list[int] = []
@@ -240,7 +242,8 @@ _IDENTIFIERS: dict[str, Identifier] = {}
 def with_segments(df: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
     """(key, label_lang, seg_no, lang, confidence, sentences, words) of every segment of every text.
 
-    Null and blank texts, and those without a sentence of natural language, have no rows."""
+    Null and blank texts, and those without a sentence of natural language, have no rows; nor has any
+    text under a model that was fitted on nothing."""
     packed = pickle.dumps(model)
     shared, name = df.sparkSession.sparkContext.broadcast(packed), hashlib.sha1(packed).hexdigest()
     languages = model.languages
