@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodegraph.session import cut
+
 #: Terms of the evaluator and of the index, and the parameters of Okapi BM25.
 QUERY_TERM, INDEX_TERM = "[A-Za-z][A-Za-z0-9_-]{1,}", "[A-Za-z][A-Za-z0-9_-]{2,}"
 K1, B = 1.2, 0.75
@@ -21,10 +23,22 @@ def terms(text: str | Column, pattern: str = QUERY_TERM) -> Column:
     return F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.upper)
 
 
-def postings(docs: DataFrame, key: str, text: str, pattern: str = QUERY_TERM) -> DataFrame:
-    """(key, term, tf, n_terms): one row per document and term."""
+def query_terms(queries: DataFrame, query: str, text: str) -> DataFrame:
+    """(query, term), distinct."""
+    return queries.select(query, F.explode(F.array_distinct(terms(text))).alias("term"))
+
+
+def postings(docs: DataFrame, key: str, text: str, pattern: str = QUERY_TERM, only: DataFrame | None = None) -> DataFrame:
+    """(key, term, tf, n_terms): one row per document and term.
+
+    only: a table of terms; others are dropped before anything is shuffled, and since ranking reads the
+    rest twice, it is cut from its lineage."""
     d = docs.select(key, terms(text, pattern).alias("_t"))
-    return d.select(key, F.size("_t").alias("n_terms"), F.explode("_t").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_terms").alias("n_terms"))
+    d = d.select(key, F.size("_t").alias("n_terms"), F.explode("_t").alias("term"))
+    if only is not None:
+        kept = d.join(only.select("term").distinct(), "term", "left_semi")
+        return cut(kept.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_terms").alias("n_terms")))
+    return d.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_terms").alias("n_terms"))
 
 
 def document_frequency(post: DataFrame) -> DataFrame:
@@ -37,7 +51,7 @@ def index_statistics(docs: DataFrame, text: str, pattern: str = INDEX_TERM) -> D
 
 
 def _matched(post: DataFrame, queries: DataFrame, query: str, text: str, docs: DataFrame) -> DataFrame:
-    q = queries.select(query, F.explode(F.array_distinct(terms(text))).alias("term"))
+    q = query_terms(queries, query, text)
     df = document_frequency(post).join(q.select("term").distinct(), "term", "left_semi")
     total = docs.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n_docs"))
     return q.join(df, "term").join(post, "term").crossJoin(F.broadcast(total))  # one row

@@ -43,8 +43,9 @@ def _queries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    return r.top_k(r.tf_idf(r.postings(docs, "doc_id", "text"), _queries(spark, sf), "qid", "qtext", "doc_id", docs), "qid", "doc_id", 5)
+    docs, q = documents(spark, sf), _queries(spark, sf)
+    post = r.postings(docs, "doc_id", "text", only=r.query_terms(q, "qid", "qtext"))
+    return r.top_k(r.tf_idf(post, q, "qid", "qtext", "doc_id", docs), "qid", "doc_id", 5)
 
 
 @query(_POST + "SELECT term, df, cf FROM df")
@@ -64,9 +65,9 @@ def tfidf_top5(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_POST + ", rb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id) AS rank FROM bm) WHERE rank <= 5) SELECT qid, doc_id, round(score, 6) AS score, rank FROM rb")
 def bm25_top5(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
+    docs, q = documents(spark, sf), _queries(spark, sf)
     length = docs.select(F.size(r.terms("text")).alias("n")).agg(F.avg("n").alias("avg_len"))
-    scored = r.bm25(r.postings(docs, "doc_id", "text"), _queries(spark, sf), "qid", "qtext", "doc_id", docs, length)
+    scored = r.bm25(r.postings(docs, "doc_id", "text", only=r.query_terms(q, "qid", "qtext")), q, "qid", "qtext", "doc_id", docs, length)
     return r.top_k(scored, "qid", "doc_id", 5).select("qid", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
