@@ -179,10 +179,10 @@ def merge_small(df: DataFrame, by: list[str], order: list[Column], size: str, le
 def prefix_join(left: DataFrame, right: DataFrame, name: str, key: str) -> DataFrame:
     """Left rows with the right key they equal, else the least right key that starts with the name.
 
-    Prefixes are joined by equality: every right key is exploded to its prefixes of the lengths that left
-    names have, so no pair of rows is compared that does not match."""
-    lengths = left.select(F.length(name).alias("n")).filter("n > 0").distinct()
-    r = right.select(F.upper(key).alias("k"), F.col(key).alias("right_key")).distinct()
-    pre = r.join(lengths, F.length("k") >= F.col("n")).select(F.substring("k", F.lit(1), F.col("n")).alias("p"), "k", "right_key")
+    Prefixes are joined by equality: every right key is exploded to its prefixes, and only those that are
+    a left name are kept, so no pair of rows is compared that does not match."""
+    r = right.select(F.upper(key).alias("k"), F.col(key).alias("right_key")).filter("k <> ''").distinct()
+    pre = r.select("k", "right_key", F.explode(F.transform(F.sequence(F.lit(1), F.length("k")), lambda n: F.substring(F.col("k"), F.lit(1), n))).alias("p"))
+    pre = pre.join(left.select(F.upper(name).alias("p")).distinct(), "p", "left_semi")
     best = pre.groupBy("p").agg(F.min(F.struct((F.col("k") != F.col("p")).alias("is_prefix"), "right_key")).alias("m"))
     return left.join(best, F.upper(name) == best.p, "left").select(*left.columns, F.col("m.right_key").alias("right_key"), F.when(F.col("m").isNull(), "none").when(F.col("m.is_prefix"), "prefix").otherwise("exact").alias("match"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Distinct edges that one graph may have in the operators of this module.
@@ -307,20 +307,23 @@ def reaching_conditions(edges: DataFrame) -> DataFrame:
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """(name, is_clean): a procedure range is clean if no other range of its program crosses it.
-
-    Ranges [first, last] of one program nest or are apart unless one starts inside another and ends
-    behind it. Sorted by start, a range is crossed from before iff an earlier one ends within it; both
-    sides are running maxima over the program's ranges."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("program").orderBy("first", F.desc("last"), "name").rowsBetween(Window.unboundedPreceding, -1)
-    ends = F.array_sort(F.collect_list("last").over(w))
-    crossed = F.exists(ends, lambda e: (e >= F.col("first")) & (e < F.col("last")))
-    v = Window.partitionBy("program").orderBy("first", F.desc("last"), "name").rowsBetween(1, Window.unboundedFollowing)
-    later = F.collect_list(F.struct("first", "last")).over(v)
-    crosses = F.exists(later, lambda r: (r["first"] <= F.col("last")) & (r["last"] > F.col("last")))
-    return ranges.select("program", "name", (~(crossed | crosses)).alias("is_clean"))
+    """(program, name, is_clean): a procedure range is clean if no other range of its program crosses it.
+
+    Ranges [first, last] nest or are apart unless one starts inside another and ends behind it. A range is
+    clean iff the ranges that start within it are the ranges that end within it; the two sets are compared
+    by the exclusive or of their hashes, which running totals give, so ranges are never paired."""
+    r = ranges.withColumn("h", F.xxhash64("name", "first", "last"))
+    own = Window.partitionBy("program").orderBy("first", F.desc("last")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    r = r.withColumn("started", F.bit_xor("h").over(own))
+    event = lambda pos, rank, start, end, ask: F.struct(F.col(pos).cast("long").alias("pos"), F.lit(rank).alias("rank"), (F.col("h") if start else F.lit(0).cast("long")).alias("s"), (F.col("h") if end else F.lit(0).cast("long")).alias("e"), F.lit(ask).alias("ask"))
+    # At one position: starts count before the question at a range's end, ends after both questions.
+    events = F.array(event("first", 0, True, False, None), event("first", 1, False, False, "first"), event("last", 1, False, False, "last"), event("last", 2, False, True, None))
+    line = Window.partitionBy("program").orderBy("pos", "rank").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    e = r.select("program", "name", "first", "last", "started", F.inline(events)).withColumns({"xs": F.bit_xor("s").over(line), "xe": F.bit_xor("e").over(line)}).filter("ask is not null")
+    at = lambda c, which: F.max(F.when(F.col("ask") == which, F.col(c)))
+    g = e.groupBy("program", "name", "first", "last", "started").agg(at("xs", "last").alias("s2"), at("xe", "last").alias("e2"), at("xe", "first").alias("e1"))
+    starts, ends = F.col("s2").bitwiseXOR(F.col("started")), F.col("e2").bitwiseXOR(F.col("e1"))
+    return g.select("program", "name", (starts == ends).alias("is_clean"))
 
 
 def edit_distance(a: list[tuple[int, str]], b: list[tuple[int, str]], edit: int = 5, relabel: int = 1) -> int:

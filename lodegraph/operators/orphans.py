@@ -51,40 +51,39 @@ def _parent_events(parents: DataFrame) -> DataFrame:
     )
 
 
+def running_totals(points: DataFrame, moves: DataFrame, values: list[str], period: str = SNAPSHOT_PERIOD, inclusive: bool = True) -> DataFrame:
+    """Points (key, ts, point) with the totals of the moves (key, ts, values) of their key up to their time.
+
+    inclusive: a move at the very time of a point counts. The totals are snapshotted at the start of every
+    period in which a key has points; (key, period) is what one task works on, and only one pre-aggregated
+    row per key and period enters the running totals of the key's whole timeline."""
+    bucket: Column = F.date_trunc(period, F.coalesce("ts", F.timestamp_seconds(F.lit(-62135596800))))
+    zero = [F.lit(0).cast("long").alias(v) for v in values]
+    kind = points.schema["point"].dataType
+    events = moves.select("key", "ts", F.lit(1).alias("rank"), *[F.col(v).cast("long").alias(v) for v in values], F.lit(None).cast(kind).alias("point")).unionByName(
+        points.select("key", "ts", F.lit(2 if inclusive else 0).alias("rank"), *zero, "point")
+    )
+    events = events.withColumn("bucket", bucket)
+    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per = events.groupBy("key", "bucket").agg(*[F.sum(v).alias(v) for v in values], F.count("point").alias("n_points"))
+    snapshots = per.select("key", "bucket", "n_points", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"snap_{v}") for v in values]).filter("n_points > 0").drop("n_points")
+    w = Window.partitionBy("key", "bucket").orderBy("ts", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    inside = events.withColumns({f"in_{v}": F.sum(v).over(w) for v in values}).filter("point is not null")
+    return inside.join(snapshots, ["key", "bucket"]).select("key", "ts", "point", *[(F.col(f"snap_{v}") + F.col(f"in_{v}")).alias(v) for v in values])
+
+
 def probe(refs: DataFrame, parents: DataFrame, period: str = SNAPSHOT_PERIOD) -> DataFrame:
     """Every reference with its state: refs' columns + n_known, n_arrived, n_live.
 
     parents: key, arrived, gone. refs: at least key and at. A null time of a reference sees nothing
     arrived; a record without arrival time is known but never arrives. Columns of `refs` besides key and
     at pass through unchanged, whatever their names, as they travel in one struct."""
-    bucket: Column = F.date_trunc(period, F.coalesce("ts", F.timestamp_seconds(F.lit(-62135596800))))
-    r = refs.select("key", F.col("at").alias("ts"), F.struct(*refs.columns).alias("ref"))
+    points = refs.select("key", F.col("at").alias("ts"), F.struct(*refs.columns).alias("point"))
     known = parents.groupBy("key").agg(F.count(F.lit(1)).alias("n_known"))
-    moves = _parent_events(parents).withColumn("bucket", bucket)
-    events = moves.select("key", "bucket", "ts", F.lit(0).alias("rank"), "d_arrived", "d_live", F.lit(None).cast(r.schema["ref"].dataType).alias("ref")).unionByName(
-        r.select("key", bucket.alias("bucket"), "ts", F.lit(1).alias("rank"), F.lit(0).cast("long").alias("d_arrived"), F.lit(0).cast("long").alias("d_live"), "ref")
-    )
-    # The snapshot a period starts from: one row per key and period enters the running total of its key.
-    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    snapshots = (
-        events.groupBy("key", "bucket")
-        .agg(F.sum("d_arrived").alias("a"), F.sum("d_live").alias("l"), F.count("ref").alias("n_refs"))
-        .withColumns({"snap_arrived": F.coalesce(F.sum("a").over(before), F.lit(0)), "snap_live": F.coalesce(F.sum("l").over(before), F.lit(0))})
-        .filter("n_refs > 0")
-        .select("key", "bucket", "snap_arrived", "snap_live")
-    )
-    # Within its period a reference sees the moves up to and with its own instant.
-    w = Window.partitionBy("key", "bucket").orderBy("ts", "rank").rowsBetween(Window.unboundedPreceding, 0)
-    inside = events.withColumns({"in_arrived": F.sum("d_arrived").over(w), "in_live": F.sum("d_live").over(w)}).filter("ref is not null")
-    return (
-        inside.join(snapshots, ["key", "bucket"])
-        .join(known, "key", "left")
-        .select(
-            "ref.*",
-            F.coalesce("n_known", F.lit(0)).alias("n_known"),
-            F.when(F.col("ts").isNotNull(), F.col("snap_arrived") + F.col("in_arrived")).otherwise(0).alias("n_arrived"),
-            F.when(F.col("ts").isNotNull(), F.col("snap_live") + F.col("in_live")).otherwise(0).alias("n_live"),
-        )
+    seen = running_totals(points, _parent_events(parents), ["d_arrived", "d_live"], period)
+    at_all = F.col("ts").isNotNull()
+    return seen.join(known, "key", "left").select(
+        "point.*", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.when(at_all, F.col("d_arrived")).otherwise(0).alias("n_arrived"), F.when(at_all, F.col("d_live")).otherwise(0).alias("n_live")
     )
 
 
@@ -112,34 +111,26 @@ def orphan_counts(orphans: DataFrame) -> DataFrame:
     return orphans.groupBy("ref_table", "period", "reason").agg(F.count(F.lit(1)).alias("n_orphans"))
 
 
-def pending_by_month(refs: DataFrame, parents: DataFrame) -> DataFrame:
+def pending_by_month(refs: DataFrame, parents: DataFrame, period: str = SNAPSHOT_PERIOD) -> DataFrame:
     """Snapshots of the pending orphans: references opened, resolved, reopened and still pending per month.
 
     A reference opens when it finds no live record at its time, is resolved when a record of its key
-    comes to life and reopened when the last live one goes. The key's state changes are counted with the
-    number of references made before them, so no reference meets another one. Null times are left out."""
+    comes to life and reopened when the last live one goes. A change of a key's state counts the references
+    made before it by running totals, so no reference meets another one. Null times are left out."""
+    timed = refs.filter("at is not null")
+    opened = probe(timed, parents, period).filter("n_live <= 0").groupBy("ref_table", F.date_format("at", "yyyy-MM").alias("period")).agg(F.count(F.lit(1)).alias("opened"))
     moves = _parent_events(parents)
-    r = refs.filter("at is not null").groupBy("key", "ref_table", F.col("at").alias("ts")).agg(F.count(F.lit(1)).alias("n_ref"))
     line = Window.partitionBy("key").orderBy("ts")
     state = moves.withColumn("live", F.sum("d_live").over(line.rowsBetween(Window.unboundedPreceding, 0))).withColumn("was", F.coalesce(F.lag("live").over(line), F.lit(0)))
-    flips = state.filter("(live > 0) <> (was > 0)").select("key", "ts", F.when(F.col("live") > 0, 1).otherwise(-1).alias("flip"))
-    tables = r.select("key", "ref_table").distinct()
-    e = flips.join(tables, "key").select("key", "ref_table", "ts", F.lit(0).alias("rank"), "flip", F.lit(0).cast("long").alias("n_ref")).unionByName(
-        r.select("key", "ref_table", "ts", F.lit(1).alias("rank"), F.lit(None).cast("int").alias("flip"), "n_ref")
-    )
-    w = Window.partitionBy("key", "ref_table").orderBy("ts", "rank")
-    e = e.withColumns(
-        {
-            "made": F.coalesce(F.sum("n_ref").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "live": F.last("flip", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        }
-    )
-    opened = F.when(F.col("flip").isNull() & (F.coalesce("live", F.lit(-1)) < 0), F.col("n_ref")).otherwise(0)
-    # The first flip of a key can only bring it to life: its references were opened on arrival.
-    per = e.groupBy("ref_table", F.date_format("ts", "yyyy-MM").alias("period")).agg(
-        F.sum(opened).alias("opened"),
-        F.sum(F.when(F.col("flip") > 0, F.col("made")).otherwise(0)).alias("resolved"),
-        F.sum(F.when(F.col("flip") < 0, F.col("made")).otherwise(0)).alias("reopened"),
+    flips = state.filter("(live > 0) <> (was > 0)").select("key", "ts", (F.col("live") > 0).alias("lives"))
+    # The totals are kept per key and referring table.
+    made = timed.groupBy("key", "ref_table", F.col("at").alias("ts")).agg(F.count(F.lit(1)).alias("n"))
+    both = F.concat_ws("|", "ref_table", "key").alias("key")
+    points = flips.join(made.select("key", "ref_table").distinct(), "key").select(both, "ts", F.struct("ref_table", "lives").alias("point"))
+    changed = running_totals(points, made.select(both, "ts", "n"), ["n"], period, inclusive=False)
+    turned = changed.groupBy("point.ref_table", F.date_format("ts", "yyyy-MM").alias("period")).agg(
+        F.sum(F.when(F.col("point.lives"), F.col("n")).otherwise(0)).alias("resolved"), F.sum(F.when(F.col("point.lives"), 0).otherwise(F.col("n"))).alias("reopened")
     )
+    per = opened.join(turned, ["ref_table", "period"], "full_outer").na.fill(0, ["opened", "resolved", "reopened"])
     run = Window.partitionBy("ref_table").orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     return per.withColumn("pending", F.sum(F.col("opened") - F.col("resolved") + F.col("reopened")).over(run))

@@ -53,8 +53,8 @@ def index_statistics(docs: DataFrame, text: str, pattern: str = INDEX_TERM) -> D
 def _matched(post: DataFrame, queries: DataFrame, query: str, text: str, docs: DataFrame) -> DataFrame:
     q = query_terms(queries, query, text)
     df = document_frequency(post).join(q.select("term").distinct(), "term", "left_semi")
-    total = docs.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n_docs"))
-    return q.join(df, "term").join(post, "term").crossJoin(F.broadcast(total))  # one row
+    total = docs.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    return q.join(df, "term").join(post, "term").withColumn("n_docs", total)
 
 
 def tf_idf(post: DataFrame, queries: DataFrame, query: str, text: str, key: str, docs: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def tf_idf(post: DataFrame, queries: DataFrame, query: str, text: str, key: str,
 
 def bm25(post: DataFrame, queries: DataFrame, query: str, text: str, key: str, docs: DataFrame, length: DataFrame) -> DataFrame:
     """(query, key, score) by Okapi BM25; length: one row with avg_len."""
-    m = _matched(post, queries, query, text, docs).crossJoin(F.broadcast(length))  # one row
+    m = _matched(post, queries, query, text, docs).withColumn("avg_len", length.scalar())
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     s = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n_terms") / F.col("avg_len")))
     return m.groupBy(query, key).agg(F.sum(s).alias("score"))

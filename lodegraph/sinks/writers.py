@@ -37,8 +37,8 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
 def manifest(chunks: DataFrame) -> DataFrame:
     """One JSON row: type counts and surplus equal hashes."""
     types = chunks.groupBy("chunk_type").agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("chunk_type", F.lit("")), "n")))).alias("type_counts"))
-    dup = chunks.filter("content_hash is not null").groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_content_hashes"))
-    return types.crossJoin(dup).select(F.to_json(F.struct("type_counts", "duplicate_content_hashes")).alias("json"))  # one row each
+    dup = chunks.filter("content_hash is not null").groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
+    return types.withColumn("duplicate_content_hashes", dup.scalar()).select(F.to_json(F.struct("type_counts", "duplicate_content_hashes")).alias("json"))
 
 
 def _xml(c: Column) -> Column:
