@@ -32,8 +32,8 @@ def duplicates(df: DataFrame, key: Column, *by: str) -> DataFrame:
 
 
 def percentile(c: str, p: float) -> Column:
-    """Linearly interpolated percentile."""
-    return F.percentile(c, p)
+    """Linearly interpolated percentile, to two digits."""
+    return F.round(F.percentile(c, p), 2)
 
 
 def quality(chunks: DataFrame, tokens: str, *by: str) -> DataFrame:
@@ -62,10 +62,10 @@ def rollup_metrics(metrics: DataFrame, *by: str) -> DataFrame:
         F.sum(F.when(used, F.col("numerator"))).alias("numerator"),
         F.sum(F.when(used, F.col("denominator"))).alias("denominator"),
         F.try_divide(F.sum(F.when(used, F.col("numerator"))).cast("double"), F.sum(F.when(used, F.col("denominator")))).alias("ratio"),
-        F.avg("pct").alias("mean_pct"),
-        F.percentile("pct", 0.1).alias("p10_pct"),
-        F.percentile("pct", 0.5).alias("p50_pct"),
-        F.percentile("pct", 0.9).alias("p90_pct"),
+        F.round(F.avg("pct"), 6).alias("mean_pct"),
+        F.round(F.percentile("pct", 0.1), 6).alias("p10_pct"),
+        F.round(F.percentile("pct", 0.5), 6).alias("p50_pct"),
+        F.round(F.percentile("pct", 0.9), 6).alias("p90_pct"),
         F.count_if(~used).alias("n_na"),
     )
 

@@ -86,7 +86,7 @@ def judge(ranked: DataFrame, hits: DataFrame, queries: DataFrame, query: str, ke
 
 
 def summary(judged: DataFrame, *by: str) -> DataFrame:
-    return judged.groupBy(*by).agg(F.count(F.lit(1)).alias("n_queries"), F.avg(F.col("hit_1").cast("int")).alias("recall_1"), F.avg(F.col("hit_5").cast("int")).alias("recall_5"), F.avg("reciprocal_rank").alias("mrr"))
+    return judged.groupBy(*by).agg(F.count(F.lit(1)).alias("n_queries"), F.avg(F.col("hit_1").cast("int")).alias("recall_1"), F.avg(F.col("hit_5").cast("int")).alias("recall_5"), F.round(F.avg("reciprocal_rank"), 4).alias("mrr"))
 
 
 def rerank(ranked: DataFrame, target: DataFrame, calls: DataFrame, query: str, key: str) -> DataFrame:

@@ -48,7 +48,7 @@ def manifest_type_counts(spark: SparkSession, sf: str) -> DataFrame:
 _LACK = " OR ".join(f"{f} IS NULL OR trim({f}, ' ') = ''" for f in corpus.REQUIRED_FIELDS)
 
 
-@query(WITH + f"SELECT program, count(*) AS n_chunks, min(token_count) AS min_tokens, quantile_cont(token_count, 0.5) AS median_tokens, quantile_cont(token_count, 0.9) AS p90_tokens, max(token_count) AS max_tokens, count(*) FILTER (WHERE token_count < 30) AS n_thin, count(*) FILTER (WHERE token_count > 512) AS n_oversized, count(*) FILTER (WHERE {_LACK}) AS n_lacking FROM chunks GROUP BY program")
+@query(WITH + f"SELECT program, count(*) AS n_chunks, min(token_count) AS min_tokens, round(quantile_cont(token_count, 0.5), 2) AS median_tokens, round(quantile_cont(token_count, 0.9), 2) AS p90_tokens, max(token_count) AS max_tokens, count(*) FILTER (WHERE token_count < 30) AS n_thin, count(*) FILTER (WHERE token_count > 512) AS n_oversized, count(*) FILTER (WHERE {_LACK}) AS n_lacking FROM chunks GROUP BY program")
 def chunk_quality(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.quality(chunks(spark, sf), "token_count", "program")
 
@@ -102,8 +102,8 @@ def baseline_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(WITH + """, m AS (SELECT program, chunk_type, count(*) FILTER (WHERE indexable) AS numerator, count(*) FILTER (WHERE thin_chunk IS FALSE) AS denominator FROM chunks GROUP BY ALL)
 SELECT chunk_type, sum(numerator) FILTER (WHERE denominator > 0) AS numerator, sum(denominator) FILTER (WHERE denominator > 0) AS denominator, sum(numerator) FILTER (WHERE denominator > 0) / sum(denominator) FILTER (WHERE denominator > 0) AS ratio,
-avg(numerator / denominator * 100) FILTER (WHERE denominator > 0) AS mean_pct, quantile_cont(numerator / denominator * 100, 0.1) FILTER (WHERE denominator > 0) AS p10_pct, quantile_cont(numerator / denominator * 100, 0.5) FILTER (WHERE denominator > 0) AS p50_pct,
-quantile_cont(numerator / denominator * 100, 0.9) FILTER (WHERE denominator > 0) AS p90_pct, count(*) FILTER (WHERE denominator <= 0) AS n_na FROM m GROUP BY chunk_type""")
+round(avg(numerator / denominator * 100) FILTER (WHERE denominator > 0), 6) AS mean_pct, round(quantile_cont(numerator / denominator * 100, 0.1) FILTER (WHERE denominator > 0), 6) AS p10_pct, round(quantile_cont(numerator / denominator * 100, 0.5) FILTER (WHERE denominator > 0), 6) AS p50_pct,
+round(quantile_cont(numerator / denominator * 100, 0.9) FILTER (WHERE denominator > 0), 6) AS p90_pct, count(*) FILTER (WHERE denominator <= 0) AS n_na FROM m GROUP BY chunk_type""")
 def metric_rollup_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     m = chunks(spark, sf).groupBy("program", "chunk_type").agg(F.count_if("indexable").alias("numerator"), F.count_if(~F.col("thin_chunk")).alias("denominator"))
     return corpus.rollup_metrics(m, "chunk_type")

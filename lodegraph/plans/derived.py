@@ -223,7 +223,7 @@ def structured_terms(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.sum("total_tokens").alias("tokens"), F.array_join(F.sort_array(F.collect_set("t")), ",").alias("terms"))
 
 
-@query(f"SELECT lower(trim(chunk_type, ' ')) AS chunk_type, percentile_rank, q FROM (SELECT chunk_type, unnest([0.1, 0.5, 0.9]) AS percentile_rank, unnest(quantile_cont(n, [0.1, 0.5, 0.9])) AS q FROM (SELECT lower(trim(chunk_type, ' ')) AS chunk_type, length(text) AS n FROM chunk WHERE text IS NOT NULL) GROUP BY chunk_type)")
+@query(f"SELECT lower(trim(chunk_type, ' ')) AS chunk_type, percentile_rank, q FROM (SELECT chunk_type, unnest([0.1, 0.5, 0.9]) AS percentile_rank, round(unnest(quantile_cont(n, [0.1, 0.5, 0.9])), 2) AS q FROM (SELECT lower(trim(chunk_type, ' ')) AS chunk_type, length(text) AS n FROM chunk WHERE text IS NOT NULL) GROUP BY chunk_type)")
 def text_length_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "chunk").filter("text is not null").groupBy(F.lower(F.trim("chunk_type")).alias("chunk_type")).agg(*[corpus.percentile(F.length("text"), p).alias(str(p)) for p in (0.1, 0.5, 0.9)])
     return c.select("chunk_type", F.inline(F.array(*[F.struct(F.lit(p).alias("percentile_rank"), F.col(f"`{p}`").alias("q")) for p in (0.1, 0.5, 0.9)])))

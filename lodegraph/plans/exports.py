@@ -49,10 +49,10 @@ def manifest_json(spark: SparkSession, sf: str) -> DataFrame:
     return writers.manifest(chunks(spark, sf))
 
 
-@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL")
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def windowed_events(spark: SparkSession, sf: str) -> DataFrame:
     """The streaming window operator over the whole table as one batch."""
-    return windows.windowed(table(spark, sf, "events"))
+    return windows.windowed(table(spark, sf, "events")).withColumn("total", F.round("total", 4))
 
 
 @query("WITH g AS (SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS s FROM events), h AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS \"end\", count(*) AS n FROM h GROUP BY user_id, k")

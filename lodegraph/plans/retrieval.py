@@ -84,7 +84,7 @@ def retrieval_judged(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(spark, sf)
 
 
-@query(_JUDGED + "SELECT p.source_kind, count(*) AS n_queries, avg(hit_1::INT) AS recall_1, avg(hit_5::INT) AS recall_5, avg(reciprocal_rank) AS mrr FROM judged JOIN program_catalog p ON p.program = judged.qid GROUP BY p.source_kind")
+@query(_JUDGED + "SELECT p.source_kind, count(*) AS n_queries, avg(hit_1::INT) AS recall_1, avg(hit_5::INT) AS recall_5, round(avg(reciprocal_rank), 4) AS mrr FROM judged JOIN program_catalog p ON p.program = judged.qid GROUP BY p.source_kind")
 def retrieval_recall_mrr(spark: SparkSession, sf: str) -> DataFrame:
     kind = table(spark, sf, "program_catalog").select(F.col("program").alias("qid"), "source_kind")
     return r.summary(_judged(spark, sf).join(kind, "qid"), "source_kind")
