@@ -41,12 +41,15 @@ LONGEST_GRAM = 5
 WORD_RANGE = 6.0
 #: The same for a word known only by its n-grams.
 GRAM_RANGE = 3.0
+#: Times a word stands in the sample at least to be known as a word.
+LEAST_COUNT = 3
 #: Words a sentence of natural language has at least, and Japanese characters.
 LEAST_WORDS, LEAST_KANA = 3, 4
 #: A sentence whose best language is ahead by less than this many nats follows its neighbours.
 LEAST_MARGIN = 3.0
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Words: runs of letters; Japanese ones also end where the script changes.
+_WORD = re.compile(r"[\u3041-\u309f]+|[\u30a0-\u30ff]+|[\u3400-\u9fff\u3005]+|[^\W\d_\u3005\u3041-\u30ff\u3400-\u9fff]+")
 _SENTENCE = re.compile(r"(?<=[。！？])|(?<=[.!?])(?=\s)|(?<=[.!?][)\"'»”])(?=\s)")
 _BRACKETED = re.compile(r"\[[^\]\n]*\]|\([A-Z][A-Z0-9]*-[A-Z0-9-]+\)")
 _HEADING = re.compile(r"\s*(#{1,6}\s|=+\s|\*{3,})")
@@ -54,7 +57,11 @@ _HEADING = re.compile(r"\s*(#{1,6}\s|=+\s|\*{3,})")
 _NAME = re.compile(r"\b(?=[A-Z0-9.$#@_-]*[0-9._-])[A-Z][A-Z0-9$#@_-]*(?:[.][A-Z0-9$#@_-]+)*\b")
 #: Words that open COBOL, SQL and JCL statements.
 _VERBS = "MOVE|PERFORM|ADD|SUBTRACT|MULTIPLY|DIVIDE|COMPUTE|IF|ELSE|END-IF|EVALUATE|WHEN|END-EVALUATE|CALL|EXEC|END-EXEC|DISPLAY|STRING|UNSTRING|INITIALIZE|INSPECT|GO TO|GOBACK|STOP RUN|EXIT|CONTINUE|OPEN|CLOSE|READ|WRITE|REWRITE|DELETE|START|ACCEPT|SET|COPY|SELECT|INSERT|UPDATE|FROM|WHERE|VALUES"
-_CODE = re.compile(rf"(?:\d{{6}}|      )?[ *]?\s*(?:(?:{_VERBS})\b(?=.*(?:[A-Z]-[A-Z]|'|\d|=|\.\s*$|^\S+$))[^a-z]*$|//|\d\d\s+[A-Z][A-Z0-9-]*\s+(?:PIC|VALUE|REDEFINES|OCCURS)\b|[A-Z0-9]+(?:-[A-Z0-9]+)+\.\s*$|\*>)")
+#: The code that a line opens with: a statement in capitals that names something, a JCL statement, a data
+#: entry, a paragraph's name, a free-form comment mark. What stands behind it may still be text.
+_CODE = re.compile(
+    rf"(?:\d{{6}}|      )?[ *]?\s*(?:(?:{_VERBS})\b(?=[^a-z]*(?:[A-Z]-[A-Z]|'|\d|=))[^a-z]*|(?:{_VERBS})\s*\.?\s*$|//.*|\d\d\s+[A-Z][A-Z0-9-]*\s+(?:PIC|VALUE|REDEFINES|OCCURS)\b.*|[A-Z0-9]+(?:-[A-Z0-9]+)+\.\s*$|\*>)"
+)
 _KANA = re.compile(r"[぀-ヿ㐀-䶿一-鿿々ー]")
 _UMLAUTS = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "æ": "ae", "œ": "oe"})
 
@@ -77,8 +84,10 @@ def sentences(text: str) -> list[str]:
     """Sentences of a text; headings, bracketed names and code are left out."""
     out = []
     for line in re.split(r"\r\n|\n|\r| | |\x85", text):
-        if not line.strip() or _HEADING.match(line) or _CODE.match(line):
+        if not line.strip() or _HEADING.match(line):
             continue
+        if code := _CODE.match(line):
+            line = line[code.end() :]
         line = _BRACKETED.sub(" ", line)
         out += [s for s in _SENTENCE.split(line) if s and not s.isspace()]
     return out
@@ -106,7 +115,8 @@ class Model:
         for word, c in words.items():
             for g, size in self._grams(word):
                 grams[size][g] += c
-        self.words = self._logs(words)
+        # A label may be wrong, so a word that is rare in the sample is known by its n-grams only.
+        self.words = self._logs({w: c for w, c in words.items() if c.sum() >= LEAST_COUNT})
         self.grams = [self._logs(g) for g in grams]
 
     @staticmethod
@@ -185,7 +195,7 @@ class Identifier:
 
     def segments(self, texts: list[str | None]) -> list[list[tuple[int, float, int, int]]]:
         """Per text, its segments: (language index, confidence, sentences, words)."""
-        if not self.model.words:
+        if not self.model.grams[1]:
             return [[] for _ in texts]
         if len(self.vectors) > 400_000:
             self.ids, self.vectors = {}, []
