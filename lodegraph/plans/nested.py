@@ -35,4 +35,24 @@ def p6_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p6_found, p6_code_vertices, p6_data_vertices, p6_edges, p6_facts)}
-ORACLES: dict[str, str] = {}
+_NAMES = ", ".join(f"'{m}'" for m in nested.ENTRY_MEMBERS)
+
+_WALK = f"""
+WITH RECURSIVE roots AS (
+  SELECT DISTINCT model_id, c.name, c.j FROM unified_model, LATERAL (VALUES ('codeVertices', codevertices), ('dataVertices', datavertices), ('edges', edges)) AS c(name, j)
+  WHERE c.j IS NOT NULL AND json_valid(c.j)),
+w AS (
+  SELECT model_id, CASE json_type(j) WHEN 'OBJECT' THEN name || '.0' ELSE name END AS path, '' AS owner, name AS member, json_type(j) AS kind, json_type(j) = 'OBJECT' AS is_row, j::JSON AS j
+  FROM roots WHERE json_type(j) IN ('OBJECT', 'ARRAY')
+  UNION ALL
+  SELECT w.model_id,
+         w.path || '.' || e.key || CASE WHEN w.kind = 'OBJECT' AND e.type = 'OBJECT' AND e.key IN ({_NAMES}) THEN '.0' ELSE '' END,
+         CASE WHEN w.is_row THEN w.path ELSE w.owner END, CASE w.kind WHEN 'ARRAY' THEN '' ELSE e.key END, e.type,
+         e.type = 'OBJECT' AND CASE w.kind WHEN 'ARRAY' THEN w.member ELSE e.key END IN ({_NAMES}), e.value
+  FROM w, json_each(w.j) AS e WHERE e.type IN ('OBJECT', 'ARRAY'))
+"""
+
+ORACLES = {
+    "p6_found": _WALK + "SELECT DISTINCT model_id, path, owner AS parent_path, coalesce(json_extract_string(j, '$.id'), '') AS node_id FROM w WHERE is_row",
+    "p6_edges": _WALK + "SELECT DISTINCT model_id, path, owner AS parent_path, coalesce(json_extract_string(j, '$.id'), '') AS node_id, json_extract_string(j, '$.fromNodeID') AS fromnodeid, json_extract_string(j, '$.toNodeID') AS tonodeid, json_extract_string(j, '$.edgeType') AS edgetype, json_extract_string(j, '$.condition') AS condition FROM w WHERE is_row AND path LIKE 'edges.%' AND owner = ''",
+}
