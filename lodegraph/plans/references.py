@@ -67,4 +67,12 @@ found AS (
 ORACLES = {
     "p2_found": _FOUND + "SELECT DISTINCT ref_table, row_id, reason, period FROM found",
     "p2_orphan_counts": _FOUND + "SELECT ref_table, period, reason, count(*) AS n_orphans FROM found GROUP BY ALL",
+    "p2_pending": _FOUND
+    + """, moves AS (SELECT sp, key, ts, sum(d) AS d FROM (SELECT sp, key, arrived AS ts, 1 AS d FROM parents WHERE arrived IS NOT NULL UNION ALL SELECT sp, key, greatest(arrived, gone), -1 FROM parents WHERE arrived IS NOT NULL AND gone IS NOT NULL) GROUP BY ALL),
+state AS (SELECT *, sum(d) OVER (PARTITION BY sp, key ORDER BY ts) AS live FROM moves),
+flips AS (SELECT * FROM (SELECT sp, key, ts, live > 0 AS lives, coalesce(lag(live) OVER (PARTITION BY sp, key ORDER BY ts), 0) > 0 AS was FROM state) WHERE lives <> was),
+turned AS (SELECT r.ref_table, strftime(f.ts, '%Y-%m') AS period, count(*) FILTER (WHERE f.lives AND r.at_ts < f.ts) AS resolved, count(*) FILTER (WHERE NOT f.lives AND r.at_ts < f.ts) AS reopened FROM flips f JOIN refs r ON r.sp = f.sp AND r.key = f.key GROUP BY ALL),
+opened AS (SELECT ref_table, period, count(*) AS opened FROM found GROUP BY ALL),
+per AS (SELECT ref_table, period, coalesce(opened, 0) AS opened, coalesce(resolved, 0) AS resolved, coalesce(reopened, 0) AS reopened FROM opened FULL JOIN turned USING (ref_table, period))
+SELECT *, sum(opened - resolved + reopened) OVER (PARTITION BY ref_table ORDER BY period) AS pending FROM per""",
 }
