@@ -30,11 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` with a reliable checkpoint.
 
-    The folder is the one the session names in spark.checkpoint.dir. Only where that is unset, as in
-    tests on one machine, a local folder is set."""
+    The folder is the one the session names in spark.checkpoint.dir. Only where that is unset on one
+    machine, as in tests, a local folder is set; a cluster without the setting is an error."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "lodegraph-checkpoints"))
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "lodegraph-checkpoints"))
     return df.checkpoint(eager=True)
 
 
