@@ -113,10 +113,20 @@ def reaching_conditions(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH r AS (SELECT program, paragraph AS name, min(row_id) AS first, max(row_id) AS last FROM chunk WHERE program IS NOT NULL AND paragraph IS NOT NULL AND deleted_at IS NOT NULL GROUP BY ALL)
 SELECT a.program, a.name, NOT EXISTS (SELECT 1 FROM r b WHERE b.program = a.program AND b.name <> a.name AND ((b.first < a.first AND b.last >= a.first AND b.last < a.last) OR (b.first > a.first AND b.first <= a.last AND b.last > a.last))) AS is_clean FROM r a""")
 def procedure_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "chunk").filter("program is not null and paragraph is not null and deleted_at is not null")
+    return _ranges(table(spark, sf, "chunk").filter("deleted_at is not null"))
+
+
+def _ranges(chunks: DataFrame) -> DataFrame:
+    c = chunks.filter("program is not null and paragraph is not null")
     return fg.overlapping_ranges(c.groupBy("program", F.col("paragraph").alias("name")).agg(F.min("row_id").alias("first"), F.max("row_id").alias("last")))
 
 
+@query()
+def procedure_ranges_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of all rows; `procedure_ranges` has those of deleted rows only, as its SQL pairs ranges."""
+    return _ranges(table(spark, sf, "chunk"))
+
+
 @query()
 def tree_edit_distance(spark: SparkSession, sf: str) -> DataFrame:
     """Distances of the record trees of equal size class under neighbouring roots of a program."""
