@@ -143,6 +143,14 @@ def shortest_undirected_path(spark: SparkSession, sf: str) -> DataFrame:
     return graph.reach(both, start, 12).select("id", "depth")
 
 
+@query()
+def undirected_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """Least number of edges from the least node of each weak component to all of its nodes."""
+    e = graph.project(edges(spark, sf), "CONTAINS_CODE").select("src", "dst")
+    roots = graph.components(e).select(F.col("component").alias("root"), F.col("component").alias("id")).distinct()
+    return graph.reach(e.union(e.select("dst", "src")), roots)
+
+
 @query("SELECT o.o_orderkey AS job, l.l_linenumber AS n, 'P' || l_linenumber AS proc, m, 'PGM' || m AS program, CASE WHEN o.o_orderkey % 2 = 0 THEN 'call' ELSE 'default' END AS env FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey, range(1, 3) r(m) WHERE l.l_linenumber <= 2")
 def procedure_expansion(spark: SparkSession, sf: str) -> DataFrame:
     l = table(spark, sf, "lineitem").filter("l_linenumber <= 2").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -5,6 +5,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lodegraph.plans.base import edges
 from lodegraph.session import table
 
 SF = "/root/testdata/sf0.01"
@@ -18,3 +19,21 @@ def test_ranges_of_all_rows(spark):
     want = {(p, n): not any(p2 == p and n2 != n and (f2 < f <= l2 < la or f < f2 <= la < l2) for p2, n2, f2, l2 in ranges) for p, n, f, la in ranges}
     got = {(r.program, r.name): r.is_clean for r in entry.queries()["procedure_ranges_all"](spark, SF).collect()}
     assert got == want and len(got) > entry.queries()["procedure_ranges"](spark, SF).count()
+
+
+def test_distances_in_every_component(spark):
+    near = defaultdict(set)
+    for r in edges(spark, SF).filter("edge_type = 'CONTAINS_CODE'").select("src", "dst").collect():
+        near[r.src].add(r.dst)
+        near[r.dst].add(r.src)
+    want = {}
+    for root in sorted(near):
+        if root in want:
+            continue
+        want[root], front, depth = (root, 0), [root], 0
+        while front:
+            depth += 1
+            front = sorted({y for x in front for y in near[x] if y not in want})
+            want |= {y: (root, depth) for y in front}
+    rows = entry.queries()["undirected_distances"](spark, SF).collect()
+    assert {r.id: (r.root, r.depth) for r in rows} == want and len(rows) == len(want)
