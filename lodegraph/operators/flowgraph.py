@@ -383,6 +383,40 @@ def tree_distances(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, f"a {s['a'].dataType.simpleString()}, b {s['b'].dataType.simpleString()}, distance int")
 
 
+def preorder_trees(roots: DataFrame, rows: DataFrame) -> DataFrame:
+    """(root, tree): all levels below each root as an array of struct<depth,label> in preorder.
+
+    roots: id, row_id; rows: id, parent_id, row_id, label. Siblings stand in order of row_id; the root's
+    label is GROUP. Levels are joined one at a time until one is empty; a path does not return to its own rows."""
+    from lodegraph.session import cut
+
+    at = F.struct("row_id", "id")
+    level = out = cut(roots.select(F.col("id").alias("root"), "id", F.array(at).alias("path"), F.lit("GROUP").alias("label")))
+    while not level.isEmpty():
+        above = level.select("root", F.col("id").alias("parent_id"), "path")
+        level = cut(rows.join(above, "parent_id").filter(~F.array_contains("path", at)).select("root", "id", F.array_append("path", at).alias("path"), "label"))
+        out = out.unionByName(level)
+    tree = F.transform(F.array_sort(F.collect_list(F.struct("path", "label"))), lambda x: F.struct((F.size(x["path"]) - 1).alias("depth"), x["label"].alias("label")))
+    return out.groupBy("root").agg(tree.alias("tree"))
+
+
+def all_tree_distances(trees: DataFrame, salts: int = 16) -> DataFrame:
+    """(a, b, distance) of all pairs of roots of a program, a before b in order of row_id.
+
+    trees: program, root, row_id, tree. Equal trees are one shape, and a pair of shapes is compared once."""
+    from lodegraph.session import cut, spread
+
+    shapes = cut(trees.groupBy("tree").agg(F.min("row_id").alias("shape")))
+    t = cut(trees.join(shapes, "tree").select("program", "root", "row_id", "shape"))
+    a = t.select("program", F.col("root").alias("a"), F.col("row_id").alias("_a"), F.col("shape").alias("_s"), F.pmod("row_id", F.lit(salts)).alias("_salt"))
+    b = t.select("program", F.col("root").alias("b"), F.col("row_id").alias("_b"), F.col("shape").alias("_t"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    pairs = a.join(b, ["program", "_salt"]).filter("_a < _b").select("a", "b", F.least("_s", "_t").alias("_s"), F.greatest("_s", "_t").alias("_t"))
+    of = lambda key, tree: shapes.select(F.col("shape").alias(key), F.col("tree").alias(tree))
+    met = spread(pairs.select("_s", "_t").distinct().join(of("_s", "tree_a"), "_s").join(of("_t", "tree_b"), "_t"))
+    said = tree_distances(met.select(F.col("_s").alias("a"), F.col("_t").alias("b"), "tree_a", "tree_b")).withColumnsRenamed({"a": "_s", "b": "_t"})
+    return pairs.join(said, ["_s", "_t"]).select("a", "b", "distance")
+
+
 def frequent_paths(edges: DataFrame, min_support: int, max_edges: int) -> DataFrame:
     """(pattern, n_edges, support): label paths that at least `min_support` graphs hold.
 

@@ -129,15 +129,11 @@ def procedure_ranges_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def tree_edit_distance(spark: SparkSession, sf: str) -> DataFrame:
-    """Distances of the record trees of equal size class under neighbouring roots of a program."""
-    d = data_nodes(spark, sf).filter("program is not null")
-    root = d.filter("levelnumber = 1").select("program", F.col("id").alias("root"), "row_id")
-    kids = d.select(F.col("parent_id").alias("root"), F.struct(F.lit(1).alias("depth"), F.coalesce("datatype", F.lit("")).alias("label"), F.col("row_id").alias("o")).alias("n")).filter("root is not null")
-    tree = root.join(kids, "root", "left").groupBy("program", "root", "row_id").agg(F.array_sort(F.collect_list("n")).alias("k"))
-    tree = tree.withColumn("tree", F.concat(F.array(F.struct(F.lit(0).alias("depth"), F.lit("GROUP").alias("label"))), F.transform(F.array_sort("k", lambda x, y: F.when(x["o"] < y["o"], -1).otherwise(1)), lambda x: F.struct(x["depth"].alias("depth"), x["label"].alias("label")))))
-    w = Window.partitionBy("program").orderBy("row_id")
-    pairs = tree.select(F.col("root").alias("a"), F.lead("root").over(w).alias("b"), F.col("tree").alias("tree_a"), F.lead("tree").over(w).alias("tree_b")).filter("b is not null")
-    return fg.tree_distances(pairs)
+    """Distances of all pairs of record trees of a program; a comes before b."""
+    d = data_nodes(spark, sf)
+    roots = d.filter("levelnumber = 1 and program is not null").select("program", F.col("id").alias("root"), "row_id")
+    trees = fg.preorder_trees(roots.select(F.col("root").alias("id"), "row_id"), d.select("id", "parent_id", "row_id", F.coalesce("datatype", F.lit("")).alias("label")))
+    return fg.all_tree_distances(roots.join(trees, "root"))
 
 
 @query(_E + ", s AS (SELECT src || '>' || dst AS pattern, 1 AS n_edges, graph_id FROM e UNION ALL SELECT x.src || '>' || x.dst || '>' || y.dst, 2, x.graph_id FROM e x JOIN e y ON y.graph_id = x.graph_id AND y.src = x.dst WHERE y.dst <> x.src AND y.dst <> x.dst AND x.src <> x.dst) SELECT pattern, n_edges, count(DISTINCT graph_id) AS support FROM s GROUP BY ALL HAVING count(DISTINCT graph_id) >= 30")

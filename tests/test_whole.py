@@ -5,7 +5,8 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lodegraph.plans.base import edges
+from lodegraph.operators import flowgraph as fg
+from lodegraph.plans.base import data_nodes, edges
 from lodegraph.session import table
 
 SF = "/root/testdata/sf0.01"
@@ -37,3 +38,19 @@ def test_distances_in_every_component(spark):
             want |= {y: (root, depth) for y in front}
     rows = entry.queries()["undirected_distances"](spark, SF).collect()
     assert {r.id: (r.root, r.depth) for r in rows} == want and len(rows) == len(want)
+
+
+def test_tree_distances_of_all_levels_and_pairs(spark):
+    rows = sorted(data_nodes(spark, SF).select("row_id", "id", "parent_id", "program", "levelnumber", "datatype").collect())
+    kids = defaultdict(list)
+    for r in rows:
+        kids[r.parent_id].append(r)
+
+    def below(i, depth):
+        return [x for r in kids[i] for x in [(depth, r.datatype or ""), *below(r.id, depth + 1)]]
+
+    roots = [(r.program, r.id, [(0, "GROUP"), *below(r.id, 1)]) for r in rows if r.levelnumber == 1 and r.program is not None]
+    assert max(d for _, _, t in roots for d, _ in t) > 1
+    want = {(a, b): fg.edit_distance(x, y) for i, (p, a, x) in enumerate(roots) for q, b, y in roots[i + 1 :] if p == q}
+    got = entry.queries()["tree_edit_distance"](spark, SF).collect()
+    assert {(r.a, r.b): r.distance for r in got} == want and len(got) == len(want)
