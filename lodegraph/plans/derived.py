@@ -153,13 +153,23 @@ def undirected_distances(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o.o_orderkey AS job, l.l_linenumber AS n, 'P' || l_linenumber AS proc, m, 'PGM' || m AS program, CASE WHEN o.o_orderkey % 2 = 0 THEN 'call' ELSE 'default' END AS env FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey, range(1, 3) r(m) WHERE l.l_linenumber <= 2")
 def procedure_expansion(spark: SparkSession, sf: str) -> DataFrame:
-    l = table(spark, sf, "lineitem").filter("l_linenumber <= 2").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return _expanded(spark, sf, table(spark, sf, "lineitem").filter("l_linenumber <= 2"))
+
+
+def _expanded(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+    l = lines.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     env = F.when(F.col("o_orderkey") % 2 == 0, F.create_map(F.lit("ENV"), F.lit("call"))).otherwise(F.create_map().cast("map<string,string>"))
     steps = l.select(F.col("o_orderkey").alias("job"), F.col("l_linenumber").alias("n"), F.concat(F.lit("P"), F.col("l_linenumber").cast("string")).alias("proc"), env.alias("symbols"))
     procs = spark.createDataFrame([(f"P{p}", m, f"PGM{m}", {"ENV": "default"}) for p in (1, 2) for m in (1, 2)], "proc string, m int, program string, defaults map<string,string>")
     return derive.expand_procedures(steps, procs).select("job", "n", "proc", "m", "program", F.col("symbols")["ENV"].alias("env"))
 
 
+@query()
+def procedure_expansion_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All steps: those of P1 and P2 expanded, those whose procedure is unknown kept without m and program."""
+    return _expanded(spark, sf, table(spark, sf, "lineitem"))
+
+
 @query()
 def packed_lines(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "chunk").filter("text is not null and lower(trim(chunk_type)) = 'variable_group'")

@@ -1,6 +1,6 @@
 """Queries that do the whole job, against brute force."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -54,3 +54,12 @@ def test_tree_distances_of_all_levels_and_pairs(spark):
     want = {(a, b): fg.edit_distance(x, y) for i, (p, a, x) in enumerate(roots) for q, b, y in roots[i + 1 :] if p == q}
     got = entry.queries()["tree_edit_distance"](spark, SF).collect()
     assert {(r.a, r.b): r.distance for r in got} == want and len(got) == len(want)
+
+
+def test_expansion_of_all_steps(spark, sf):
+    want = Counter()
+    for r in table(spark, sf, "lineitem").collect():
+        j, n, call = r.l_orderkey, r.l_linenumber, r.l_orderkey % 2 == 0
+        want.update([(j, n, f"P{n}", m, f"PGM{m}", "call" if call else "default") for m in (1, 2)] if n <= 2 else [(j, n, f"P{n}", None, None, "call" if call else None)])
+    got = Counter((r.job, r.n, r.proc, r.m, r.program, r.env) for r in entry.queries()["procedure_expansion_all"](spark, sf).collect())
+    assert got == want
