@@ -81,16 +81,24 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.unionByName(edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(labels, "id", "left_anti").select("id", F.col("id").alias("component")))
 
 
-def paths(edges: DataFrame, starts: DataFrame, max_edges: int, stop: Column | None = None) -> DataFrame:
+def paths(edges: DataFrame, starts: DataFrame, max_edges: int | None = None, stop: Column | None = None) -> DataFrame:
     """(start, id, n_edges, path): every simple path of at most `max_edges` edges, as an array of ids.
 
+    None: paths of any length; each round's are cut from their lineage, until a round finds none.
     stop: predicate over (id) of nodes that a path ends at and does not go beyond."""
     hops = edges.select("src", "dst").distinct()
+    if max_edges is None:
+        hops = cut(hops)
     front = starts.select(F.col("id").alias("start"), "id", F.lit(0).alias("n_edges"), F.array("id").alias("path"))
-    out = front
-    for n in range(1, max_edges + 1):
+    out, n = front, 0
+    while max_edges is None or n < max_edges:
+        n += 1
         going = front if stop is None else front.filter((F.col("n_edges") == 0) | ~stop)
         front = going.join(hops, going.id == hops.src).filter(~F.array_contains("path", F.col("dst"))).select("start", F.col("dst").alias("id"), F.lit(n).alias("n_edges"), F.array_append("path", F.col("dst")).alias("path"))
+        if max_edges is None:
+            front = cut(front)
+            if front.isEmpty():
+                break
         out = out.unionByName(front)
     return out
 

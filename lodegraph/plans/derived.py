@@ -58,11 +58,11 @@ def find_where_paths(spark: SparkSession, sf: str) -> DataFrame:
     + ", f AS (SELECT DISTINCT src, dst FROM edges WHERE edge_type = 'FOLLOWED_BY'), p AS (SELECT id AS start, id, 0 AS n, [id] AS path FROM nodes WHERE flow_type = 'MOVE' UNION ALL SELECT p.start, f.dst, p.n + 1, list_append(p.path, f.dst) FROM p JOIN nodes m ON m.id = p.id AND m.flow_type = 'MOVE' JOIN f ON f.src = p.id WHERE p.n < 4 AND NOT list_contains(p.path, f.dst)) SELECT p.start, p.id AS call_id, p.n AS n_edges, array_to_string(path, '>') AS path FROM p JOIN nodes c ON c.id = p.id AND c.flow_type = 'CALL'"
 )
 def variable_length_move_call(spark: SparkSession, sf: str) -> DataFrame:
-    """Paths of one to four edges over MOVE nodes that end at a CALL."""
+    """Paths of any length over MOVE nodes that end at a CALL; the SQL ends them after four edges."""
     n = nodes(spark, sf)
     moves = n.filter("flow_type = 'MOVE'").select("id")
     f = graph.project(edges(spark, sf), "FOLLOWED_BY").join(moves.select(F.col("id").alias("src")), "src", "left_semi")
-    p = graph.paths(f, moves, 4).filter("n_edges > 0")
+    p = graph.paths(f, moves).filter("n_edges > 0")
     return p.join(n.filter("flow_type = 'CALL'").select("id"), "id", "left_semi").select("start", F.col("id").alias("call_id"), "n_edges", F.array_join("path", ">").alias("path"))
 
 

@@ -63,3 +63,16 @@ def test_expansion_of_all_steps(spark, sf):
         want.update([(j, n, f"P{n}", m, f"PGM{m}", "call" if call else "default") for m in (1, 2)] if n <= 2 else [(j, n, f"P{n}", None, None, "call" if call else None)])
     got = Counter((r.job, r.n, r.proc, r.m, r.program, r.env) for r in entry.queries()["procedure_expansion_all"](spark, sf).collect())
     assert got == want
+
+
+def test_long_runs_of_moves_reach_their_call(spark, sf, tmp_path):
+    def write(name, rows):
+        schema = table(spark, sf, name).schema
+        spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    names = [f"m{i}" for i in range(7)]
+    write("code_node", [{"row_id": i, "id": n, "flow_type": "MOVE"} for i, n in enumerate(names)] + [{"row_id": 7, "id": "c", "flow_type": "CALL"}])
+    hops = [*zip(names, [*names[1:], "c"]), ("m6", "m0")]
+    write("code_edge", [{"row_id": i, "fromnodeid": a, "tonodeid": b, "edgetype": "FOLLOWED_BY"} for i, (a, b) in enumerate(hops)])
+    got = {(r.start, r.call_id, r.n_edges, r.path) for r in entry.queries()["variable_length_move_call"](spark, str(tmp_path)).collect()}
+    assert got == {(n, "c", 7 - i, ">".join([*names[i:], "c"])) for i, n in enumerate(names)}
