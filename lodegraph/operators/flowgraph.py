@@ -7,7 +7,9 @@ because edges are made distinct before they are grouped. `bounded` verifies that
 
 from __future__ import annotations
 
-from collections import defaultdict
+import json
+from collections import Counter, defaultdict
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -438,6 +440,99 @@ def frequent_paths(edges: DataFrame, min_support: int, max_edges: int) -> DataFr
     return out
 
 
+def _canonical(nodes: tuple[str, ...], edges: tuple[tuple[int, int], ...]) -> str:
+    """Text that isomorphic patterns have in common: sorted labels, then the least edges over all orders."""
+    best = min((tuple(nodes[i] for i in p), tuple(sorted((p.index(a), p.index(b)) for a, b in edges))) for p in permutations(range(len(nodes))))
+    return json.dumps(best[0], ensure_ascii=False) + "".join(f" {a}>{b}" for a, b in best[1])
+
+
+def frequent_patterns(edges: DataFrame, min_support: int, max_edges: int, most: int = 200_000) -> DataFrame:
+    """(pattern, n_edges, support): connected patterns of any shape that at least `min_support` graphs hold.
+
+    edges: graph_id, src, dst, src_label, dst_label. Within a graph, sets of edges grow by any edge that
+    touches them: forks, joins, cycles and self loops too. A worker counts the patterns of its graphs and
+    hands the counts on at `most` of them, so what is shuffled depends on the labels, not on the graphs."""
+    import pyarrow as pa
+
+    def run(batches):
+        known: dict[tuple, str] = {}
+        count: Counter = Counter()
+
+        def out():
+            rows = [(*k, n) for k, n in count.items()]
+            count.clear()
+            known.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["pattern", "n_edges", "n"])
+
+        def pattern(es):
+            at: dict[str, int] = {}
+            labels: list[str] = []
+            shape = []
+            for s, d, sl, dl in es:
+                for x, label in ((s, sl), (d, dl)):
+                    if x not in at:
+                        at[x] = len(labels)
+                        labels.append(label)
+                shape.append((at[s], at[d]))
+            key = tuple(labels), tuple(shape)
+            if key not in known:
+                known[key] = _canonical(*key)
+            return known[key]
+
+        for batch in batches:
+            for g in batch.column("es").to_pylist():
+                es = sorted((x["src"], x["dst"], x["src_label"], x["dst_label"]) for x in g)
+                touch = defaultdict(set)
+                for i, e in enumerate(es):
+                    touch[e[0]].add(i)
+                    touch[e[1]].add(i)
+                level = {(i,) for i in range(len(es))}
+                for n in range(1, max_edges + 1):
+                    count.update({(pattern([es[i] for i in ids]), n) for ids in level})
+                    if n < max_edges:
+                        level = {tuple(sorted((*ids, j))) for ids in level for j in set().union(*(touch[x] for i in ids for x in es[i][:2])) if j not in ids}
+                if len(count) > most or len(known) > most:
+                    yield out()
+        yield out()
+
+    g = edges.groupBy("graph_id").agg(F.collect_set(F.struct("src", "dst", "src_label", "dst_label")).alias("es"))
+    g = g.select(F.when(F.size("es") > MAX_EDGES, F.raise_error(F.concat(F.lit("graph is too large: "), F.col("graph_id").cast("string")))).otherwise(F.col("es")).alias("es"))
+    return g.mapInArrow(run, "pattern string, n_edges int, n bigint").groupBy("pattern", "n_edges").agg(F.sum("n").alias("support")).filter(F.col("support") >= min_support)
+
+
+def cliques(g: Graph) -> list[list[str]]:
+    """Maximal cliques of the undirected graph without self loops (Bron and Kerbosch with a pivot)."""
+    near: dict[str, set[str]] = {n: set() for n in g}
+    for s, ds in g.items():
+        for d in ds:
+            if s != d:
+                near[s].add(d)
+                near[d].add(s)
+    out, stack = [], [(frozenset(), set(near), set())]
+    while stack:
+        r, p, x = stack.pop()
+        if not p and not x:
+            out.append(sorted(r))
+            continue
+        pivot = max(p | x, key=lambda n: len(near[n] & p))
+        for n in p - near[pivot]:
+            stack.append((r | {n}, p & near[n], x & near[n]))
+            p = p - {n}
+            x = x | {n}
+    return out
+
+
+def maximal_cliques(edges: DataFrame) -> DataFrame:
+    """(graph_id, size, members): every maximal clique once; members = sorted ids joined by commas.
+
+    Edges count in both directions; a node whose only edge is a self loop is a clique of one."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(pdf["graph_id"].iloc[0], len(c), ",".join(c)) for c in cliques(_read(pdf)[0])], columns=["graph_id", "size", "members"])
+
+    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, size int, members string")
+
+
 def ward_linkage(points: list[tuple[str, list[float]]]) -> list[tuple[int, str, str, float, int]]:
     """(step, a, b, distance, size): agglomerative clustering by Ward's method over cosine distances."""
     import numpy as np

@@ -142,6 +142,13 @@ def frequent_subgraphs(spark: SparkSession, sf: str) -> DataFrame:
     return fg.frequent_paths(e, 30, 2)
 
 
+@query()
+def frequent_subgraphs_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Connected patterns of one to three edges of any shape; `frequent_subgraphs` has the paths among them."""
+    e = transitions(spark, sf).select("graph_id", "src", "dst", F.col("src").alias("src_label"), F.col("dst").alias("dst_label"))
+    return fg.frequent_patterns(e, 30, 3)
+
+
 @query()
 def agglomerative_linkage(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters of the labels' mean vectors: as many points as there are labels, whatever the rows."""
@@ -161,3 +168,8 @@ def cliques3(spark: SparkSession, sf: str) -> DataFrame:
     bc = u.select("graph_id", F.col("a").alias("b"), F.col("b").alias("c"))
     ac = u.select("graph_id", "a", F.col("b").alias("c"))
     return u.join(bc, ["graph_id", "b"]).join(ac, ["graph_id", "a", "c"]).select("graph_id", "a", "b", "c")
+
+
+@query()
+def maximal_cliques(spark: SparkSession, sf: str) -> DataFrame:
+    return fg.maximal_cliques(transitions(spark, sf))

@@ -1,12 +1,15 @@
 """Queries that do the whole job, against brute force."""
 
+import json
 from collections import Counter, defaultdict
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lodegraph.operators import flowgraph as fg
 from lodegraph.plans.base import data_nodes, edges
+from lodegraph.plans.flowgraphs import transitions
 from lodegraph.session import table
 
 SF = "/root/testdata/sf0.01"
@@ -76,3 +79,48 @@ def test_long_runs_of_moves_reach_their_call(spark, sf, tmp_path):
     write("code_edge", [{"row_id": i, "fromnodeid": a, "tonodeid": b, "edgetype": "FOLLOWED_BY"} for i, (a, b) in enumerate(hops)])
     got = {(r.start, r.call_id, r.n_edges, r.path) for r in entry.queries()["variable_length_move_call"](spark, str(tmp_path)).collect()}
     assert got == {(n, "c", 7 - i, ">".join([*names[i:], "c"])) for i, n in enumerate(names)}
+
+
+def graphs_of(spark):
+    out = defaultdict(set)
+    for r in transitions(spark, SF).collect():
+        out[r.graph_id].add((r.src, r.dst))
+    return out
+
+
+def connected(es):
+    seen, rest = set(es[0]), list(es[1:])
+    while more := [e for e in rest if seen & set(e)]:
+        seen |= {x for e in more for x in e}
+        rest = [e for e in rest if e not in more]
+    return not rest
+
+
+def test_patterns_of_any_shape(spark):
+    want = Counter()
+    for es in graphs_of(spark).values():
+        want.update(frozenset(c) for n in (1, 2, 3) for c in combinations(sorted(es), n) if connected(c))
+    got = {}
+    for r in entry.queries()["frequent_subgraphs_all"](spark, SF).collect():
+        end = r.pattern.rindex("]") + 1
+        labels = json.loads(r.pattern[:end])
+        es = frozenset(tuple(labels[int(x)] for x in p.split(">")) for p in r.pattern[end:].split())
+        assert len(es) == r.n_edges and es not in got
+        got[es] = r.support
+    assert got == {k: n for k, n in want.items() if n >= 30} and any(len({s for s, _ in k}) == 1 and len(k) == 3 for k in got)
+
+
+def test_isomorphic_patterns_are_one(spark):
+    rows = [(g, a, b, a[0], b[0]) for g, es in ((1, ["a1b1", "a1b2"]), (2, ["a7b9", "a7b8"]), (3, ["a1b1", "a2b1"])) for a, b in ((e[:2], e[2:]) for e in es)]
+    e = spark.createDataFrame(rows, "graph_id long, src string, dst string, src_label string, dst_label string")
+    assert {(r.pattern, r.n_edges, r.support) for r in fg.frequent_patterns(e, 1, 3).collect()} == {('["a", "b"] 0>1', 1, 3), ('["a", "b", "b"] 0>1 0>2', 2, 2), ('["a", "a", "b"] 0>2 1>2', 2, 1)}
+
+
+def test_maximal_cliques(spark):
+    want = set()
+    for g, es in graphs_of(spark).items():
+        nodes = sorted({x for e in es for x in e})
+        full = [set(c) for n in range(1, len(nodes) + 1) for c in combinations(nodes, n) if all((a, b) in es or (b, a) in es for a, b in combinations(c, 2))]
+        want |= {(g, len(c), ",".join(sorted(c))) for c in full if not any(c < d for d in full)}
+    rows = entry.queries()["maximal_cliques"](spark, SF).collect()
+    assert {(r.graph_id, r.size, r.members) for r in rows} == want and len(rows) == len(want)
