@@ -533,27 +533,47 @@ def maximal_cliques(edges: DataFrame) -> DataFrame:
     return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, size int, members string")
 
 
+#: Points that one dendrogram may have: their distances fill 8 bytes a pair in one task.
+MAX_POINTS = 10_000
+
+
 def ward_linkage(points: list[tuple[str, list[float]]]) -> list[tuple[int, str, str, float, int]]:
-    """(step, a, b, distance, size): agglomerative clustering by Ward's method over cosine distances."""
+    """(step, a, b, distance, size): agglomerative clustering by Ward's method over cosine distances.
+
+    Each row's nearest other is kept, so a step reads the rows that a merge concerns and no others."""
     import numpy as np
 
+    if len(points) > MAX_POINTS:
+        raise ValueError(f"too many points for one dendrogram: {len(points)}")
+    if len(points) < 2:
+        return []
     names = [n for n, _ in points]
     x = np.array([v for _, v in points], dtype=float)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    d = 1 - x @ x.T
+    d = x @ x.T
+    np.subtract(1, d, out=d)
     np.fill_diagonal(d, np.inf)
-    size = {i: 1 for i in range(len(names))}
+    size, live = np.ones(len(names)), np.ones(len(names), dtype=bool)
+    near = d.argmin(axis=1)
+    least = d[np.arange(len(names)), near]
     out = []
     for step in range(len(names) - 1):
-        i, j = divmod(int(d.argmin()), len(names))
-        i, j = min(i, j), max(i, j)
+        i = int(least.argmin())
+        i, j = sorted((i, int(near[i])))
         h = d[i, j]
-        out.append((step, names[i], names[j], float(h), size[i] + size[j]))
-        for k in size:
-            if k not in (i, j):
-                n = size[i] + size[j] + size[k]
-                v = ((size[i] + size[k]) * d[i, k] ** 2 + (size[j] + size[k]) * d[j, k] ** 2 - size[k] * h**2) / n
-                d[i, k] = d[k, i] = max(v, 0.0) ** 0.5
-        size[i] += size.pop(j)
-        d[j, :] = d[:, j] = np.inf
+        out.append((step, names[i], names[j], float(h), int(size[i] + size[j])))
+        live[i] = live[j] = False
+        k = np.flatnonzero(live)
+        v = ((size[i] + size[k]) * d[i, k] ** 2 + (size[j] + size[k]) * d[j, k] ** 2 - size[k] * h**2) / (size[i] + size[j] + size[k])
+        new = np.maximum(v, 0.0) ** 0.5
+        d[i, :] = d[:, i] = d[j, :] = d[:, j] = np.inf
+        d[i, k] = d[k, i] = new
+        live[i], size[i] = True, size[i] + size[j]
+        least[j] = np.inf
+        lost = k[(near[k] == i) | (near[k] == j)]
+        for r in [i, *lost]:
+            near[r] = d[r].argmin()
+            least[r] = d[r, near[r]]
+        closer = k[(new < least[k]) | ((new == least[k]) & (i < near[k]))]
+        near[closer], least[closer] = i, d[closer, i]
     return out

@@ -151,14 +151,13 @@ def frequent_subgraphs_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def agglomerative_linkage(spark: SparkSession, sf: str) -> DataFrame:
-    """Clusters of the labels' mean vectors: as many points as there are labels, whatever the rows."""
-    v = table(spark, sf, "embeddings").select(F.col("label").cast("string").alias("name"), F.posexplode("embedding").alias("i", "x")).groupBy("name", "i").agg(F.avg("x").alias("x"))
-    means = v.groupBy("name").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
+    """One dendrogram of all vectors, which bear their ids; a cluster bears that of its first vector."""
+    v = table(spark, sf, "embeddings").filter("embedding is not null").select(F.col("vec_id").cast("string").alias("name"), F.col("embedding").alias("v"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(fg.ward_linkage(sorted((n, list(x)) for n, x in zip(pdf["name"], pdf["v"]))), columns=["step", "a", "b", "distance", "size"])
 
-    return means.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(run, "step int, a string, b string, distance double, size int")
+    return v.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(run, "step int, a string, b string, distance double, size int")
 
 
 @query(_E + ", u AS (SELECT DISTINCT graph_id, least(src, dst) AS a, greatest(src, dst) AS b FROM e WHERE src <> dst) SELECT x.graph_id, x.a, x.b, y.b AS c FROM u x JOIN u y ON y.graph_id = x.graph_id AND y.a = x.b JOIN u z ON z.graph_id = x.graph_id AND z.a = x.a AND z.b = y.b")

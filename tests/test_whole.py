@@ -1,6 +1,7 @@
 """Queries that do the whole job, against brute force."""
 
 import json
+import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -124,3 +125,27 @@ def test_maximal_cliques(spark):
         want |= {(g, len(c), ",".join(sorted(c))) for c in full if not any(c < d for d in full)}
     rows = entry.queries()["maximal_cliques"](spark, SF).collect()
     assert {(r.graph_id, r.size, r.members) for r in rows} == want and len(rows) == len(want)
+
+
+def test_every_vector_is_linked(spark, sf):
+    rows = sorted(entry.queries()["agglomerative_linkage"](spark, sf).collect(), key=lambda r: r.step)
+    names = {str(r.vec_id) for r in table(spark, sf, "embeddings").collect()}
+    assert len(rows) == len(names) - 1 and rows[-1]["size"] == len(names)
+    assert {x for r in rows for x in (r.a, r.b)} == names
+
+
+def test_linkage_against_a_plain_search():
+    rnd = random.Random(3)
+    points = [(f"{i:02}", [rnd.gauss(0, 1) for _ in range(4)]) for i in range(40)]
+    unit = {n: [x / sum(y * y for y in v) ** 0.5 for x in v] for n, v in points}
+    d = {(a, b): 1 - sum(x * y for x, y in zip(unit[a], unit[b])) for a in unit for b in unit if a < b}
+    at, size, want = lambda a, b: d[min(a, b), max(a, b)], dict.fromkeys(unit, 1), []
+    while len(size) > 1:
+        a, b = min(((x, y) for x in size for y in size if x < y), key=lambda p: d[p])
+        h, n, m = d[a, b], size[a], size.pop(b)
+        want.append((a, b, round(h, 9), n + m))
+        for k in size:
+            if k != a:
+                d[min(a, k), max(a, k)] = (((n + size[k]) * at(a, k) ** 2 + (m + size[k]) * at(b, k) ** 2 - size[k] * h**2) / (n + m + size[k])) ** 0.5
+        size[a] = n + m
+    assert [(a, b, round(h, 9), n) for _, a, b, h, n in fg.ward_linkage(points)] == want
