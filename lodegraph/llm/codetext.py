@@ -229,7 +229,7 @@ def natural_lines(span: Span) -> list[str]:
     out = []
     for t in span.lines:
         t = t.strip()
-        if t and t[:2] not in ("--", "==", "**", "- ") and not (_is_statement(t) or _MARK.match(t) or _QUERY.match(t)):
+        if t and (t[:2] not in ("--", "==", "**", "- ") or _LETTERS.search(t)) and not (_is_statement(t) or _MARK.match(t) or _QUERY.match(t)):
             out.append(t)
     return out
 
@@ -249,8 +249,6 @@ def folded_words(text: str) -> list[str]:
     return out
 
 
-#: A span that a language's dictionary brings under this share of its bytes is settled.
-SETTLED = 1 / 3
 #: Bytes by which the dictionary of code has to be worse than the best language.
 MARGIN = 1
 #: Weight of how much more often than usual a string stands in programs of a house language.
@@ -274,11 +272,9 @@ class Dictionaries:
         held.precompute_compress(compression_params=how)
         return zstandard.ZstdCompressor(dict_data=held, compression_params=how)
 
-    def language(self, words: bytes, first: str | None = None) -> str | None:
+    def language(self, words: bytes) -> str | None:
         """Language of the shortest encoding of folded words, None if code encodes them as short."""
-        if first is not None and len(self.encoders[first].compress(words)) <= SETTLED * len(words):
-            return first
-        size, name = min((len(self.encoders[n].compress(words)), n != first, n) for n in self.names)[::2]
+        size, name = min((len(self.encoders[n].compress(words)), n) for n in self.names)
         return name if size + MARGIN <= len(self.code.compress(words)) else None
 
 
@@ -405,7 +401,6 @@ def natural_language(chunks: DataFrame, types: DataFrame, dictionaries: tuple[di
         known: dict[str, str | None] = {}
         for batch in batches:
             rows: list[tuple] = []
-            last: str | None = None
             for i, (text, is_jcl) in enumerate(zip(batch.column("text").to_pylist(), batch.column("is_jcl").to_pylist())):
                 for span in spans(text, is_jcl):
                     lines = natural_lines(span)
@@ -415,15 +410,11 @@ def natural_language(chunks: DataFrame, types: DataFrame, dictionaries: tuple[di
                     if len(words) < LEAST_WORDS:
                         continue
                     key = " ".join(words)
-                    if span.kind == "literal":
-                        if key not in known:
-                            if len(known) > 100_000:
-                                known.clear()
-                            known[key] = encoders.language(key.encode())
-                        lang = known[key]
-                    else:
-                        lang = encoders.language(key.encode(), last)
-                        last = lang or last
+                    if key not in known:
+                        if len(known) > 100_000:
+                            known.clear()
+                        known[key] = encoders.language(key.encode())
+                    lang = known[key]
                     if lang is not None:
                         rows.append((i, span.start_line, span.kind, lang, len(words), sum(map(len, lines)), len(text)))
             cols = list(zip(*rows)) if rows else [()] * 7

@@ -149,3 +149,23 @@ def test_linkage_against_a_plain_search():
                 d[min(a, k), max(a, k)] = (((n + size[k]) * at(a, k) ** 2 + (m + size[k]) * at(b, k) ** 2 - size[k] * h**2) / (n + m + size[k])) ** 0.5
         size[a] = n + m
     assert [(a, b, round(h, 9), n) for _, a, b, h, n in fg.ward_linkage(points)] == want
+
+
+def test_comments_have_the_shortest_encoding_whatever_stood_before(spark):
+    from lodegraph.llm import codetext
+
+    left, right = "zorba quelim vanto brusk dapper wixon", "plimth ogre yuslak terrno fabix junder"
+    said = "hermod kasli bovent truska limpar odwen"
+    dictionaries = {"de": f"{said} . {left} . mumble . {right}".encode(), "fr": f"other . {left} {right}".encode()}, b"code"
+    rows = [(1, "comments", "P", f"000100* {said}\n000200 A-1.\n000300* {left}\n000400* {right}")]
+    chunks = spark.createDataFrame(rows, "row_id long, chunk_type string, program string, text string")
+    types = spark.createDataFrame([("comments", "cobol", True)], "chunk_type string, family string, holds_source boolean")
+    got = {(r.start_line, r.lang) for r in codetext.natural_language(chunks, types, dictionaries).collect()}
+    assert got == {(1, "de"), (3, "fr")}
+
+
+def test_lines_with_words_are_no_rules():
+    from lodegraph.llm import codetext
+
+    line = "- the job moves the customer address"
+    assert codetext.natural_lines(codetext.Span(1, "comment", (line, "- - - -", "====", "** **"))) == [line]
