@@ -23,6 +23,13 @@ def members(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 
 
+def unquoted(text: Column) -> Column:
+    """JSON text out of a JSON string that holds it, as often as it is wrapped; other text as it is."""
+    wraps = F.length(F.regexp_extract(text, r'^[\s"\\]+', 0))
+    inner = F.aggregate(F.sequence(F.lit(1), F.greatest(wraps, F.lit(1))), text, lambda t, _: F.when(t.rlike(r'^\s*"'), F.coalesce(F.get_json_object(t, "$"), t)).otherwise(t))
+    return F.when(text.rlike(r'^\s*"'), inner).otherwise(text)
+
+
 def nesting(json: Column) -> Column:
     """Depth of objects and arrays in JSON text, what stands in strings left out; 0 for null."""
     marks = F.regexp_replace(F.regexp_replace(json, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]+", "")

@@ -4,15 +4,18 @@ A record's JSON is read as a variant and split once into the entries of its top-
 very large record becomes many rows. Within an entry a higher-order fold walks down one object level a
 step: nested transforms attach path, parent path and member name, flatten joins the arrays of a level and
 the fold keeps all levels. One inline per target table then emits its rows. Nothing is limited: the fold
-takes as many steps as the entry's own text has nested objects.
+takes as many steps as the entry's own text has nested objects. Text that the JVM's parser refuses is
+walked over Arrow batches instead; what is no JSON at all is reported by `rejected`.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodegraph.functions.json import items, members, nesting
+from lodegraph.functions.json import items, members, nesting, unquoted
+from lodegraph.functions.jsontext import read, write
 
 #: Members whose object entries are rows of the flat tables.
 ENTRY_MEMBERS = ("codeVertices", "dataVertices", "edges", "children", "declarationFacts", "args", "handler_bindings")
@@ -56,12 +59,11 @@ def _level(n: Column, names: tuple[str, ...]) -> Column:
 def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], names: tuple[str, ...] = ENTRY_MEMBERS) -> DataFrame:
     """(key, path, parent_path, member, node_id, json) of every object that is an entry of `names`.
 
-    columns: JSON column -> its member name at the root. Null, empty and malformed columns, and columns
-    that hold no array or object, give no rows; null entries keep their position but are no rows. Exact
+    columns: JSON column -> its member name at the root. A JSON string that holds the JSON is
+    read as what it holds. Null, empty and malformed columns, and columns that hold no array or object, give no rows; null entries keep their position but are no rows. Exact
     copies of a record are read once. node_id is '' where the id is missing or null."""
-    key_rows = df.select(F.col(key).alias("_key"), F.explode(F.array(*[F.struct(F.lit(m).alias("member"), F.col(c).alias("json")) for c, m in columns.items()])).alias("_c"))
-    texts = key_rows.select("_key", "_c.*").filter("json is not null and trim(json) <> ''").dropDuplicates(["_key", "member", "json"])
-    roots = texts.select("_key", "member", F.try_parse_json("json").alias("v")).filter("v is not null")
+    texts = _texts(df, key, columns)
+    roots = texts.filter("v is not null")
     entries = F.coalesce(items(F.col("v")), F.when(members(F.col("v")).isNotNull(), F.array("v")), F.array().cast("array<variant>"))
     top = roots.select("_key", "member", F.posexplode(entries).alias("pos", "v"))
     # A few records hold most entries: spread the entries, not the records.
@@ -75,19 +77,90 @@ def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], names: tuple[
         lambda s, _: F.transform(F.array(F.flatten(F.transform(s["now"], lambda n: _level(n, names)))), lambda nxt: F.struct(nxt.alias("now"), F.concat(s["all"], F.array(nxt)).alias("all")))[0],
         lambda s: F.filter(F.flatten(s["all"]), lambda n: n["is_row"]),
     )
-    return (
+    found = (
         top.select("_key", F.greatest(nesting(F.to_json("v")), F.lit(1)).alias("depth"), first.alias("node"))
         .select("_key", F.inline(walked))
-        .select(
-            F.col("_key").alias(key),
-            "path",
-            "parent_path",
-            "member",
-            F.coalesce(F.try_variant_get("v", "$.id", "string"), F.lit("")).alias("node_id"),
-            "v",
-        )
-        .dropDuplicates([key, "path", "parent_path", "node_id"])
+        .select("_key", "path", "parent_path", "member", F.coalesce(F.try_variant_get("v", "$.id", "string"), F.lit("")).alias("node_id"), "v")
     )
+    return found.unionByName(_refused(texts, names)).dropDuplicates(["_key", "path", "parent_path", "node_id"]).withColumnRenamed("_key", key)
+
+
+def _texts(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """(_key, member, json, v) of every distinct column text that is not blank; v is null where the JVM's parser refuses it."""
+    rows = df.select(F.col(key).alias("_key"), F.explode(F.array(*[F.struct(F.lit(m).alias("member"), F.col(c).alias("json")) for c, m in columns.items()])).alias("_c"))
+    texts = rows.select("_key", "_c.*").filter("json is not null and trim(json) <> ''").dropDuplicates(["_key", "member", "json"])
+    return texts.withColumn("v", F.try_parse_json(unquoted(F.col("json"))))
+
+
+def _refused(texts: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The rows of the texts that the JVM's parser refuses (more than 1,000 levels, repeated members, NaN,
+    raw control characters), walked over Arrow batches; v holds a row's plain members only."""
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = texts.filter("v is null").select("_key", "member", "json").repartition(n)
+    kind = dict(rest.dtypes)["_key"]
+
+    def walk(batches):
+        for batch in batches:
+            keys, members_, texts_ = (batch.column(i).to_pylist() for i in range(3))
+            rows = [(k, *row) for k, m, t in zip(keys, members_, texts_) for row in walked_text(t, m, names)]
+            cols = list(zip(*rows)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), *[pa.array(c, pa.string()) for c in cols[1:]]], ["_key", "path", "parent_path", "member", "node_id", "plain"])
+
+    out = rest.mapInArrow(walk, f"_key {kind}, path string, parent_path string, member string, node_id string, plain string")
+    return out.withColumn("v", F.try_parse_json("plain")).drop("plain")
+
+
+def walked_text(text: str, member: str, names: tuple[str, ...] = ENTRY_MEMBERS) -> list[tuple[str, str, str, str, str]]:
+    """(path, parent_path, member, node_id, plain members as JSON) of one text; none where it is no JSON."""
+    try:
+        root = read(text)
+    except ValueError:
+        return []
+    tops = root if isinstance(root, list) else [root] if isinstance(root, dict) else []
+    todo = [(f"{member}.{i}", "", member, member in names and isinstance(x, dict), x) for i, x in enumerate(tops) if isinstance(x, (dict, list))]
+    out = []
+    while todo:
+        path, parent, name, is_row, v = todo.pop()
+        if isinstance(v, list):
+            todo += [(f"{path}.{i}", parent, name, False, x) for i, x in enumerate(v) if isinstance(x, (dict, list))]
+            continue
+        owner = path if is_row else parent
+        if is_row:
+            i = v.get("id")
+            node_id = "" if i is None else str(i) if isinstance(i, str) else write(i)
+            out.append((path, parent, name, node_id, write({k: x for k, x in v.items() if not isinstance(x, (dict, list)) and x not in ("NaN", "Infinity", "-Infinity")})))
+        for k, e in v.items():
+            if isinstance(e, dict):
+                todo.append((f"{path}.{k}.0", owner, k, True, e) if k in names else (f"{path}.{k}", owner, k, False, e))
+            elif isinstance(e, list):
+                todo += [(f"{path}.{k}.{i}", owner, k, k in names and isinstance(x, dict), x) for i, x in enumerate(e) if isinstance(x, (dict, list))]
+    return out
+
+
+def rejected(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """(key, member, n_chars, reason) of column texts that give no rows because they are no JSON ('malformed')
+    or JSON of another shape than an array or object ('scalar'; JSON null is no reject)."""
+    texts = _texts(df, key, columns)
+    odd = texts.filter("v is null or (not is_variant_null(v) and try_variant_get(v, '$', 'map<string,variant>') is null and try_variant_get(v, '$', 'array<variant>') is null)")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = odd.select("_key", "member", "json", F.lit("").alias("reason")).repartition(n)
+
+    def judge(batches):
+        for batch in batches:
+            reasons = [reason(t) for t in batch.column(2).to_pylist()]
+            marked = batch.set_column(3, "reason", pa.array(reasons, pa.string()))
+            yield marked.filter(pa.array([r is not None for r in reasons], pa.bool_()))
+
+    return rest.mapInArrow(judge, rest.schema).select(F.col("_key").alias(key), "member", F.length("json").alias("n_chars"), "reason")
+
+
+def reason(text: str) -> str | None:
+    """Why a text gives no rows: 'malformed', 'scalar', or None where it is an array, an object or null."""
+    try:
+        value = read(text)
+    except ValueError:
+        return "malformed"
+    return None if value is None or isinstance(value, (dict, list)) else "scalar"
 
 
 def flat_table(nodes: DataFrame, key: str, member: str | list[str], fields: dict[str, str]) -> DataFrame:

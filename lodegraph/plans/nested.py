@@ -34,7 +34,12 @@ def p6_facts(spark: SparkSession, sf: str) -> DataFrame:
     return nested.flat_table(_nodes(spark, sf), "model_id", ["declarationFacts", "args", "handler_bindings"], {"fact": "string", "line": "int", "k": "string", "v": "string", "target": "string"})
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_code_vertices, p6_data_vertices, p6_edges, p6_facts)}
+def p6_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Column texts that are no JSON, or JSON without entries."""
+    return nested.rejected(table(spark, sf, "unified_model"), "model_id", COLUMNS)
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p6_code_vertices, p6_data_vertices, p6_edges, p6_facts, p6_rejects)}
 _NAMES = ", ".join(f"'{m}'" for m in nested.ENTRY_MEMBERS)
 
 _WALK = f"""

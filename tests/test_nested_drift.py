@@ -1,5 +1,5 @@
 import json
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from lodegraph.operators import drift, nested
 
@@ -102,3 +102,18 @@ def test_tags_of_numbers(spark):
     tags = {r.path: r.tag for r in df.select(F.inline(drift.tagged_fields(F.col("p")))).collect()}
     assert tags == {"i": "integer", "d": "decimal", "e": "decimal", "b": "boolean", "s": "string", "u": "string", "n": None}
     assert defaultdict(int) == {}
+
+
+def test_nested_text_in_every_form(spark):
+    """Deep nesting, repeated members, NaN, raw tabs, JSON within JSON strings; what is no JSON is reported."""
+    chain = lambda k: '{"id":1,"children":[' * k + '{"id":2}' + "]}" * k
+    wrapped = json.dumps(json.dumps(json.dumps([{"id": 8, "children": {"id": None}}])))
+    texts = [f"[{chain(519)}]", f"[{chain(1500)}]", '[{"id":1,"x":3,"id":5}]', '[{"id":1,"a":NaN}]', '﻿[{"id":1}]', '[{"id":"a\tb"}]', wrapped, "oops", '"plain"', "null", " ", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "model_id long, dv string")
+    rows = nested.nested_nodes(df, "model_id", {"dv": "dataVertices"}).select("model_id", "path", "parent_path", "node_id").collect()
+    count = Counter(r.model_id for r in rows)
+    assert count == {0: 520, 1: 1501, 2: 1, 3: 1, 4: 1, 5: 1, 6: 2}
+    for i in count:
+        assert {(r.path, r.parent_path, r.node_id) for r in rows if r.model_id == i} == {(p, o, n) for p, o, _, n, _ in nested.walked_text(texts[i], "dataVertices")}
+    assert {r.node_id for r in rows if r.model_id == 2} == {"5"}
+    assert {(r.model_id, r.reason) for r in nested.rejected(df, "model_id", {"dv": "dataVertices"}).collect()} == {(7, "malformed"), (8, "scalar")}
