@@ -10,54 +10,69 @@ walked over Arrow batches instead; what is no JSON at all is reported by `reject
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodegraph.functions.json import items, members, nesting, unquoted
+from lodegraph.functions.json import items, let, members, nesting, unquoted
 from lodegraph.functions.jsontext import read, write
 
 #: Members whose object entries are rows of the flat tables.
 ENTRY_MEMBERS = ("codeVertices", "dataVertices", "edges", "children", "declarationFacts", "args", "handler_bindings")
 
-_NODE = "struct<path:string,parent_path:string,owner:string,member:string,is_row:boolean,v:variant>"
+_NODE = "struct<path:string,parent_path:string,owner:string,member:string,is_row:boolean,of:map<string,variant>,list:array<variant>>"
+#: Levels walked before an entry's depth is measured; deeper entries take as many further steps as they need.
+FIRST_LEVELS = 4
+
+
+def _node(path: Column, parent: Column, member: Column, is_row: Column, of: Column, list_: Column) -> Column:
+    """owner: the path that children of this node name as their parent. of, list: the node's members or entries."""
+    return F.struct(path.alias("path"), parent.alias("parent_path"), F.when(is_row, path).otherwise(parent).alias("owner"), member.alias("member"), is_row.alias("is_row"), of.alias("of"), list_.alias("list"))
 
 
-def _node(path: Column, parent: Column, member: Column, is_row: Column, v: Column) -> Column:
-    """owner: the path that children of this node name as their parent."""
-    return F.struct(path.alias("path"), parent.alias("parent_path"), F.when(is_row, path).otherwise(parent).alias("owner"), member.alias("member"), is_row.alias("is_row"), v.alias("v"))
+def _containers(values: Column, node: Callable[[Column, Column, Column], Column]) -> Column:
+    """node(members, entries, position) of the objects and arrays among `values`; each is opened once."""
+    opened = F.transform(values, lambda x, i: F.struct(members(x).alias("of"), items(x).alias("list"), i.alias("i")))
+    return F.transform(F.filter(opened, lambda o: o["of"].isNotNull() | o["list"].isNotNull()), lambda o: node(o["of"], o["list"], o["i"]))
 
 
 def _level(n: Column, names: tuple[str, ...]) -> Column:
     """The containers one object level below node `n`."""
-    of_object = F.flatten(
-        F.transform(
-            F.map_entries(F.coalesce(members(n["v"]), F.create_map().cast("map<string,variant>"))),
-            lambda e: F.flatten(
-                F.array(
-                    F.transform(
-                        F.coalesce(items(e["value"]), F.array().cast("array<variant>")),
-                        lambda x, i: _node(F.concat_ws(".", n["path"], e["key"], i.cast("string")), n["owner"], e["key"], e["key"].isin(*names) & members(x).isNotNull(), x),
-                    ),
-                    F.when(
-                        members(e["value"]).isNotNull(),
-                        F.array(
-                            F.when(e["key"].isin(*names), _node(F.concat_ws(".", n["path"], e["key"], F.lit("0")), n["owner"], e["key"], F.lit(True), e["value"]))
-                            .otherwise(_node(F.concat_ws(".", n["path"], e["key"]), n["owner"], e["key"], F.lit(False), e["value"]))
-                        ),
-                    ).otherwise(F.array().cast(f"array<{_NODE}>")),
-                )
-            ),
-        )
-    )
+    none = F.lit(None)
+    empty = F.array().cast(f"array<{_NODE}>")
+
+    def below(e: Column) -> Column:
+        at = F.concat_ws(".", n["path"], e["key"])
+        listed = _containers(e["list"], lambda of, lst, i: _node(F.concat_ws(".", at, i.cast("string")), n["owner"], e["key"], e["key"].isin(*names) & of.isNotNull(), of, lst))
+        alone = let(e["key"].isin(*names), lambda row: _node(F.when(row, F.concat_ws(".", at, F.lit("0"))).otherwise(at), n["owner"], e["key"], row, e["of"], none.cast("array<variant>")))
+        return F.when(e["of"].isNotNull(), F.array(alone)).when(e["list"].isNotNull(), listed).otherwise(empty)
+
+    opened = F.transform(F.map_entries(n["of"]), lambda e: F.struct(e["key"].alias("key"), members(e["value"]).alias("of"), items(e["value"]).alias("list")))
+    of_object = F.flatten(F.transform(F.filter(opened, lambda e: e["of"].isNotNull() | e["list"].isNotNull()), below))
     # An array right within an array: its entries lie on the path, but belong to no member.
-    of_array = F.transform(F.coalesce(items(n["v"]), F.array().cast("array<variant>")), lambda x, i: _node(F.concat_ws(".", n["path"], i.cast("string")), n["owner"], n["member"], F.lit(False), x))
-    below = F.concat(of_object, of_array)
-    return F.filter(below, lambda x: members(x["v"]).isNotNull() | items(x["v"]).isNotNull())
+    of_array = _containers(n["list"], lambda of, lst, i: _node(F.concat_ws(".", n["path"], i.cast("string")), n["owner"], n["member"], F.lit(False), of, lst))
+    return F.when(n["of"].isNotNull(), of_object).otherwise(of_array)
+
+
+def _walked(entry: Column, start: Column, names: tuple[str, ...]) -> Column:
+    """Rows of an entry: a few levels at once, then as many more as its text is deep, where any are left."""
+
+    def step(s: Column, _: Column) -> Column:
+        return F.when(F.size(s["now"]) == 0, s).otherwise(let(F.flatten(F.transform(s["now"], lambda n: _level(n, names))), lambda nxt: F.struct(nxt.alias("now"), F.concat(s["all"], _rows(nxt)).alias("all"))))
+
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(FIRST_LEVELS)), F.struct(F.array(start).alias("now"), _rows(F.array(start)).alias("all")), step)
+    rest = lambda s: F.aggregate(F.sequence(F.lit(1), F.greatest(nesting(F.to_json(entry)), F.lit(1))), s, step)
+    return let(first, lambda s: F.when(F.size(s["now"]) == 0, s).otherwise(rest(s)))["all"]
+
+
+def _rows(nodes: Column) -> Column:
+    return F.transform(F.filter(nodes, lambda n: n["is_row"]), lambda n: F.struct(n["path"].alias("path"), n["parent_path"].alias("parent_path"), n["member"].alias("member"), n["of"].alias("of")))
 
 
 def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], names: tuple[str, ...] = ENTRY_MEMBERS) -> DataFrame:
-    """(key, path, parent_path, member, node_id, json) of every object that is an entry of `names`.
+    """(key, path, parent_path, member, node_id, of) of every object that is an entry of `names`.
 
     columns: JSON column -> its member name at the root. A JSON string that holds the JSON is
     read as what it holds. Null, empty and malformed columns, and columns that hold no array or object, give no rows; null entries keep their position but are no rows. Exact
@@ -68,20 +83,12 @@ def nested_nodes(df: DataFrame, key: str, columns: dict[str, str], names: tuple[
     top = roots.select("_key", "member", F.posexplode(entries).alias("pos", "v"))
     # A few records hold most entries: spread the entries, not the records.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = top.filter(members(F.col("v")).isNotNull() | items(F.col("v")).isNotNull()).repartition(n, F.xxhash64("_key", "member", "pos"))
+    top = top.filter(F.left(F.schema_of_variant("v"), F.lit(5)).isin("OBJEC", "ARRAY")).repartition(n, F.xxhash64("_key", "member", "pos"))
     path = F.concat_ws(".", "member", F.col("pos").cast("string"))
-    first = _node(path, F.lit(""), F.col("member"), F.col("member").isin(*names) & members(F.col("v")).isNotNull(), F.col("v"))
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.col("depth")),
-        F.struct(F.array("node").alias("now"), F.array(F.array("node")).alias("all")),
-        lambda s, _: F.transform(F.array(F.flatten(F.transform(s["now"], lambda n: _level(n, names)))), lambda nxt: F.struct(nxt.alias("now"), F.concat(s["all"], F.array(nxt)).alias("all")))[0],
-        lambda s: F.filter(F.flatten(s["all"]), lambda n: n["is_row"]),
-    )
-    found = (
-        top.select("_key", F.greatest(nesting(F.to_json("v")), F.lit(1)).alias("depth"), first.alias("node"))
-        .select("_key", F.inline(walked))
-        .select("_key", "path", "parent_path", "member", F.coalesce(F.try_variant_get("v", "$.id", "string"), F.lit("")).alias("node_id"), "v")
-    )
+    start = let(members(F.col("v")), lambda of: _node(path, F.lit(""), F.col("member"), F.col("member").isin(*names) & of.isNotNull(), of, F.when(of.isNull(), items(F.col("v")))))
+    walked = _walked(F.col("v"), start, names)
+    node_id = F.coalesce(F.try_variant_get(F.col("of")["id"], "$", "string"), F.lit(""))
+    found = top.select("_key", F.inline(walked)).select("_key", "path", "parent_path", "member", node_id.alias("node_id"), "of")
     return found.unionByName(_refused(texts, names)).dropDuplicates(["_key", "path", "parent_path", "node_id"]).withColumnRenamed("_key", key)
 
 
@@ -94,7 +101,7 @@ def _texts(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
 
 def _refused(texts: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """The rows of the texts that the JVM's parser refuses (more than 1,000 levels, repeated members, NaN,
-    raw control characters), walked over Arrow batches; v holds a row's plain members only."""
+    raw control characters), walked over Arrow batches; `of` holds a row's plain members only."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = texts.filter("v is null").select("_key", "member", "json").repartition(n)
     kind = dict(rest.dtypes)["_key"]
@@ -107,7 +114,7 @@ def _refused(texts: DataFrame, names: tuple[str, ...]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.schema.field(0).type), *[pa.array(c, pa.string()) for c in cols[1:]]], ["_key", "path", "parent_path", "member", "node_id", "plain"])
 
     out = rest.mapInArrow(walk, f"_key {kind}, path string, parent_path string, member string, node_id string, plain string")
-    return out.withColumn("v", F.try_parse_json("plain")).drop("plain")
+    return out.withColumn("of", members(F.try_parse_json("plain"))).drop("plain")
 
 
 def walked_text(text: str, member: str, names: tuple[str, ...] = ENTRY_MEMBERS) -> list[tuple[str, str, str, str, str]]:
@@ -168,4 +175,4 @@ def flat_table(nodes: DataFrame, key: str, member: str | list[str], fields: dict
 
     A value that does not fit its type is null."""
     ms = [member] if isinstance(member, str) else member
-    return nodes.filter(F.col("member").isin(*ms)).select(key, "path", "parent_path", "node_id", *[F.try_variant_get("v", f"$.{f}", t).alias(f.lower()) for f, t in fields.items()])
+    return nodes.filter(F.col("member").isin(*ms)).select(key, "path", "parent_path", "node_id", *[F.try_variant_get(F.col("of")[f], "$", t).alias(f.lower()) for f, t in fields.items()])
