@@ -45,7 +45,7 @@ def compact(c: str | Column, limit: int | None = None) -> Column:
 
 def strip_noise(c: str | Column) -> Column:
     """Without zero-width characters and byte order marks."""
-    return F.regexp_replace(col(c), "[​‌‍⁠﻿]", "")
+    return F.regexp_replace(col(c), "[\\u200b\\u200c\\u200d\\u2060\\ufeff]", "")
 
 
 def safe_name(c: str | Column) -> Column:
@@ -60,21 +60,79 @@ def lines(c: str | Column) -> Column:
     return F.split(col(c), r"\r?\n")
 
 
+#: What a deactivated line of source starts with, and directives that only move the listing.
+CODE_VERBS = (
+    "MOVE", "PERFORM", "GO TO", "GOBACK", "STOP RUN", "EXIT", "IF", "THEN", "ELSE", "END-IF", "EVALUATE", "WHEN", "READ", "READNEXT", "READPREV", "WRITE", "REWRITE",
+    "DELETE", "START", "STARTBR", "ENDBR", "RESETBR", "CALL", "COPY", "ADD", "SUBTRACT", "COMPUTE", "INITIALIZE", "SET",
+)
+EXEC_LANGUAGES = ("CICS", "SQL", "DLI", "IMS")
+LISTING_DIRECTIVES = ("EJECT", "SKIP")
+#: Words in the first area of a line that name no paragraph.
+NO_PARAGRAPH = (
+    "PROCEDURE", "WORKING-STORAGE", "DATA", "IDENTIFICATION", "ENVIRONMENT", "FILE", "LINKAGE", "CONFIGURATION", "INPUT-OUTPUT", "FILE-CONTROL", "DIVISION", "SECTION",
+    "FD", "SD", "01", "77", "COPY", "REPLACE", "EXEC", "PROGRAM-ID", "AUTHOR", "DATE-WRITTEN", "DATE-COMPILED",
+)
+
+#: Patterns that Java's and RE2's regular expressions read alike, so that SQL can state them too.
+EXEC_PATTERN = rf"(?i)\bEXEC\s+({'|'.join(EXEC_LANGUAGES)})\b"
+LABEL_PATTERN = r"(?i)^\s*[A-Z0-9][A-Z0-9_-]+\.\s*$"
+NOISE_PATTERN = rf"(?i)^\s*(({'|'.join(LISTING_DIRECTIVES)})|[-=*_/\s]*$)"
+CODE_PATTERN = (
+    rf"(?i)^\s*(EXEC\s+({'|'.join(EXEC_LANGUAGES)})\b|({'|'.join(v.replace(' ', chr(92) + 's+') for v in CODE_VERBS)})\b"
+    r"|[A-Z0-9][A-Z0-9_-]+\.\s*$|(INPUT|OUTPUT)\s*:\s*$|[0-9]{2}\s+[A-Z0-9_-]+\b)"
+)
+
+
 def is_noise_line(line: Column) -> Column:
-    """A line without any letter or digit."""
-    return ~line.rlike("[A-Za-z0-9]")
+    """A comment without content: blank, a rule of decoration, or a directive of the listing."""
+    return line.rlike(NOISE_PATTERN)
 
 
 def is_code_like(line: Column) -> Column:
-    return line.rlike(r"^[ *]*(MOVE|PERFORM|IF|ELSE|END-IF|CALL|EXEC|END-EXEC|ADD|COMPUTE|DISPLAY|READ|WRITE|GO TO)\b")
+    """A comment line that looks like a deactivated statement, label or data entry, in any letter case."""
+    return line.rlike(CODE_PATTERN)
 
 
 def is_commented_out(block: Column) -> Column:
-    """An array of comment lines that is code: at least 3 code lines, or 2 that are half of the block, or
-    an EXEC with another code line."""
-    n = F.size(F.filter(block, is_code_like))
-    has_exec = F.exists(block, lambda x: x.rlike(r"\bEXEC (SQL|CICS|DLI)\b"))
-    return (n >= 3) | ((n >= 2) & (n * 2 >= F.size(block))) | (has_exec & (n >= 2))
+    """An array of comment lines that is code: at least three code lines, two that are half of the lines
+    that are not blank, or an EXEC beside another code line or a label."""
+    some = F.filter(block, lambda x: x.rlike(r"\S"))
+    n = F.size(F.filter(some, is_code_like))
+    has_exec, has_label = F.exists(some, lambda x: x.rlike(EXEC_PATTERN)), F.exists(some, lambda x: x.rlike(LABEL_PATTERN))
+    return (n >= 3) | (has_exec & ((n >= 2) | has_label)) | ((n >= 2) & (n * 2 >= F.size(some)))
+
+
+def comment_blocks(source: Column) -> Column:
+    """array<struct<target,line_start,line_end,lines>>: the comments of fixed-form source before each
+    paragraph or section, and before the procedure division as `_PROGRAM_SUMMARY`.
+
+    Noise lines count for nothing and trailing asterisks are dropped; a statement or a division between
+    the comments and the name clears them. One fold over the lines; null text has no blocks."""
+    held = "array<struct<no:int,text:string>>"
+    none = F.array().cast(held)
+
+    def step(s: Column, line: Column) -> Column:
+        no, mark, rest = s["no"] + 1, F.substring(line, 7, 1), F.substring(line, 8, 2**30)
+        said = F.trim(F.regexp_replace(rest, r"^\s+|\s*\**\s*$", ""))
+        name = F.upper(F.regexp_extract(line, r"^.{6}\s([A-Za-z0-9][A-Za-z0-9_-]+)(?:\s+(?i:SECTION))?\.?\s*$", 1))
+        body = F.regexp_extract(F.substring(line, 8, 65), r"\S", 0)
+        is_comment, is_division = mark == "*", line.rlike(r"(?i)PROCEDURE\s+DIVISION")
+        skipped = (F.length(line) < 7) | F.lower(mark).isin("-", "/", "d")
+        is_name = name != ""
+        counts = ~name.isin(*NO_PARAGRAPH) & ~name.rlike("^[0-9]")
+        target = F.when(is_division, "_PROGRAM_SUMMARY").when(is_name & counts, name)
+        clears = is_division | F.when(is_name, counts | name.isin(*NO_PARAGRAPH)).otherwise((mark == " ") & ~body.isin("", "*"))
+        done = F.when(target.isNotNull() & (F.size(s["held"]) > 0), F.concat(s["done"], F.array(F.struct(target.alias("target"), s["held"][0]["no"].alias("line_start"), F.element_at(s["held"], -1)["no"].alias("line_end"), F.transform(s["held"], lambda h: h["text"]).alias("lines"))))).otherwise(s["done"])
+        keep = is_comment & ~is_noise_line(rest) & (said != "")
+        plain = ~skipped & ~is_comment
+        return F.struct(
+            no.alias("no"),
+            F.when(keep & (F.length(line) >= 7), F.concat(s["held"], F.array(F.struct(no.alias("no"), said.alias("text"))))).when(plain & clears, none).otherwise(s["held"]).alias("held"),
+            F.when(plain, done).otherwise(s["done"]).alias("done"),
+        )
+
+    start = F.struct(F.lit(0).alias("no"), none.alias("held"), F.array().cast("array<struct<target:string,line_start:int,line_end:int,lines:array<string>>>").alias("done"))
+    return F.when(source.isNotNull(), F.aggregate(lines(source), start, step, lambda s: s["done"]))
 
 
 def sql_tables(c: str | Column) -> Column:
@@ -121,9 +179,13 @@ def cics_command(c: str | Column) -> Column:
 
 
 def perform_varying(c: str | Column) -> Column:
-    """struct<var,from,by,until> of a PERFORM VARYING, null fields where there is none."""
-    grab = lambda g: F.nullif(F.regexp_extract(F.upper(col(c)), r"PERFORM(?:\s+\S+)?\s+VARYING\s+(\S+)\s+FROM\s+(\S+)\s+BY\s+(\S+)\s+UNTIL\s+([^.\r\n]+)", g), F.lit(""))
-    return F.struct(grab(1).alias("var"), grab(2).alias("from"), grab(3).alias("by"), F.trim(grab(4)).alias("until"))
+    """array<struct<var,from,by,until>> of a PERFORM VARYING, outermost first: its own variable, then that of every AFTER."""
+    t = F.upper(col(c))
+    whole = F.regexp_extract(t, r"(?s)\bPERFORM\b(?:\s+[A-Z0-9-]+){0,3}?\s+(?:WITH\s+TEST\s+(?:BEFORE|AFTER)\s+)?VARYING\s+([^.]*)", 1)
+    parts = F.split(whole, r"\s+AFTER\s+")
+    grab = lambda x, g: F.nullif(F.regexp_extract(x, r"(?s)^\s*(\S+)\s+FROM\s+(\S+)\s+BY\s+(\S+)\s+UNTIL\s+([^\r\n]+)", g), F.lit(""))
+    loops = F.transform(parts, lambda x: F.struct(grab(x, 1).alias("var"), grab(x, 2).alias("from"), grab(x, 3).alias("by"), F.trim(grab(x, 4)).alias("until")))
+    return F.filter(loops, lambda x: x["var"].isNotNull())
 
 
 def markdown_complexity(c: str | Column) -> Column:
@@ -158,10 +220,13 @@ def is_numeric(c: Column) -> Column:
     return F.coalesce(F.trim(c).try_cast("double").isNotNull(), F.lit(False))
 
 
+#: What only programs of the network database hold.
+IDMS_PATTERN = r"(?i)\bBIND\s+RUN-UNIT\b|\bIDMS-\w+|\bOBTAIN\s+(CALC|FIRST|NEXT|OWNER|PRIOR)\b|\bREADY\s+USAGE-MODE\b"
+
+
 def dialect(c: Column) -> Column:
-    """Dialect of source text by its markers."""
-    t = F.upper(c)
-    return F.when(t.rlike(r"\b(BIND RUN-UNIT|OBTAIN CALC|FINISH TASK)\b"), "IDMS").when(t.rlike(r"EXEC\s+CICS"), "CICS").when(t.rlike(r"EXEC\s+SQL"), "DB2").otherwise("COBOL")
+    """IDMS where the whole text has one of its markers, else COBOL."""
+    return F.when(c.rlike(IDMS_PATTERN), "IDMS").otherwise("COBOL")
 
 
 def percent(numerator: Column, denominator: Column) -> Column:

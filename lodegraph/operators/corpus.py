@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 #: Schema versions that are read, and fields that every chunk has.
 SUPPORTED_SCHEMA_VERSIONS = ("1.3", "1.4", "1.5")
-REQUIRED_FIELDS = ("chunk_id", "chunk_type", "program", "source_id", "schema_version", "content_hash")
+REQUIRED_FIELDS = ("schema_version", "pipeline_version", "analysis_timestamp", "content_hash")
 #: Thresholds of chunk sizes in tokens.
 THIN_TOKENS, MAX_TOKENS = 30, 512
 

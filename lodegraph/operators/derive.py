@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Programs of the operating system, which no corpus holds.
-SYSTEM_UTILITIES = ("IEFBR14", "IEBGENER", "IEBCOPY", "IDCAMS", "SORT", "DFSORT", "ICETOOL", "IKJEFT01", "IKJEFT1B", "DSNUTILB")
+SYSTEM_UTILITIES = ("IEFBR14", "ICEMAN", "IDCAMS", "IEBGENER", "SORT", "PARM2SK")
 #: Highest level number of a record's fields; 66, 77 and 88 have rules of their own.
 DEEPEST_LEVEL = 49
 

@@ -89,7 +89,7 @@ def copybook_resolver(spark: SparkSession, sf: str) -> DataFrame:
     return derive.resolve_names(want, files, "name", "file")
 
 
-@query(r"WITH l AS (SELECT row_id, unnest(regexp_split_to_array(text, '\r?\n')) AS line FROM chunk WHERE lower(trim(chunk_type, ' ')) = 'step_detail' AND text IS NOT NULL), s AS (SELECT DISTINCT row_id, regexp_extract(line, '^//\S*\s+EXEC\s+PGM=([A-Z0-9]+)', 1) AS program FROM l WHERE regexp_matches(line, '^//\S*\s+EXEC\s+PGM=')) SELECT row_id, program, program IN ('IEFBR14', 'IDCAMS', 'SORT') AS is_utility, program IN (SELECT program FROM program_catalog) AS in_corpus FROM s")
+@query(r"WITH l AS (SELECT row_id, unnest(regexp_split_to_array(text, '\r?\n')) AS line FROM chunk WHERE lower(trim(chunk_type, ' ')) = 'step_detail' AND text IS NOT NULL), s AS (SELECT DISTINCT row_id, regexp_extract(line, '^//\S*\s+EXEC\s+PGM=([A-Z0-9]+)', 1) AS program FROM l WHERE regexp_matches(line, '^//\S*\s+EXEC\s+PGM=')) SELECT row_id, program, program IN ('IEFBR14', 'ICEMAN', 'IDCAMS', 'IEBGENER', 'SORT', 'PARM2SK') AS is_utility, program IN (SELECT program FROM program_catalog) AS in_corpus FROM s")
 def step_program_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "chunk").filter("lower(trim(chunk_type)) = 'step_detail' and text is not null")
     steps = c.select("row_id", F.explode(F.regexp_extract_all("text", F.lit(r"(?m)^//\S*[ ]+EXEC[ ]+PGM=([A-Z0-9]+)"), F.lit(1))).alias("program")).distinct()

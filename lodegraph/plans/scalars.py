@@ -47,16 +47,45 @@ def figurative_map(spark: SparkSession, sf: str) -> DataFrame:
     return v.select("name", text.figurative("name").alias("value"))
 
 
-@query(r"SELECT row_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT regexp_matches(l, '[A-Za-z0-9]')) AS n_noise, count(*) FILTER (WHERE regexp_matches(l, '^[ *]*(MOVE|PERFORM|IF|ELSE|END-IF|CALL|EXEC|END-EXEC|ADD|COMPUTE|DISPLAY|READ|WRITE|GO TO)\b')) AS n_code FROM (SELECT row_id, unnest(regexp_split_to_array(text, '\r?\n')) AS l FROM chunk WHERE text IS NOT NULL) GROUP BY row_id")
+@query(f"SELECT row_id, count(*) AS n_lines, count(*) FILTER (WHERE regexp_matches(l, '{text.NOISE_PATTERN}')) AS n_noise, count(*) FILTER (WHERE regexp_matches(l, '{text.CODE_PATTERN}')) AS n_code FROM (SELECT row_id, unnest(list_transform(regexp_split_to_array(text, '\\r?\\n'), lambda x: substr(x, 8))) AS l FROM chunk WHERE text IS NOT NULL) GROUP BY row_id")
 def noise_line_filter(spark: SparkSession, sf: str) -> DataFrame:
-    ls = text.lines("text")
+    """Lines of every text, those that are noise, and those that look like statements."""
+    ls = F.transform(text.lines("text"), lambda x: F.substring(x, 8, 2**30))
     return table(spark, sf, "chunk").filter("text is not null").select("row_id", F.size(ls).alias("n_lines"), F.size(F.filter(ls, text.is_noise_line)).alias("n_noise"), F.size(F.filter(ls, text.is_code_like)).alias("n_code"))
 
 
-@query(r"WITH b AS (SELECT row_id, list_filter(regexp_split_to_array(text, '\r?\n'), lambda l: regexp_matches(l, '^      \*')) AS ls FROM chunk WHERE text IS NOT NULL), c AS (SELECT row_id, ls, len(list_filter(ls, lambda l: regexp_matches(substr(l, 8), '^[ *]*(MOVE|PERFORM|IF|ELSE|END-IF|CALL|EXEC|END-EXEC|ADD|COMPUTE|DISPLAY|READ|WRITE|GO TO)\b'))) AS n, len(list_filter(ls, lambda l: regexp_matches(l, '\bEXEC (SQL|CICS|DLI)\b'))) > 0 AS x FROM b) SELECT row_id, n >= 3 OR (n >= 2 AND n * 2 >= len(ls)) OR (x AND n >= 2) AS is_code FROM c WHERE len(ls) > 0")
+@query(
+    f"""WITH b AS (SELECT row_id, list_filter(list_transform(list_filter(regexp_split_to_array(text, '\\r?\\n'), lambda l: regexp_matches(l, '^......[*]')), lambda l: substr(l, 8)), lambda l: regexp_matches(l, '\\S')) AS ls FROM chunk WHERE text IS NOT NULL),
+    c AS (SELECT row_id, len(ls) AS m, len(list_filter(ls, lambda l: regexp_matches(l, '{text.CODE_PATTERN}'))) AS n, len(list_filter(ls, lambda l: regexp_matches(l, '{text.EXEC_PATTERN}'))) > 0 AS x, len(list_filter(ls, lambda l: regexp_matches(l, '{text.LABEL_PATTERN}'))) > 0 AS p FROM b)
+    SELECT row_id, n >= 3 OR (x AND (n >= 2 OR p)) OR (n >= 2 AND n * 2 >= m) AS is_code FROM c WHERE m > 0"""
+)
 def code_like_lines(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "chunk").filter("text is not null").select("row_id", F.filter(text.lines("text"), lambda x: x.rlike(r"^      \*")).alias("ls")).filter("size(ls) > 0")
-    return b.select("row_id", text.is_commented_out(F.transform("ls", lambda x: F.substring(x, 8, 500))).alias("is_code"))
+    """Whether the comment lines of a text, taken as one block, are deactivated source."""
+    ls = F.transform(F.filter(text.lines("text"), lambda x: x.rlike("^.{6}[*]")), lambda x: F.substring(x, 8, 2**30))
+    b = table(spark, sf, "chunk").filter("text is not null").select("row_id", F.filter(ls, lambda x: x.rlike(r"\S")).alias("ls")).filter("size(ls) > 0")
+    return b.select("row_id", text.is_commented_out(F.col("ls")).alias("is_code"))
+
+
+@query()
+def comment_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Comments before each paragraph, prose apart from deactivated code. A chunk ends where the next
+    paragraph begins, so its last comments belong to that one."""
+    source = F.concat("text", F.lit("\n       NEXT-PARAGRAPH.\n"))
+    b = table(spark, sf, "chunk").filter("text is not null").select("row_id", F.inline(text.comment_blocks(source)))
+    return b.select("row_id", "target", "line_start", "line_end", F.size("lines").alias("line_count"), text.is_commented_out(F.col("lines")).alias("is_code"), F.array_join("lines", "\n").alias("text"))
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey, l_linenumber, 'I' || l_linenumber AS v, l_quantity::INT::VARCHAR AS q FROM lineitem)
+    SELECT l_orderkey, l_linenumber, 0 AS nesting, v AS var, '1' AS "from", '2' AS "by", v || ' > ' || q AS until FROM l
+    UNION ALL SELECT l_orderkey, l_linenumber, 1, 'J', v, '1', 'J = ' || q FROM l WHERE l_linenumber > 1 UNION ALL SELECT l_orderkey, l_linenumber, 2, 'K', '0', '5', 'K > J' FROM l WHERE l_linenumber > 2"""
+)
+def perform_loops(spark: SparkSession, sf: str) -> DataFrame:
+    """Loop variables of PERFORM VARYING, outermost first, those of AFTER within; a statement per line of an order."""
+    v, q = F.concat(F.lit("I"), F.col("l_linenumber").cast("string")), F.col("l_quantity").cast("int").cast("string")
+    more = F.when(F.col("l_linenumber") > 2, F.concat(F.lit("\n AFTER J FROM "), v, F.lit(" BY 1 UNTIL J = "), q, F.lit("\n AFTER K FROM 0 BY 5 UNTIL K > J"))).when(F.col("l_linenumber") > 1, F.concat(F.lit(" AFTER J FROM "), v, F.lit(" BY 1 UNTIL J = "), q)).otherwise("")
+    said = F.concat(F.lit("PERFORM 100-LOAD THRU 100-EXIT VARYING "), v, F.lit(" FROM 1 BY 2 UNTIL "), v, F.lit(" > "), q, more, F.lit("."))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.posexplode(text.perform_varying(said)).alias("nesting", "l")).select("l_orderkey", "l_linenumber", "nesting", "l.*")
 
 
 @query(r"SELECT doc_id, len(list_filter(list_transform(regexp_split_to_array(text, '[.!?]+\s+|\r?\n'), lambda s: trim(s, ' ')), lambda s: s <> '')) AS n_sentences FROM documents WHERE text IS NOT NULL")
@@ -90,7 +119,7 @@ def safe_names(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").filter("source is not null").select("doc_id", text.safe_name("source").alias("safe"), text.diagram_id(F.concat("source", F.col("doc_id").cast("string"))).alias("diagram"))
 
 
-@query("SELECT row_id, CASE WHEN regexp_matches(upper(text), 'EXEC\\s+CICS') THEN 'CICS' WHEN regexp_matches(upper(text), 'EXEC\\s+SQL') THEN 'DB2' ELSE 'COBOL' END AS dialect FROM chunk WHERE text IS NOT NULL")
+@query(f"SELECT row_id, CASE WHEN regexp_matches(text, '{text.IDMS_PATTERN}') THEN 'IDMS' ELSE 'COBOL' END AS dialect FROM chunk WHERE text IS NOT NULL")
 def dialect_detection(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "chunk").filter("text is not null").select("row_id", text.dialect(F.col("text")).alias("dialect"))
 

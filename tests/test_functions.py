@@ -64,7 +64,9 @@ def test_names(spark):
     assert one(spark, text.json_in_text("v"), 'answer: {"a": 1} ok') == '{"a":1}'
     assert one(spark, text.integer(F.col("v")), "1,234") == 1234
     assert one(spark, text.call_using("v"), "CALL 'X' USING BY REFERENCE A B.") == ["A", "B"]
-    assert tuple(one(spark, text.perform_varying("v"), "PERFORM P VARYING I FROM 1 BY 2 UNTIL I > 9")) == ("I", "1", "2", "I > 9")
+    loops = one(spark, text.perform_varying("v"), "PERFORM P THRU P-EXIT VARYING I FROM 1 BY 2 UNTIL I > 9\n AFTER J FROM I BY 1 UNTIL J = 3.")
+    assert [tuple(x) for x in loops] == [("I", "1", "2", "I > 9"), ("J", "I", "1", "J = 3")]
+    assert one(spark, text.perform_varying("v"), "PERFORM P UNTIL X = 1.") == []
 
 
 @pytest.mark.parametrize("value,want", [("NULLFILE", "nullfile"), ("&&T", "temporary"), ("A.B(+1)", "generation"), ("A.B(M)", "member"), ("A.B", "plain")])
@@ -93,3 +95,29 @@ def test_statement_effects(spark):
     out = st.apply(d, fields, [st.add(["a"], ["b", "c"]), st.move("b", "a"), st.divide("c", ["b"]), st.subtract(["a"], ["c"]), st.divide("c", ["a"])], []).first()
     assert (out.a, out.b, out.c) == (None, 1.0, 0.0)
     assert one(spark, st.number(F.col("v")), "1,5") == 1.5 and one(spark, st.number(F.col("v")), " ") == 0.0
+
+
+def test_comment_blocks_part_prose_from_deactivated_code(spark):
+    """Expected results of the rules' own published cases."""
+    source = "\n".join(
+        [
+            "       IDENTIFICATION DIVISION.", "       PROGRAM-ID. TESTPROG.", "      * BEFORE ALL   ***", "      * -------", "      * EJECT", "       PROCEDURE DIVISION.",
+            "      * SENDS THE SCREEN", "       SEND-MAP.", "           EXIT.", "      * OLD DATASET BROWSE", "      * BROWSE-OLD.", "      * EXEC CICS STARTBR DATASET('OLDDS')",
+            "      * END-EXEC.", "       ACTIVE-PARA.", "           EXIT.", "      * LOST", "           MOVE A TO B.", "       LAST-PARA.",
+        ]
+    )
+    rows = spark.createDataFrame([(source,), (None,), ("",)], "v string").select(F.inline(text.comment_blocks(F.col("v")))).withColumn("code", text.is_commented_out(F.col("lines"))).collect()
+    assert [(r.target, r.line_start, r.line_end, r.lines, r.code) for r in rows] == [
+        ("_PROGRAM_SUMMARY", 3, 3, ["BEFORE ALL"], False),
+        ("SEND-MAP", 7, 7, ["SENDS THE SCREEN"], False),
+        ("ACTIVE-PARA", 10, 13, ["OLD DATASET BROWSE", "BROWSE-OLD.", "EXEC CICS STARTBR DATASET('OLDDS')", "END-EXEC."], True),
+    ]
+    block = lambda *x: one(spark, text.is_commented_out(F.split("v", "\n")), "\n".join(x))
+    assert block("OLD.", "MOVE 'X' TO FIELD-A.", "EXEC CICS LINK PROGRAM('OLDPGM') END-EXEC.") and block("old-para.", "exec sql commit")
+    assert not block("Moves the row", "to the next page") and not block("start of day", "prose", "more prose", "rest")
+
+
+def test_markers_of_the_network_database(spark):
+    for marked in ("BIND RUN-UNIT", "IDMS-STATUS", "OBTAIN FIRST X", "obtain owner", "READY USAGE-MODE IS UPDATE"):
+        assert one(spark, text.dialect(F.col("v")), f"x {marked} y") == "IDMS"
+    assert one(spark, text.dialect(F.col("v")), "EXEC CICS LINK") == "COBOL"
