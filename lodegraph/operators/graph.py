@@ -5,14 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodegraph.session import cut
+from lodegraph.session import cut, release
 
 #: Edge types of the projections of a unified model.
 AST_EDGES = ("CONTAINS_CODE",)
 CFG_EDGES = ("STARTS_WITH", "FOLLOWED_BY")
 DATA_EDGES = ("CONTAINS_DATA", "FLOWS_INTO", "REDEFINES")
-#: Rounds of a traversal between two cuts of its lineage.
-CUT_EVERY = 4
+#: Parts of equal rank that a traversal keeps before it merges them, so that a row is rewritten a few times only.
+MERGE_AT = 4
+
+
+class Visited:
+    """What a traversal has visited: cut parts, merged by rank like those of a log-structured store."""
+
+    def __init__(self, first: DataFrame):
+        self.parts = [(0, first)]
+
+    def all(self) -> DataFrame:
+        out = self.parts[0][1]
+        for _, p in self.parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def add(self, part: DataFrame) -> list[DataFrame]:
+        """Parts that are merged away now: `part` itself may be among them, so release them when it is not read again."""
+        self.parts.append((0, part))
+        old: list[DataFrame] = []
+        while len(self.parts) >= MERGE_AT and len({rank for rank, _ in self.parts[-MERGE_AT:]}) == 1:
+            tail = self.parts[-MERGE_AT:]
+            merged = tail[0][1]
+            for _, p in tail[1:]:
+                merged = merged.unionByName(p)
+            self.parts[-MERGE_AT:] = [(tail[0][0] + 1, cut(merged))]
+            old += [p for _, p in tail]
+        return old
 
 
 def project(edges: DataFrame, *edge_types: str) -> DataFrame:
@@ -44,21 +70,20 @@ def degrees(edges: DataFrame) -> DataFrame:
 def reach(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, id, depth): least number of edges from each root; roots at depth 0.
 
-    Rounds of frontier joins: only nodes new in a round go on, and what is visited is cut from its lineage
-    every few rounds. roots: root, id. Ends when a round finds nothing new, so cycles need no guard."""
-    hops = edges.select("src", "dst").filter("src <> dst").distinct()
-    seen = cut(roots.select("root", "id").distinct().withColumn("depth", F.lit(0)))
-    front, depth = seen, 0
+    Rounds of frontier joins: only nodes new in a round go on, and what is visited lies in a few cut parts.
+    roots: root, id. Ends when a round finds nothing new, so cycles need no guard."""
+    hops = cut(edges.select("src", "dst").filter("src <> dst").distinct())
+    front = cut(roots.select("root", "id").distinct().withColumn("depth", F.lit(0)))
+    seen, depth, old = Visited(front), 0, []
     while max_depth is None or depth < max_depth:
         depth += 1
-        nxt = front.join(hops, front.id == hops.src).select("root", F.col("dst").alias("id")).distinct().join(seen, ["root", "id"], "left_anti").withColumn("depth", F.lit(depth))
-        nxt = cut(nxt)
+        nxt = cut(front.join(hops, front.id == hops.src).select("root", F.col("dst").alias("id")).distinct().join(seen.all(), ["root", "id"], "left_anti").withColumn("depth", F.lit(depth)))
+        release(*old)
         if nxt.isEmpty():
             break
-        seen, front = seen.unionByName(nxt), nxt
-        if depth % CUT_EVERY == 0:
-            seen = cut(seen)
-    return seen
+        old, front = seen.add(nxt), nxt
+    release(hops)
+    return seen.all()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -103,30 +128,87 @@ def paths(edges: DataFrame, starts: DataFrame, max_edges: int | None = None, sto
     return out
 
 
-def closest_above(edges: DataFrame, starts: DataFrame, is_target: DataFrame, max_depth: int) -> DataFrame:
+def closest_above(edges: DataFrame, starts: DataFrame, is_target: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(id, target, depth): the nearest target upstream of each start, least id among equals.
 
-    is_target: id of the targets. A start that is a target is its own."""
-    up = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    found = reach(up, starts.select(F.col("id").alias("root"), "id"), max_depth)
-    return found.join(is_target.select("id"), "id", "left_semi").groupBy("root").agg(F.min(F.struct("depth", "id")).alias("m")).select(F.col("root").alias("id"), F.col("m.id").alias("target"), F.col("m.depth").alias("depth"))
+    is_target: id of the targets. A start that is a target is its own. A walk ends where it finds one."""
+    up = cut(edges.select(F.col("dst").alias("below"), F.col("src").alias("above")).filter("below <> above").distinct())
+    marks = cut(is_target.select(F.col("id").alias("at")).distinct().withColumn("hit", F.lit(True)))
+    front = cut(starts.select("id", F.col("id").alias("at")).distinct().join(marks, "at", "left"))
+    seen, found, depth, old = Visited(front), [], 0, []
+    while not front.isEmpty():
+        found.append(front.filter("hit").groupBy("id").agg(F.min("at").alias("target")).withColumn("depth", F.lit(depth)))
+        if depth == max_depth:
+            break
+        depth += 1
+        going = front.join(front.filter("hit").select("id"), "id", "left_anti")
+        nxt = going.join(up, going["at"] == up["below"]).select("id", F.col("above").alias("at")).distinct().join(seen.all(), ["id", "at"], "left_anti").join(marks, "at", "left")
+        front = cut(nxt.select("at", "id", "hit"))
+        old += seen.add(front)
+        if depth % 8 == 0:
+            found = [cut(_union(found))]
+    out = cut(_union(found)) if found else starts.limit(0).select("id", F.col("id").alias("target"), F.lit(0).alias("depth"))
+    release(up, *old, *[p for _, p in seen.parts])
+    return out
 
 
-def tree_paths(rows: DataFrame, key: str, parent: str, name: str, max_levels: int = 64) -> DataFrame:
-    """(key, root, depth, chain): place of every row of a tree, chain = names from the root, joined by /.
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
-    A row whose parent is null or absent is a root. Levels are joined one at a time, until one is empty."""
-    t = rows.select(key, parent, name).dropDuplicates([key])
+
+def _tree(rows: DataFrame, key: str, parent: str, *more: str) -> DataFrame:
+    """One row per key with its parent, null where that is null or absent; the least of several parents."""
+    t = rows.groupBy(key).agg(F.min(parent).alias("_up"), *[F.min_by(m, F.coalesce(parent, F.lit(""))).alias(m) for m in more])
     ids = t.select(F.col(key).alias("_p"))
-    level = t.join(ids, F.col(parent) == F.col("_p"), "left").filter("_p is null").select(key, F.col(key).alias("root"), F.lit(0).alias("depth"), F.coalesce(name, F.lit("")).alias("chain"))
-    out = level = cut(level)
-    for depth in range(1, max_levels):
-        above = level.select(F.col(key).alias(parent), "root", F.col("chain").alias("_above"))
-        level = cut(t.join(above, parent).select(key, "root", F.lit(depth).alias("depth"), F.concat_ws("/", "_above", F.coalesce(name, F.lit(""))).alias("chain")))
-        if level.isEmpty():
+    return t.join(ids, F.col("_up") == F.col("_p"), "left").select(F.col(key).alias("id"), F.col("_p").alias("parent"), *more)
+
+
+def tree_paths(rows: DataFrame, key: str, parent: str, name: str) -> DataFrame:
+    """(key, root, depth, chain): place of every row of a tree, chain = names from the root, joined by /.
+
+    A row whose parent is null or absent is a root; rows on or below a cycle have no root and no row here.
+    Pointers to the ancestors are doubled, so rounds grow with the logarithm of the depth, which is not
+    limited. Rows of one key count once, under the least of their parents."""
+    t = _tree(rows, key, parent, name)
+    said = F.coalesce(name, F.lit(""))
+    state = cut(t.select("id", F.coalesce("parent", "id").alias("at"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"), F.when(F.col("parent").isNull(), "").otherwise(F.concat(F.lit("/"), said)).alias("below"), F.col("parent").isNull().alias("done"), F.when(F.col("parent").isNull(), said).alias("top")))
+    left = state.filter("not done").count()
+    while left:
+        above = state.select(F.col("id").alias("at"), F.col("at").alias("_at"), F.col("depth").alias("_n"), F.col("below").alias("_below"), F.col("done").alias("_done"), F.col("top").alias("_top"))
+        moved = state.filter("not done").join(above, "at").select("id", F.col("_at").alias("at"), (F.col("depth") + F.col("_n")).alias("depth"), F.concat("_below", "below").alias("below"), F.col("_done").alias("done"), F.col("_top").alias("top"))
+        new = cut(state.filter("done").unionByName(moved))
+        release(state)
+        now = new.filter("not done").count()
+        state = new
+        if now == left:  # nobody came to a root in this round, so nobody will
             break
-        out = out.unionByName(level)
-    return out
+        left = now
+    return state.filter("done").select(F.col("id").alias(key), F.col("at").alias("root"), "depth", F.concat("top", "below").alias("chain"))
+
+
+def nearest_ancestor(rows: DataFrame, key: str, parent: str, target: Column) -> DataFrame:
+    """(id, target, depth): the nearest of a row and its ancestors that meets the predicate, by pointer doubling.
+
+    Rows without one have no row here."""
+    t = _tree(rows.withColumn("_hit", F.coalesce(target, F.lit(False)).cast("int")), key, parent, "_hit")
+    hit = F.col("_hit") == 1
+    state = cut(t.select("id", F.when(hit, F.col("id")).otherwise(F.col("parent")).alias("at"), F.when(hit, 0).otherwise(1).alias("depth"), hit.alias("done")).filter("at is not null"))
+    left = state.filter("not done").count()
+    while left:
+        above = state.select(F.col("id").alias("at"), F.col("at").alias("_at"), F.col("depth").alias("_n"), F.col("done").alias("_done"))
+        moved = state.filter("not done").join(above, "at").select("id", F.col("_at").alias("at"), (F.col("depth") + F.col("_n")).alias("depth"), F.col("_done").alias("done"))
+        new = cut(state.filter("done").unionByName(moved))
+        release(state)
+        now = new.filter("not done").count()
+        state = new
+        if now == left:
+            # A round in which nobody ended: what is left goes round a cycle without a target.
+            break
+        left = now
+    return state.filter("done").select("id", F.col("at").alias("target"), "depth")
 
 
 def lowest_common_ancestors(pairs: DataFrame, up: DataFrame) -> DataFrame:
@@ -137,17 +219,36 @@ def lowest_common_ancestors(pairs: DataFrame, up: DataFrame) -> DataFrame:
     return met.groupBy("a", "b").agg(F.min(F.struct((F.col("na") + F.col("nb")).alias("distance"), "ancestor")).alias("m")).select("a", "b", "m.ancestor", "m.distance")
 
 
-def ancestor_closure(rows: DataFrame, key: str, parent: str, max_levels: int = 64) -> DataFrame:
-    """(id, ancestor, n): every ancestor of every row, itself at n = 0. Cycles end at `max_levels`."""
-    hop = rows.filter(F.col(parent).isNotNull()).select(F.col(key).alias("c"), F.col(parent).alias("p")).distinct()
-    level = cut(rows.select(F.col(key).alias("id"), F.col(key).alias("ancestor"), F.lit(0).alias("n")).distinct())
-    out = level
-    for n in range(1, max_levels):
-        level = cut(level.join(hop, level.ancestor == hop.c).select("id", F.col("p").alias("ancestor"), F.lit(n).alias("n")))
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    return out
+def ancestor_closure(rows: DataFrame, key: str, parent: str) -> DataFrame:
+    """(id, ancestor, n): every ancestor of every row, itself at n = 0; depth is not limited.
+
+    Jumps of 1, 2, 4, ... levels are joined with the pairs found so far, so rounds grow with the logarithm
+    of the depth and no pair is made twice. On a cycle every ancestor counts once, at its least distance;
+    a parent that is no row is an ancestor too. Of several parents of a key the least counts."""
+    t = rows.groupBy(F.col(key).alias("id")).agg(F.min(parent).alias("up"))
+    jump = cut(t.filter("up is not null").select("id", F.col("up").alias("mid")))
+    pairs = Visited(cut(t.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("n")).unionByName(jump.select(F.col("mid").alias("id")).distinct().join(t.select("id"), "id", "left_anti").select("id", F.col("id").alias("ancestor"), F.lit(0).alias("n")))))
+    step, left, cyclic, size = 1, jump.count(), False, 0
+    while left:
+        known = pairs.all()
+        far = jump.join(known.select(F.col("id").alias("mid"), "ancestor", "n"), "mid").select("id", "ancestor", (F.col("n") + F.lit(step)).alias("n"))
+        nxt = cut(jump.join(jump.select(F.col("id").alias("mid"), F.col("mid").alias("top")), "mid").select("id", F.col("top").alias("mid")))
+        if cyclic:
+            least = cut(known.unionByName(far).groupBy("id", "ancestor").agg(F.min("n").alias("n")))
+            release(*[p for _, p in pairs.parts])
+            pairs = Visited(least)
+            grown = least.count()
+            if grown == size:
+                break
+            size = grown
+        else:
+            release(*pairs.add(cut(far)))
+        release(jump)
+        jump, step, now = nxt, step * 2, nxt.count()
+        # No jumper fell off a top in this round: only rows on or below cycles are left.
+        cyclic, left = cyclic or now == left, now
+    there = rows.select(F.col(key).alias("id")).distinct()
+    return pairs.all().join(there, "id", "left_semi")
 
 
 def topmost(closure: DataFrame, matched: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def roots_and_sinks(spark: SparkSession, sf: str) -> DataFrame:
 _REACH = WITH_RECURSIVE + """, cfg AS (SELECT DISTINCT src, dst FROM edges WHERE edge_type IN ('STARTS_WITH', 'JUMPS_TO') AND src <> dst),
 ends AS (SELECT src AS id FROM cfg UNION SELECT dst FROM cfg),
 roots AS (SELECT id FROM ends WHERE id NOT IN (SELECT dst FROM cfg)),
-r AS (SELECT id, 0 AS depth FROM roots UNION SELECT cfg.dst, r.depth + 1 FROM r JOIN cfg ON cfg.src = r.id WHERE r.depth < 60)
+r AS (SELECT id, 0 AS depth, [id] AS seen FROM roots UNION SELECT cfg.dst, r.depth + 1, list_append(seen, cfg.dst) FROM r JOIN cfg ON cfg.src = r.id WHERE NOT list_contains(r.seen, cfg.dst))
 """
 
 
@@ -153,7 +153,7 @@ def transitive_paths_depth5(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _TREE = WITH_RECURSIVE + """, t AS (SELECT id, CASE WHEN parent_id IN (SELECT id FROM data) THEN parent_id END AS parent, fieldname, levelnumber FROM data),
-up AS (SELECT id, id AS ancestor, 0 AS n FROM t UNION ALL SELECT up.id, t.parent, up.n + 1 FROM up JOIN t ON t.id = up.ancestor WHERE t.parent IS NOT NULL AND up.n < 40)"""
+up AS (SELECT id, id AS ancestor, 0 AS n FROM t UNION ALL SELECT up.id, t.parent, up.n + 1 FROM up JOIN t ON t.id = up.ancestor WHERE t.parent IS NOT NULL)"""
 
 
 def _tree(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,9 +192,8 @@ def lowest_common_ancestor(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_TREE + "SELECT x.id, arg_min(x.ancestor, (x.n, x.ancestor)) AS target, min(x.n) AS depth FROM up x JOIN t ON t.id = x.ancestor WHERE t.levelnumber = 1 GROUP BY x.id")
 def section_lookup_up(spark: SparkSession, sf: str) -> DataFrame:
-    t = _tree(spark, sf)
-    e = t.filter("parent is not null").select(F.col("parent").alias("src"), F.col("id").alias("dst"))
-    return graph.closest_above(e, t.select("id"), t.filter("levelnumber = 1"), 40)
+    """The nearest record (level 1) at or above every field."""
+    return graph.nearest_ancestor(_tree(spark, sf), "id", "parent", F.col("levelnumber") == 1)
 
 
 @query(_TREE + ", acc AS (SELECT DISTINCT dst AS id FROM edges WHERE edge_type IN ('ACCESSES', 'MODIFIES')) SELECT ancestor AS id, count(*) AS n_fields FROM up WHERE ancestor IN (SELECT id FROM t WHERE parent IS NULL) GROUP BY ancestor HAVING NOT bool_or(up.id IN (SELECT id FROM acc))")

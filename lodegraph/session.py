@@ -41,6 +41,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames that `cut` gave and nothing reads any more, so that rounds do not fill the folder."""
+    for df in frames:
+        jvm = df.sparkSession._jvm
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clean_key(c: str | Column) -> Column:
     """Ids are compared without outer blanks and letter case; a blank id is null."""
     c = F.col(c) if isinstance(c, str) else c

@@ -108,3 +108,24 @@ def test_range_overlap(spark):
     want = {(p, n): not any(p2 == p and (f2 < f <= l2 < la or f < f2 <= la < l2) for p2, n2, f2, l2 in r if n2 != n) for p, n, f, la in r}
     assert got == want
     assert list(itertools.islice(got, 1))
+
+
+def test_trees_of_any_depth_and_cycles(spark):
+    """A chain of 200 rows, a cycle with a tail, a parent that is no row: nothing is cut off, nothing runs on."""
+    chain = [(f"c{i:03}", f"c{i - 1:03}" if i else None, "f") for i in range(200)]
+    ring = [("r0", "r2", "x"), ("r1", "r0", "x"), ("r2", "r1", "x"), ("t", "r0", "x"), ("o", "gone", "x")]
+    rows = spark.createDataFrame(chain + ring, "id string, parent string, name string")
+    paths = {r.id: r for r in graph.tree_paths(rows, "id", "parent", "name").collect()}
+    assert len(paths) == 201 and paths["c199"].depth == 199 and paths["c199"].root == "c000" and paths["c199"].chain == "/".join("f" * 200) and paths["o"].depth == 0
+    got = {(r.id, r.ancestor): r.n for r in graph.ancestor_closure(rows, "id", "parent").collect()}
+    want = {(f"c{i:03}", f"c{j:03}"): i - j for i in range(200) for j in range(i + 1)}
+    want |= {("r0", "r0"): 0, ("r0", "r2"): 1, ("r0", "r1"): 2, ("r1", "r1"): 0, ("r1", "r0"): 1, ("r1", "r2"): 2, ("r2", "r2"): 0, ("r2", "r1"): 1, ("r2", "r0"): 2}
+    want |= {("t", "t"): 0, ("t", "r0"): 1, ("t", "r2"): 2, ("t", "r1"): 3, ("o", "o"): 0, ("o", "gone"): 1}
+    assert got == want
+    near = {r.id: (r.target, r.depth) for r in graph.nearest_ancestor(rows, "id", "parent", F.col("id").isin("c000", "c150", "r1")).collect()}
+    assert near["c199"] == ("c150", 49) and near["c149"] == ("c000", 149) and near["r0"] == ("r1", 2) and near["t"] == ("r1", 3) and "o" not in near
+    e = rows.filter("parent is not null").select(F.col("parent").alias("src"), F.col("id").alias("dst"))
+    up = {r.id: (r.target, r.depth) for r in graph.closest_above(e, rows.filter("id in ('c199', 'c010', 't', 'o')").select("id"), rows.filter("id in ('c000', 'c150', 'r1')")).collect()}
+    assert up == {"c199": ("c150", 49), "c010": ("c000", 10), "t": ("r1", 3)}
+    none = rows.limit(0)
+    assert graph.tree_paths(none, "id", "parent", "name").count() == graph.ancestor_closure(none, "id", "parent").count() == graph.nearest_ancestor(none, "id", "parent", F.lit(True)).count() == 0
