@@ -1,26 +1,39 @@
 """Flow-graph algorithms that are sequential within one graph: one Arrow group per graph.
 
-Graphs come as (graph_id, src, dst) with a root per graph. They are flow graphs of one procedure or one
-actor's transitions: their size is bounded by the number of distinct labels, not by the number of rows,
-because edges are made distinct before they are grouped. `bounded` verifies that and raises beyond.
+Graphs come as (graph_id, src, dst) with a root per graph: the flow graph of one program, or one actor's
+transitions. Edges are made distinct before they are grouped; `bounded` raises for a graph of more than
+`MAX_EDGES` edges rather than filling one task. Strong components and basic blocks have no such bound.
 """
 
 from __future__ import annotations
 
 import json
 from collections import Counter, defaultdict
+from collections.abc import Callable
 from itertools import permutations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodegraph.session import cut, release, spread
+
 #: Distinct edges that one graph may have in the operators of this module.
 MAX_EDGES = 200_000
 
 Graph = dict[str, list[str]]
 
 
+def _per_graph(edges: DataFrame, run: Callable[[Graph, str], list[tuple]], columns: str) -> DataFrame:
+    """Rows of `run` for every bounded graph, with the graph's id in front."""
+    names = ["graph_id", *(c.split()[0] for c in columns.split(", "))]
+
+    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(pdf["graph_id"].iloc[0], *row) for row in run(*_read(pdf))], columns=names)
+
+    return bounded(edges).groupBy("graph_id").applyInPandas(rows, f"graph_id {dict(edges.dtypes)['graph_id']}, {columns}")
+
+
 def bounded(edges: DataFrame, max_edges: int = MAX_EDGES) -> DataFrame:
     """Distinct edges; reading them raises if a graph has more than `max_edges`."""
     e = edges.select("graph_id", "src", "dst", "root").distinct()
@@ -89,14 +102,6 @@ def dominators(g: Graph, root: str) -> dict[str, str | None]:
     return {n: (None if n == root else d) for n, d in idom.items()}
 
 
-def _dominates(idom: dict[str, str | None], a: str, b: str | None) -> bool:
-    while b is not None:
-        if a == b:
-            return True
-        b = idom[b]
-    return False
-
-
 def strong_components(g: Graph) -> dict[str, str]:
     """node -> least node of its strongly connected component (two passes of depth-first search)."""
     seen: set[str] = set()
@@ -170,12 +175,7 @@ def limit_graph(g: Graph, root: str) -> int:
 
 def dfs_table(edges: DataFrame) -> DataFrame:
     """(graph_id, id, discovered, finished, depth, parent, preorder, postorder) of the reachable nodes."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, root = _read(pdf)
-        return pd.DataFrame([(pdf["graph_id"].iloc[0], n, *v) for n, v in depth_first(g, root).items()], columns=["graph_id", "id", "discovered", "finished", "depth", "parent", "preorder", "postorder"])
-
-    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, id string, discovered int, finished int, depth int, parent string, preorder int, postorder int")
+    return _per_graph(edges, lambda g, root: [(n, *v) for n, v in depth_first(g, root).items()], "id string, discovered int, finished int, depth int, parent string, preorder int, postorder int")
 
 
 def classify_edges(edges: DataFrame, dfs: DataFrame) -> DataFrame:
@@ -191,62 +191,98 @@ def classify_edges(edges: DataFrame, dfs: DataFrame) -> DataFrame:
 
 def dominator_table(edges: DataFrame) -> DataFrame:
     """(graph_id, id, idom) of the reachable nodes; the root has none."""
+    return _per_graph(edges, lambda g, root: list(dominators(g, root).items()), "id string, idom string")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, root = _read(pdf)
-        return pd.DataFrame([(pdf["graph_id"].iloc[0], n, d) for n, d in dominators(g, root).items()], columns=["graph_id", "id", "idom"])
 
-    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, id string, idom string")
+def join_edges(edges: DataFrame) -> DataFrame:
+    """(graph_id, src, dst, kind): the DJ graph. D edges lead from immediate dominators, J edges are the
+    other edges between reachable nodes; BJ those of them whose target dominates their source, else CJ."""
+
+    def run(g: Graph, root: str) -> list[tuple]:
+        idom = dominators(g, root)
+        inside = _tree_intervals(idom)
+        out = [(d, n, "D") for n, d in idom.items() if d is not None]
+        return out + [(s, t, "BJ" if inside(t, s) else "CJ") for s in idom for t in g[s] if idom[t] != s]
+
+    return _per_graph(edges, run, "src string, dst string, kind string")
+
+
+def _tree_intervals(parent: dict[str, str | None]) -> Callable[[str, str], bool]:
+    """Whether a is b or an ancestor of it, in constant time."""
+    kids: Graph = defaultdict(list)
+    for n, p in parent.items():
+        if p is not None:
+            kids[p].append(n)
+    at: dict[str, tuple[int, int]] = {}
+    for root in (n for n, p in parent.items() if p is None):
+        order = depth_first({n: kids.get(n, []) for n in parent}, root)
+        at |= {n: (v[0], v[1]) for n, v in order.items()}
+    return lambda a, b: at[a][0] <= at[b][0] and at[b][1] <= at[a][1]
+
+
+def natural_loops(g: Graph, root: str) -> dict[str, tuple[set[str], set[str]]]:
+    """header -> (tails, body) of the natural loops: a back edge's target dominates its source. Loops of
+    one header are one; what reaches a tail without passing the header is walked once."""
+    idom = dominators(g, root)
+    inside = _tree_intervals(idom)
+    preds: Graph = defaultdict(list)
+    tails: dict[str, set[str]] = defaultdict(set)
+    for s in idom:
+        for t in g[s]:
+            preds[t].append(s)
+            if inside(t, s):
+                tails[t].add(s)
+    out = {}
+    for h, ts in tails.items():
+        body, stack = {h} | ts, [t for t in ts if t != h]
+        while stack:
+            for p in preds[stack.pop()]:
+                if p not in body:
+                    body.add(p)
+                    stack.append(p)
+        out[h] = (ts, body)
+    return out
 
 
 def loops(edges: DataFrame) -> DataFrame:
-    """(graph_id, header, tail, is_natural, body): a loop per back edge; body = sorted ids joined by commas.
+    """(graph_id, header, n_tails, n_nodes) of the natural loops, those of one header taken together."""
+    return _per_graph(edges, lambda g, root: [(h, len(ts), len(body)) for h, (ts, body) in natural_loops(g, root).items()], "header string, n_tails int, n_nodes int")
 
-    A back edge is natural if its header dominates its tail; its body is what reaches the tail without
-    passing the header. A graph with a back edge that is not natural is irreducible."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, root = _read(pdf)
-        d, idom = depth_first(g, root), dominators(g, root)
-        back: Graph = defaultdict(list)
-        for s in d:
-            for t in g[s]:
-                back[t].append(s)
-        rows = []
-        for s in d:
-            for t in g[s]:
-                if not (d[t][0] <= d[s][0] and d[s][1] <= d[t][1]):
-                    continue
-                body, stack = {t, s}, [s] if s != t else []
-                while stack:
-                    for p in back[stack.pop()]:
-                        if p not in body:
-                            body.add(p)
-                            stack.append(p)
-                rows.append((pdf["graph_id"].iloc[0], t, s, _dominates(idom, t, s), ",".join(sorted(body))))
-        return pd.DataFrame(rows, columns=["graph_id", "header", "tail", "is_natural", "body"])
-
-    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, header string, tail string, is_natural boolean, body string")
+def loop_nodes(edges: DataFrame) -> DataFrame:
+    """(graph_id, header, kind, id): the nodes of every loop body, one row each.
+
+    reducible: natural loops under their header. irreducible: the strong components that control enters
+    at more than one node, under their least node."""
+
+    def run(g: Graph, root: str) -> list[tuple]:
+        seen = depth_first(g, root)
+        live = {n: g[n] for n in seen}
+        comp = strong_components(live)
+        entries: dict[str, set[str]] = defaultdict(set)
+        for s in live:
+            for t in live[s]:
+                if comp[s] != comp[t]:
+                    entries[comp[t]].add(t)
+        out = [(h, "reducible", n) for h, (_, body) in natural_loops(g, root).items() for n in body]
+        return out + [(c, "irreducible", n) for n, c in comp.items() if len(entries[c]) > 1]
+
+    return _per_graph(edges, run, "header string, kind string, id string")
 
 
 def reducibility(edges: DataFrame) -> DataFrame:
     """(graph_id, n_limit, is_reducible) by T1-T2 interval analysis."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = limit_graph(*_read(pdf))
-        return pd.DataFrame([(pdf["graph_id"].iloc[0], n, n == 1)], columns=["graph_id", "n_limit", "is_reducible"])
+    def run(g: Graph, root: str) -> list[tuple]:
+        n = limit_graph(g, root)
+        return [(n, n == 1)]
 
-    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, n_limit int, is_reducible boolean")
+    return _per_graph(edges, run, "n_limit int, is_reducible boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(graph_id, id, component) of strongly connected components, named after their least node."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, _ = _read(pdf)
-        return pd.DataFrame([(pdf["graph_id"].iloc[0], n, c) for n, c in strong_components(g).items()], columns=["graph_id", "id", "component"])
-
-    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, id string, component string")
+    return _per_graph(edges, lambda g, root: list(strong_components(g).items()), "id string, component string")
 
 
 def improper_components(edges: DataFrame, comp: DataFrame) -> DataFrame:
@@ -267,24 +303,33 @@ def basic_blocks(edges: DataFrame) -> DataFrame:
     outs = e.groupBy("graph_id", "src").agg(F.count(F.lit(1)).alias("n_out"))
     one = e.groupBy("graph_id", F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("n_in"), F.min("src").alias("src")).filter("n_in = 1").join(outs, ["graph_id", "src"]).filter("n_out = 1 and src <> id")
     up = ids.join(one.select("graph_id", "id", "src"), ["graph_id", "id"], "left").select("graph_id", "id", F.coalesce("src", "id").alias("leader"))
-    from lodegraph.session import cut
-
     up = cut(up)
-    for _ in range(64):
+    left = -1
+    while True:
         nxt = up.alias("a").join(up.select("graph_id", F.col("id").alias("leader"), F.col("leader").alias("top")), ["graph_id", "leader"]).select("graph_id", "id", F.col("top").alias("leader"), (F.col("top") != F.col("leader")).alias("_moved"))
         nxt = cut(nxt)
-        moved = not nxt.filter("_moved").isEmpty()
-        up = nxt.drop("_moved")
+        moved = nxt.filter("_moved").count()
+        release(up)
         if not moved:
-            break
-    return up
+            return nxt.drop("_moved")
+        if moved == left:
+            break  # nobody came to a leader: what is left goes round closed cycles
+        up, left = cut(nxt.drop("_moved")), moved
+        release(nxt)
+    from lodegraph.operators.graph import components as weak
+
+    ring = one.select(F.concat_ws("\0", F.col("graph_id").cast("string"), "id").alias("src"), F.concat_ws("\0", F.col("graph_id").cast("string"), "src").alias("dst"))
+    named = weak(ring).select(F.col("id").alias("_k"), F.substring_index("component", "\0", -1).alias("_least"))
+    keyed = nxt.withColumn("_k", F.concat_ws("\0", F.col("graph_id").cast("string"), "id"))
+    return keyed.join(named, "_k", "left").select("graph_id", "id", F.when(F.col("_moved"), F.col("_least")).otherwise(F.col("leader")).alias("leader"))
 
 
 def reaching_conditions(edges: DataFrame) -> DataFrame:
     """(graph_id, id, condition) on the acyclic part (tree, forward and cross edges) of each graph.
 
     edges: with `condition` per edge, null for none. A node's condition is the disjunction over its
-    incoming edges of the source's condition and the edge's."""
+    incoming edges of the source's condition and the edge's. Conditions that are no single term are
+    shared: another node's stands as `$id`, so that the text grows with the edges only."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         g, root = _read(pdf)
@@ -292,20 +337,21 @@ def reaching_conditions(edges: DataFrame) -> DataFrame:
         d = depth_first(g, root)
         order = sorted(d, key=lambda n: -d[n][5])
         terms: dict[str, set[str]] = {n: set() for n in order}
-        said = {root: "true"}
+        said, short = {root: "true"}, {root: "true"}
         for n in order:
             if n != root:
                 ts = terms[n]
                 said[n] = "true" if "true" in ts else next(iter(ts)) if len(ts) == 1 else f"or({', '.join(sorted(ts))})"
+                short[n] = f"${n}" if said[n].startswith(("or(", "and(")) else said[n]
             for t in g[n]:
                 if d[t][0] <= d[n][0] and d[n][1] <= d[t][1]:
                     continue  # back edge
                 c = on.get((n, t))
-                terms[t].add(said[n] if c is None else c if said[n] == "true" else f"and({said[n]}, {c})")
+                terms[t].add(short[n] if c is None else c if short[n] == "true" else f"and({short[n]}, {c})")
         return pd.DataFrame([(pdf["graph_id"].iloc[0], n, c) for n, c in said.items()], columns=["graph_id", "id", "condition"])
 
-    e = edges.groupBy("graph_id", "src", "dst").agg(F.min("root").alias("root"), F.min("condition").alias("condition"))
-    return e.groupBy("graph_id").applyInPandas(run, "graph_id bigint, id string, condition string")
+    conditions = edges.groupBy("graph_id", "src", "dst").agg(F.min("condition").alias("condition"))
+    return bounded(edges).join(conditions, ["graph_id", "src", "dst"]).groupBy("graph_id").applyInPandas(run, f"graph_id {dict(edges.dtypes)['graph_id']}, id string, condition string")
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
@@ -390,8 +436,6 @@ def preorder_trees(roots: DataFrame, rows: DataFrame) -> DataFrame:
 
     roots: id, row_id; rows: id, parent_id, row_id, label. Siblings stand in order of row_id; the root's
     label is GROUP. Levels are joined one at a time until one is empty; a path does not return to its own rows."""
-    from lodegraph.session import cut
-
     at = F.struct("row_id", "id")
     level = out = cut(roots.select(F.col("id").alias("root"), "id", F.array(at).alias("path"), F.lit("GROUP").alias("label")))
     while not level.isEmpty():
@@ -402,42 +446,27 @@ def preorder_trees(roots: DataFrame, rows: DataFrame) -> DataFrame:
     return out.groupBy("root").agg(tree.alias("tree"))
 
 
-def all_tree_distances(trees: DataFrame, salts: int = 16) -> DataFrame:
-    """(a, b, distance) of all pairs of roots of a program, a before b in order of row_id.
+def tree_shapes(trees: DataFrame) -> DataFrame:
+    """(program, root, row_id, shape): equal trees are one shape, named after its least row id."""
+    shapes = trees.groupBy("tree").agg(F.min("row_id").alias("shape"))
+    return trees.join(shapes, "tree").select("program", "root", "row_id", "shape")
+
 
-    trees: program, root, row_id, tree. Equal trees are one shape, and a pair of shapes is compared once."""
-    from lodegraph.session import cut, spread
+def shape_distances(trees: DataFrame, queries: Column, salts: int = 16) -> DataFrame:
+    """(program, a, b, distance): shapes of the trees that meet `queries` against all shapes of their program.
 
+    trees: program, root, row_id, tree. Classes of equal trees stand for their members (`tree_shapes`), and
+    the distance of a pair of shapes is computed once, whatever the programs that hold it."""
     shapes = cut(trees.groupBy("tree").agg(F.min("row_id").alias("shape")))
-    t = cut(trees.join(shapes, "tree").select("program", "root", "row_id", "shape"))
-    a = t.select("program", F.col("root").alias("a"), F.col("row_id").alias("_a"), F.col("shape").alias("_s"), F.pmod("row_id", F.lit(salts)).alias("_salt"))
-    b = t.select("program", F.col("root").alias("b"), F.col("row_id").alias("_b"), F.col("shape").alias("_t"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    pairs = a.join(b, ["program", "_salt"]).filter("_a < _b").select("a", "b", F.least("_s", "_t").alias("_s"), F.greatest("_s", "_t").alias("_t"))
+    named = trees.join(shapes, "tree").select("program", "row_id", "shape")
+    a = named.filter(queries).select("program", F.col("shape").alias("a")).distinct().withColumn("_salt", F.pmod("a", F.lit(salts)))
+    b = named.select("program", F.col("shape").alias("b")).distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    pairs = cut(a.join(b, ["program", "_salt"]).filter("a <> b").select("program", "a", "b"))
     of = lambda key, tree: shapes.select(F.col("shape").alias(key), F.col("tree").alias(tree))
-    met = spread(pairs.select("_s", "_t").distinct().join(of("_s", "tree_a"), "_s").join(of("_t", "tree_b"), "_t"))
+    least, most = F.least("a", "b"), F.greatest("a", "b")
+    met = spread(pairs.select(least.alias("_s"), most.alias("_t")).distinct().join(of("_s", "tree_a"), "_s").join(of("_t", "tree_b"), "_t"))
     said = tree_distances(met.select(F.col("_s").alias("a"), F.col("_t").alias("b"), "tree_a", "tree_b")).withColumnsRenamed({"a": "_s", "b": "_t"})
-    return pairs.join(said, ["_s", "_t"]).select("a", "b", "distance")
-
-
-def frequent_paths(edges: DataFrame, min_support: int, max_edges: int) -> DataFrame:
-    """(pattern, n_edges, support): label paths that at least `min_support` graphs hold.
-
-    edges: graph_id, src, dst, src_label, dst_label. Embeddings grow by one edge a level, only those of
-    frequent patterns, since a pattern is at most as frequent as its parts. support = distinct graphs."""
-    from lodegraph.session import cut
-
-    e = edges.select("graph_id", "src", "dst", "src_label", "dst_label").distinct()
-    emb = e.select("graph_id", F.array("src", "dst").alias("at"), F.concat_ws(">", "src_label", "dst_label").alias("pattern"))
-    out = None
-    for n in range(1, max_edges + 1):
-        sup = cut(emb.groupBy("pattern").agg(F.count_distinct("graph_id").alias("support")).filter(F.col("support") >= min_support))
-        level = sup.select("pattern", F.lit(n).alias("n_edges"), "support")
-        out = level if out is None else out.unionByName(level)
-        if n == max_edges or sup.isEmpty():
-            break
-        kept = emb.filter(F.size(F.array_distinct("at")) == F.size("at")).join(sup.select("pattern"), "pattern", "left_semi")  # a self loop grows no path
-        emb = kept.join(e.withColumnRenamed("graph_id", "g"), (F.col("graph_id") == F.col("g")) & (F.element_at("at", -1) == F.col("src"))).filter(~F.array_contains("at", F.col("dst"))).select("graph_id", F.array_append("at", F.col("dst")).alias("at"), F.concat_ws(">", "pattern", "dst_label").alias("pattern"))
-    return out
+    return pairs.withColumns({"_s": least, "_t": most}).join(said, ["_s", "_t"]).select("program", "a", "b", "distance")
 
 
 def _canonical(nodes: tuple[str, ...], edges: tuple[tuple[int, int], ...]) -> str:
@@ -526,11 +555,7 @@ def maximal_cliques(edges: DataFrame) -> DataFrame:
     """(graph_id, size, members): every maximal clique once; members = sorted ids joined by commas.
 
     Edges count in both directions; a node whose only edge is a self loop is a clique of one."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(pdf["graph_id"].iloc[0], len(c), ",".join(c)) for c in cliques(_read(pdf)[0])], columns=["graph_id", "size", "members"])
-
-    return bounded(edges).groupBy("graph_id").applyInPandas(run, "graph_id bigint, size int, members string")
+    return _per_graph(edges, lambda g, root: [(len(c), ",".join(c)) for c in cliques(g)], "size int, members string")
 
 
 #: Points that one dendrogram may have: their distances fill 8 bytes a pair in one task.

@@ -55,10 +55,10 @@ def find_where_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     WITH_RECURSIVE
-    + ", f AS (SELECT DISTINCT src, dst FROM edges WHERE edge_type = 'FOLLOWED_BY'), p AS (SELECT id AS start, id, 0 AS n, [id] AS path FROM nodes WHERE flow_type = 'MOVE' UNION ALL SELECT p.start, f.dst, p.n + 1, list_append(p.path, f.dst) FROM p JOIN nodes m ON m.id = p.id AND m.flow_type = 'MOVE' JOIN f ON f.src = p.id WHERE p.n < 4 AND NOT list_contains(p.path, f.dst)) SELECT p.start, p.id AS call_id, p.n AS n_edges, array_to_string(path, '>') AS path FROM p JOIN nodes c ON c.id = p.id AND c.flow_type = 'CALL'"
+    + ", f AS (SELECT DISTINCT src, dst FROM edges WHERE edge_type = 'FOLLOWED_BY'), p AS (SELECT id AS start, id, 0 AS n, [id] AS path FROM nodes WHERE flow_type = 'MOVE' UNION ALL SELECT p.start, f.dst, p.n + 1, list_append(p.path, f.dst) FROM p JOIN nodes m ON m.id = p.id AND m.flow_type = 'MOVE' JOIN f ON f.src = p.id WHERE NOT list_contains(p.path, f.dst)) SELECT p.start, p.id AS call_id, p.n AS n_edges, array_to_string(path, '>') AS path FROM p JOIN nodes c ON c.id = p.id AND c.flow_type = 'CALL'"
 )
 def variable_length_move_call(spark: SparkSession, sf: str) -> DataFrame:
-    """Paths of any length over MOVE nodes that end at a CALL; the SQL ends them after four edges."""
+    """Paths of any length over MOVE nodes that end at a CALL."""
     n = nodes(spark, sf)
     moves = n.filter("flow_type = 'MOVE'").select("id")
     f = graph.project(edges(spark, sf), "FOLLOWED_BY").join(moves.select(F.col("id").alias("src")), "src", "left_semi")
@@ -134,43 +134,37 @@ def workflow_detection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     WITH_RECURSIVE
-    + ", u AS (SELECT src AS a, dst AS b FROM edges WHERE edge_type = 'CONTAINS_CODE' UNION SELECT dst, src FROM edges WHERE edge_type = 'CONTAINS_CODE'), s AS (SELECT min(src) AS id FROM edges WHERE edge_type = 'CONTAINS_CODE'), d AS (SELECT id, 0 AS depth FROM s UNION SELECT u.b, d.depth + 1 FROM d JOIN u ON u.a = d.id WHERE d.depth < 12) SELECT id, min(depth) AS depth FROM d GROUP BY id"
+    + """, u AS (SELECT src AS a, dst AS b FROM edges WHERE edge_type = 'CONTAINS_CODE' UNION SELECT dst, src FROM edges WHERE edge_type = 'CONTAINS_CODE'), c AS (SELECT a AS id, a AS l FROM u UNION SELECT u.b, c.l FROM c JOIN u ON u.a = c.id),
+    root AS (SELECT id, min(l) AS root FROM c GROUP BY id), d AS (SELECT id, root, 0 AS depth, [id] AS seen FROM root WHERE id = root UNION SELECT u.b, d.root, d.depth + 1, list_append(d.seen, u.b) FROM d JOIN u ON u.a = d.id WHERE NOT list_contains(d.seen, u.b))
+    SELECT root, id, min(depth) AS depth FROM d GROUP BY ALL"""
 )
 def shortest_undirected_path(spark: SparkSession, sf: str) -> DataFrame:
-    e = graph.project(edges(spark, sf), "CONTAINS_CODE")
-    both = e.select("src", "dst").union(e.select("dst", "src"))
-    start = e.agg(F.min("src").alias("id")).withColumn("root", F.col("id"))
-    return graph.reach(both, start, 12).select("id", "depth")
-
-
-@query()
-def undirected_distances(spark: SparkSession, sf: str) -> DataFrame:
     """Least number of edges from the least node of each weak component to all of its nodes."""
     e = graph.project(edges(spark, sf), "CONTAINS_CODE").select("src", "dst")
     roots = graph.components(e).select(F.col("component").alias("root"), F.col("component").alias("id")).distinct()
     return graph.reach(e.union(e.select("dst", "src")), roots)
 
 
-@query("SELECT o.o_orderkey AS job, l.l_linenumber AS n, 'P' || l_linenumber AS proc, m, 'PGM' || m AS program, CASE WHEN o.o_orderkey % 2 = 0 THEN 'call' ELSE 'default' END AS env FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey, range(1, 3) r(m) WHERE l.l_linenumber <= 2")
+@query(
+    """WITH l AS (SELECT o.o_orderkey AS job, l.l_linenumber AS n, CASE WHEN o.o_orderkey % 2 = 0 THEN 'call' END AS env FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey)
+    SELECT job, n, 'P' || n AS proc, m, 'PGM' || m AS program, coalesce(env, 'default') AS env FROM l, range(1, 3) r(m) WHERE n <= 2 UNION ALL SELECT job, n, 'P' || n, NULL, NULL, env FROM l WHERE n > 2"""
+)
 def procedure_expansion(spark: SparkSession, sf: str) -> DataFrame:
-    return _expanded(spark, sf, table(spark, sf, "lineitem").filter("l_linenumber <= 2"))
-
-
-def _expanded(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
-    l = lines.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    """All steps: those of P1 and P2 expanded, those whose procedure is unknown kept without m and program."""
+    l = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").join(table(spark, sf, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     env = F.when(F.col("o_orderkey") % 2 == 0, F.create_map(F.lit("ENV"), F.lit("call"))).otherwise(F.create_map().cast("map<string,string>"))
     steps = l.select(F.col("o_orderkey").alias("job"), F.col("l_linenumber").alias("n"), F.concat(F.lit("P"), F.col("l_linenumber").cast("string")).alias("proc"), env.alias("symbols"))
     procs = spark.createDataFrame([(f"P{p}", m, f"PGM{m}", {"ENV": "default"}) for p in (1, 2) for m in (1, 2)], "proc string, m int, program string, defaults map<string,string>")
     return derive.expand_procedures(steps, procs).select("job", "n", "proc", "m", "program", F.col("symbols")["ENV"].alias("env"))
 
 
-@query()
-def procedure_expansion_all(spark: SparkSession, sf: str) -> DataFrame:
-    """All steps: those of P1 and P2 expanded, those whose procedure is unknown kept without m and program."""
-    return _expanded(spark, sf, table(spark, sf, "lineitem"))
-
-
-@query()
+@query(
+    r"""WITH RECURSIVE l AS (SELECT row_id, i, x[i] AS line, len(list_filter(regexp_split_to_array(x[i], '\s+'), lambda t: t <> '')) AS w, len(x) AS m FROM (SELECT row_id, regexp_split_to_array(text, '\r?\n') AS x FROM chunk WHERE text IS NOT NULL AND lower(trim(chunk_type, ' ')) = 'variable_group'), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i)),
+    p AS (SELECT row_id, i, m, 0 AS part, w AS n, line AS now, w AS own FROM l WHERE i = 1
+    UNION ALL SELECT l.row_id, l.i, l.m, CASE WHEN p.n > 0 AND p.n + l.w > 120 THEN p.part + 1 ELSE p.part END, CASE WHEN p.n > 0 AND p.n + l.w > 120 THEN l.w ELSE p.n + l.w END,
+    CASE WHEN p.n > 0 AND p.n + l.w > 120 THEN 'Variables (continued):' || chr(10) || l.line WHEN p.n = 0 THEN l.line ELSE p.now || chr(10) || l.line END, l.w FROM p JOIN l ON l.row_id = p.row_id AND l.i = p.i + 1)
+    SELECT row_id, part, arg_max(now, i) AS text FROM p GROUP BY row_id, part"""
+)
 def packed_lines(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "chunk").filter("text is not null and lower(trim(chunk_type)) = 'variable_group'")
     return c.select("row_id", F.posexplode(derive.pack_lines(F.col("text"), "Variables", 120)).alias("part", "text"))

@@ -70,7 +70,7 @@ def test_flow_graphs_against_brute_force():
         assert fg.dominators(g, "a") == brute_dominators(g, "a")
         d, idom = fg.depth_first(g, "a"), fg.dominators(g, "a")
         back = [(s, t) for s in d for t in g[s] if d[t][0] <= d[s][0] and d[s][1] <= d[t][1]]
-        assert (fg.limit_graph(g, "a") == 1) == all(fg._dominates(idom, t, s) for s, t in back)
+        assert (fg.limit_graph(g, "a") == 1) == all(fg._tree_intervals(idom)(t, s) for s, t in back)
 
 
 def test_irreducible_pair():
@@ -129,3 +129,24 @@ def test_trees_of_any_depth_and_cycles(spark):
     assert up == {"c199": ("c150", 49), "c010": ("c000", 10), "t": ("r1", 3)}
     none = rows.limit(0)
     assert graph.tree_paths(none, "id", "parent", "name").count() == graph.ancestor_closure(none, "id", "parent").count() == graph.nearest_ancestor(none, "id", "parent", F.lit(True)).count() == 0
+
+
+def test_loops_and_conditions_of_small_graphs(spark):
+    """A natural loop of two tails, an irreducible pair, shared conditions that grow with the edges only."""
+    loop = [("r", "h"), ("h", "x"), ("x", "y"), ("y", "h"), ("x", "h"), ("y", "z")]
+    pair = [("r", "a"), ("r", "b"), ("a", "b"), ("b", "a"), ("b", "z")]
+    e = spark.createDataFrame([(g, s, d, "r") for g, es in (("1", loop), ("2", pair)) for s, d in es], "graph_id string, src string, dst string, root string")
+    assert {(r.graph_id, r.header, r.n_tails, r.n_nodes) for r in fg.loops(e).collect()} == {("1", "h", 2, 3)}
+    nodes = {(r.graph_id, r.header, r.kind, r.id) for r in fg.loop_nodes(e).collect()}
+    assert nodes == {("1", "h", "reducible", x) for x in "hxy"} | {("2", "a", "irreducible", x) for x in "ab"}
+    dj = {(r.src, r.dst, r.kind) for r in fg.join_edges(e).filter("graph_id = '1'").collect()}
+    assert dj == {("r", "h", "D"), ("h", "x", "D"), ("x", "y", "D"), ("y", "z", "D"), ("y", "h", "BJ"), ("x", "h", "BJ")}
+    diamonds = [(f"n{i:02}", f"{side}{i:02}", f"{side}{i}") for i in range(40) for side in "ab"] + [(f"{side}{i:02}", f"n{i + 1:02}", None) for i in range(40) for side in "ab"]
+    c = spark.createDataFrame([("g", s, d, "n00", k) for s, d, k in diamonds], "graph_id string, src string, dst string, root string, condition string")
+    got = {r.id: r.condition for r in fg.reaching_conditions(c).collect()}
+    assert len(got) == 121 and got["n00"] == "true" and got["a00"] == "a0" and got["n01"] == "or(a0, b0)" and got["a01"] == "and($n01, a1)" and max(map(len, got.values())) < 40
+
+
+def test_closed_cycles_have_their_least_node_as_leader(spark):
+    e = spark.createDataFrame([("g", "r", "a"), ("g", "a", "b"), ("g", "p", "q"), ("g", "q", "s"), ("g", "s", "p")], "graph_id string, src string, dst string")
+    assert {r.id: r.leader for r in fg.basic_blocks(e).collect()} == {"r": "r", "a": "r", "b": "r", "p": "p", "q": "p", "s": "p"}

@@ -3,7 +3,7 @@
 import json
 import random
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import combinations, permutations
 
 from pyspark.sql import functions as F
 
@@ -22,8 +22,8 @@ def test_ranges_of_all_rows(spark):
         at[r.program, r.paragraph].append(r.row_id)
     ranges = [(p, n, min(x), max(x)) for (p, n), x in at.items()]
     want = {(p, n): not any(p2 == p and n2 != n and (f2 < f <= l2 < la or f < f2 <= la < l2) for p2, n2, f2, l2 in ranges) for p, n, f, la in ranges}
-    got = {(r.program, r.name): r.is_clean for r in entry.queries()["procedure_ranges_all"](spark, SF).collect()}
-    assert got == want and len(got) > entry.queries()["procedure_ranges"](spark, SF).count()
+    got = {(r.program, r.name): r.is_clean for r in entry.queries()["procedure_ranges"](spark, SF).collect()}
+    assert got == want
 
 
 def test_distances_in_every_component(spark):
@@ -40,7 +40,7 @@ def test_distances_in_every_component(spark):
             depth += 1
             front = sorted({y for x in front for y in near[x] if y not in want})
             want |= {y: (root, depth) for y in front}
-    rows = entry.queries()["undirected_distances"](spark, SF).collect()
+    rows = entry.queries()["shortest_undirected_path"](spark, SF).collect()
     assert {r.id: (r.root, r.depth) for r in rows} == want and len(rows) == len(want)
 
 
@@ -55,9 +55,15 @@ def test_tree_distances_of_all_levels_and_pairs(spark):
 
     roots = [(r.program, r.id, [(0, "GROUP"), *below(r.id, 1)]) for r in rows if r.levelnumber == 1 and r.program is not None]
     assert max(d for _, _, t in roots for d, _ in t) > 1
-    want = {(a, b): fg.edit_distance(x, y) for i, (p, a, x) in enumerate(roots) for q, b, y in roots[i + 1 :] if p == q}
+    of = {r.id: r.row_id for r in rows}
+    shape = {}
+    for _, i, t in sorted(roots, key=lambda x: of[x[1]]):
+        shape.setdefault(tuple(t), of[i])
+    want = {(p, shape[tuple(x)], shape[tuple(y)]): fg.edit_distance(x, y) for p, a, x in roots if of[a] % 20 == 0 for q, b, y in roots if p == q and x != y}
     got = entry.queries()["tree_edit_distance"](spark, SF).collect()
-    assert {(r.a, r.b): r.distance for r in got} == want and len(got) == len(want)
+    assert {(r.program, r.a, r.b): r.distance for r in got} == want and len(got) == len(want)
+    named = entry.queries()["tree_shapes"](spark, SF).collect()
+    assert {(r.program, r.root): r["shape"] for r in named} == {(p, i): shape[tuple(t)] for p, i, t in roots}
 
 
 def test_expansion_of_all_steps(spark, sf):
@@ -65,7 +71,7 @@ def test_expansion_of_all_steps(spark, sf):
     for r in table(spark, sf, "lineitem").collect():
         j, n, call = r.l_orderkey, r.l_linenumber, r.l_orderkey % 2 == 0
         want.update([(j, n, f"P{n}", m, f"PGM{m}", "call" if call else "default") for m in (1, 2)] if n <= 2 else [(j, n, f"P{n}", None, None, "call" if call else None)])
-    got = Counter((r.job, r.n, r.proc, r.m, r.program, r.env) for r in entry.queries()["procedure_expansion_all"](spark, sf).collect())
+    got = Counter((r.job, r.n, r.proc, r.m, r.program, r.env) for r in entry.queries()["procedure_expansion"](spark, sf).collect())
     assert got == want
 
 
@@ -98,17 +104,26 @@ def connected(es):
 
 
 def test_patterns_of_any_shape(spark):
+    """All connected sets of up to three edges of small random graphs, told apart by isomorphism."""
+    rnd = random.Random(5)
+    graphs = {g: {(rnd.choice("abcde"), rnd.choice("abcde")) for _ in range(6)} for g in range(8)}
+    label = lambda x: "x" if x in "ab" else "y"
+
+    def shape(c):
+        names = sorted({x for e in c for x in e})
+        return min((tuple(label(x) for x in p), tuple(sorted((p.index(s), p.index(d)) for s, d in c))) for p in permutations(names))
+
     want = Counter()
-    for es in graphs_of(spark).values():
-        want.update(frozenset(c) for n in (1, 2, 3) for c in combinations(sorted(es), n) if connected(c))
+    for es in graphs.values():
+        want.update({shape(c) for n in (1, 2, 3) for c in combinations(sorted(es), n) if connected(c)})
+    e = spark.createDataFrame([(g, s, d, label(s), label(d)) for g, es in graphs.items() for s, d in es], "graph_id long, src string, dst string, src_label string, dst_label string")
     got = {}
-    for r in entry.queries()["frequent_subgraphs_all"](spark, SF).collect():
+    for r in fg.frequent_patterns(e, 3, 3).collect():
         end = r.pattern.rindex("]") + 1
-        labels = json.loads(r.pattern[:end])
-        es = frozenset(tuple(labels[int(x)] for x in p.split(">")) for p in r.pattern[end:].split())
-        assert len(es) == r.n_edges and es not in got
-        got[es] = r.support
-    assert got == {k: n for k, n in want.items() if n >= 30} and any(len({s for s, _ in k}) == 1 and len(k) == 3 for k in got)
+        key = tuple(json.loads(r.pattern[:end])), tuple(sorted(tuple(map(int, x.split(">"))) for x in r.pattern[end:].split()))
+        assert key not in got and len(key[1]) == r.n_edges
+        got[key] = r.support
+    assert got == {k: n for k, n in want.items() if n >= 3} and len(got) > 10
 
 
 def test_isomorphic_patterns_are_one(spark):
@@ -149,23 +164,3 @@ def test_linkage_against_a_plain_search():
                 d[min(a, k), max(a, k)] = (((n + size[k]) * at(a, k) ** 2 + (m + size[k]) * at(b, k) ** 2 - size[k] * h**2) / (n + m + size[k])) ** 0.5
         size[a] = n + m
     assert [(a, b, round(h, 9), n) for _, a, b, h, n in fg.ward_linkage(points)] == want
-
-
-def test_comments_have_the_shortest_encoding_whatever_stood_before(spark):
-    from lodegraph.llm import codetext
-
-    left, right = "zorba quelim vanto brusk dapper wixon", "plimth ogre yuslak terrno fabix junder"
-    said = "hermod kasli bovent truska limpar odwen"
-    dictionaries = {"de": f"{said} . {left} . mumble . {right}".encode(), "fr": f"other . {left} {right}".encode()}, b"code"
-    rows = [(1, "comments", "P", f"000100* {said}\n000200 A-1.\n000300* {left}\n000400* {right}")]
-    chunks = spark.createDataFrame(rows, "row_id long, chunk_type string, program string, text string")
-    types = spark.createDataFrame([("comments", "cobol", True)], "chunk_type string, family string, holds_source boolean")
-    got = {(r.start_line, r.lang) for r in codetext.natural_language(chunks, types, dictionaries).collect()}
-    assert got == {(1, "de"), (3, "fr")}
-
-
-def test_lines_with_words_are_no_rules():
-    from lodegraph.llm import codetext
-
-    line = "- the job moves the customer address"
-    assert codetext.natural_lines(codetext.Span(1, "comment", (line, "- - - -", "====", "** **"))) == [line]
