@@ -13,8 +13,15 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_records(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.one_table(table(spark, sf, "chunk_export"), ["record_id", "series", "file_seq", "file_name"], "payload")
+    """All records in one table; a renamed field has one column, that of the name it has now."""
+    exports = table(spark, sf, "chunk_export")
+    names = drift.renamings(drift.layout_changes(exports, "series", "file_seq", "payload"))
+    return drift.one_table(exports, ["record_id", "series", "file_seq", "file_name"], "payload", names)
 
 
-QUERIES = {"p5_found": p5_found, "p5_records": p5_records}
+def p5_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return drift.rejected(table(spark, sf, "chunk_export"), ["record_id", "series", "file_seq"], "payload")
+
+
+QUERIES = {"p5_found": p5_found, "p5_records": p5_records, "p5_rejects": p5_rejects}
 ORACLES: dict[str, str] = {}

@@ -1,5 +1,8 @@
 import json
-from collections import Counter, defaultdict
+from collections import Counter
+from decimal import Decimal
+
+from pyspark.sql import functions as F
 
 from lodegraph.operators import drift, nested
 
@@ -87,21 +90,43 @@ def test_layout_changes(spark):
 
 def test_one_table_keeps_alternatives(spark):
     f = [("s", 1, {"a": 1, "series": "inner"}), ("s", 2, {"a": 2.5}), ("s", 3, {"a": "x", "b": {"c": 1}}), ("s", 4, {"a": None})]
-    df = spark.createDataFrame(rows(f), EXPORT)
+    df = spark.createDataFrame([*rows(f), ("s", 5, "no json", "x", "y", 1)], EXPORT)
     out = drift.one_table(df, ["series", "file_seq"], "payload").orderBy("file_seq").collect()
-    assert [r.a for r in out] == ["1", "2.5", "x", None]
-    assert [(r.a__integer, r.a__decimal, r.a__string) for r in out] == [(1, None, None), (None, 2.5, None), (None, None, "x"), (None, None, None)]
-    assert out[0].field_series == "inner" and out[2].b_c == 1
-    assert drift.one_table(df.filter("false"), ["series"], "payload").columns == ["series"]
+    assert [r.a for r in out] == ["1", "2.5", "x", None, None]
+    assert [(r.a__integer, r.a__decimal, r.a__string) for r in out] == [(1, None, None), (None, Decimal("2.5"), None), (None, None, "x"), (None, None, None), (None, None, None)]
+    assert out[0].field_series == "inner" and out[2].b_c == 1 and [r.payload_problem for r in out] == [None] * 4 + ["no object"]
+    assert drift.one_table(df.filter("false"), ["series"], "payload").columns == ["series", "payload_problem"]
+    assert [r.n_chars for r in drift.rejected(df, ["series"], "payload").collect()] == [7]
+
+
+def test_one_table_loses_no_value(spark):
+    texts = ['{"i": 12345678901234567890123, "d": 0.1234567890123456789, "r": 1, "r": 2}', '{"i": 7, "d": 1.5, "x": NaN, "t": "a\tb"}', '{"old": 1, "huge": 1234567890123456789012345678901234567890123}', '{"new": 2}', '{"old": 3, "new": 4}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, payload string")
+    out = drift.one_table(df, ["id"], "payload", {"old": "new"}).orderBy("id").collect()
+    assert [r.i for r in out][:2] == [Decimal("12345678901234567890123"), Decimal(7)] and [r.d for r in out][:2] == [Decimal("0.1234567890123456789"), Decimal("1.5")]
+    assert out[0].r == 2 and out[1].t == "a\tb" and out[1].x == "NaN" and out[2].huge == "1234567890123456789012345678901234567890123"
+    assert [(r.new, r.old__old) for r in out[2:]] == [(1, None), (2, None), (4, 3)]
+
+
+def test_both_readers_agree(spark):
+    """Fields found in the JVM equal those found over Arrow batches."""
+    texts = [json.dumps(x) for x in ({}, {"a": {"b": {"c": {"d": [1, {"e": "f"}]}}}, "x": 1.5, "y": -3, "z": None, "s": "ü\n", "t": True}, {"o": {"n": 2.25, "m": 10, "k": []}}, [1], 3)]
+    df = spark.createDataFrame([(t,) for t in texts], "p string")
+    for r in df.select("p", F.try_parse_json("p").alias("v")).select("p", drift.tagged_fields(F.col("v"), F.col("p")).alias("f")).collect():
+        assert sorted((x.path, x.tag or "", x["value"] or "") for x in r.f) == sorted((a, b or "", c or "") for a, b, c in drift.tagged_text(r.p) or [])
+
+
+def test_names_over_chains_of_renamings(spark):
+    made = [("a", "b"), ("b", "c"), ("x", "y"), ("y", "x")]
+    changes = spark.createDataFrame([("renamed", o, n) for o, n in made] + [("added", "", "q")], "change_kind string, old_field string, field string")
+    assert drift.renamings(changes) == {"a": "c", "b": "c", "y": "x"}
 
 
 def test_tags_of_numbers(spark):
     df = spark.createDataFrame([('{"i": 12345678901234567890, "d": 1.0, "e": 1e3, "b": false, "s": "1", "u": "\\u00e9", "n": null}',)], "p string")
-    from pyspark.sql import functions as F
-
-    tags = {r.path: r.tag for r in df.select(F.inline(drift.tagged_fields(F.col("p")))).collect()}
-    assert tags == {"i": "integer", "d": "decimal", "e": "decimal", "b": "boolean", "s": "string", "u": "string", "n": None}
-    assert defaultdict(int) == {}
+    found = df.select(F.inline(drift.tagged_fields(F.try_parse_json("p"), F.col("p")))).collect()
+    assert {r.path: r.tag for r in found} == {"i": "integer", "d": "decimal", "e": "decimal", "b": "boolean", "s": "string", "u": "string", "n": None}
+    assert {r.path: r["value"] for r in found} == {"i": "12345678901234567890", "d": "1.0", "e": "1000.0", "b": "false", "s": "1", "u": "é", "n": None}
 
 
 def test_nested_text_in_every_form(spark):
