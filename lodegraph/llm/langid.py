@@ -249,31 +249,52 @@ class Identifier:
 _IDENTIFIERS: dict[str, Identifier] = {}
 
 
-def with_segments(df: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
-    """(key, label_lang, seg_no, lang, confidence, sentences, words) of every segment of every text.
+_SEGMENT = "struct<seg_no:int,lang:string,confidence:double,sentences:int,words:int>"
+
+
+def identified(df: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
+    """(key, label_lang, lang, confidence, n_langs, segments) of every row of `df`, from one pass over Arrow batches.
 
-    Null and blank texts, and those without a sentence of natural language, have no rows; nor has any
-    text under a model that was fitted on nothing."""
+    lang is that of most words (the last in the alphabet of equals), confidence the mean of its segments'
+    by words. Null and blank texts, and those without a sentence of natural language, have no segments and
+    no lang; nor has any text under a model that was fitted on nothing."""
     packed = pickle.dumps(model)
     shared, name = df.sparkSession.sparkContext.broadcast(packed), hashlib.sha1(packed).hexdigest()
     languages = model.languages
+    segment = pa.struct([("seg_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("sentences", pa.int32()), ("words", pa.int32())])
 
     def identify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _IDENTIFIERS:
             _IDENTIFIERS.clear()
             _IDENTIFIERS[name] = Identifier(pickle.loads(shared.value))
         for batch in batches:
-            found = _IDENTIFIERS[name].segments(batch.column("t").to_pylist())
-            owner = [i for i, segs in enumerate(found) for _ in segs]
+            found = _IDENTIFIERS[name].segments([t or "" for t in batch.column("t").to_pylist()])
+            langs, sure, n_langs = [], [], []
+            for segs in found:
+                by: dict[str, list[float]] = {}
+                for lang, confidence, _, words in segs:
+                    at = by.setdefault(languages[lang], [0.0, 0.0])
+                    at[0] += words
+                    at[1] += words * confidence
+                lang = max(by, key=lambda x: (by[x][0], x), default=None)
+                langs.append(lang)
+                sure.append(None if lang is None else by[lang][1] / by[lang][0] if by[lang][0] else 0.0)
+                n_langs.append(len(by))
+            offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             rows = [(no, languages[s[0]], *s[1:]) for segs in found for no, s in enumerate(segs, 1)]
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            take = pa.array(owner, pa.int64())
-            kinds = (pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("k").take(take), batch.column("label_lang").take(take)] + [pa.array(c, t) for c, t in zip(cols, kinds)], names=["k", "label_lang", "seg_no", "lang", "confidence", "sentences", "words"])
+            cols = list(zip(*rows)) if rows else [()] * 5
+            flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, segment)], fields=list(segment))
+            out = [batch.column("k"), batch.column("label_lang"), pa.array(langs, pa.string()), pa.array(sure, pa.float64()), pa.array(n_langs, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)]
+            yield pa.RecordBatch.from_arrays(out, names=["k", "label_lang", "lang", "confidence", "n_langs", "segments"])
 
     kt = df.schema[key].dataType.simpleString()
-    texts = df.select(F.col(key).alias("k"), label_language(label).alias("label_lang"), F.col(text).alias("t")).filter("t is not null")
-    return texts.mapInArrow(identify, f"k {kt}, label_lang string, seg_no int, lang string, confidence double, sentences int, words int").withColumnRenamed("k", key)
+    texts = df.select(F.col(key).alias("k"), label_language(label).alias("label_lang"), F.col(text).alias("t"))
+    return texts.mapInArrow(identify, f"k {kt}, label_lang string, lang string, confidence double, n_langs int, segments array<{_SEGMENT}>").withColumnRenamed("k", key)
+
+
+def with_segments(df: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
+    """(key, label_lang, seg_no, lang, confidence, sentences, words) of every segment of every text."""
+    return identified(df.filter(F.col(text).isNotNull()), key, text, label, model).select(key, "label_lang", F.inline("segments"))
 
 
 def fitted(df: DataFrame, key: str, text: str, label: str) -> Model:
@@ -285,22 +306,13 @@ def documents(df: DataFrame, key: str, text: str, label: str, model: Model) -> D
 
     lang is that of most words; null without natural language. label_status: right, missing (null, blank
     or no language), wrong, mixed (several languages), none (no natural language)."""
-    seg = with_segments(df, key, text, label, model)
-    per = seg.groupBy(key).agg(
-        F.max("seg_no").alias("n_segments"),
-        F.sort_array(F.collect_list(F.struct("seg_no", "lang", F.round("confidence", 4).alias("confidence"), "words"))).alias("segments"),
-    )
-    words = seg.groupBy(key, "lang").agg(F.sum("words").alias("w"), (F.sum(F.col("confidence") * F.col("words")) / F.sum("words")).alias("c"))
-    main = words.groupBy(key).agg(F.max_by(F.struct("lang", "c"), F.struct("w", "lang")).alias("m"), F.count(F.lit(1)).alias("n_langs"))
-    named = label_language(label)
-    status = (
-        F.when(F.col("m").isNull(), "none").when(F.col("n_langs") > 1, "mixed").when(F.col("label_lang").isNull(), "missing").when(F.col("label_lang") == F.col("m.lang"), "right").otherwise("wrong")
-    )
-    return df.select(key, named.alias("label_lang")).join(per, key, "left").join(main, key, "left").select(key, F.col("m.lang").alias("lang"), F.round("m.c", 4).alias("confidence"), F.coalesce("n_segments", F.lit(0)).alias("n_segments"), status.alias("label_status"), "segments")
+    status = F.when(F.col("lang").isNull(), "none").when(F.col("n_langs") > 1, "mixed").when(F.col("label_lang").isNull(), "missing").when(F.col("label_lang") == F.col("lang"), "right").otherwise("wrong")
+    segments = F.transform("segments", lambda s: F.struct(s["seg_no"].alias("seg_no"), s["lang"].alias("lang"), F.round(s["confidence"], 4).alias("confidence"), s["words"].alias("words")))
+    return identified(df, key, text, label, model).select(key, "lang", F.round("confidence", 4).alias("confidence"), F.size("segments").alias("n_segments"), status.alias("label_status"), segments.alias("segments"))
 
 
 def mislabelled(df: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
     """(key, seg_no, lang) of the documents whose label is missing or wrong, or that hold several languages."""
-    seg = with_segments(df, key, text, label, model)
-    several = F.max("seg_no").over(Window.partitionBy(key)) > 1
-    return seg.withColumn("several", several).filter(F.col("several") | F.col("label_lang").isNull() | (F.col("label_lang") != F.col("lang"))).select(key, "seg_no", "lang")
+    found = identified(df.filter(F.col(text).isNotNull()), key, text, label, model)
+    wrong = (F.size("segments") > 1) | F.col("label_lang").isNull() | (F.col("label_lang") != F.col("lang"))
+    return found.filter(wrong).select(key, F.inline("segments")).select(key, "seg_no", "lang")
