@@ -50,11 +50,17 @@ LEAST_MARGIN = 3.0
 
 #: Words: runs of letters; Japanese ones also end where the script changes.
 _WORD = re.compile(r"[\u3041-\u309f]+|[\u30a0-\u30ff]+|[\u3400-\u9fff\u3005]+|[^\W\d_\u3005\u3041-\u30ff\u3400-\u9fff]+")
-_SENTENCE = re.compile(r"(?<=[。！？])|(?<=[.!?])(?=\s)|(?<=[.!?][)\"'»”])(?=\s)")
+#: The same within text without Japanese characters, and all that is no letter within plain ASCII.
+_LETTERS = re.compile(r"[^\W\d_]+")
+_GAPS = "".join(chr(i) if chr(i).isalpha() else " " for i in range(128))
+_EAST = re.compile(r"[\u3005\u3041-\u30ff\u3400-\u9fff]")
+#: Ends of sentences.
+_SENTENCE = re.compile(r"[。！？]|[.!?][)\"'»”]?(?=\s)")
+_LINE = re.compile(r"\r\n|\n|\r|\u2028|\u2029|\x85")
 _BRACKETED = re.compile(r"\[[^\]\n]*\]|\([A-Z][A-Z0-9]*-[A-Z0-9-]+\)")
 _HEADING = re.compile(r"\s*(#{1,6}\s|=+\s|\*{3,})")
 #: Identifiers: a hyphen, underscore, dot or digit within a run of capitals.
-_NAME = re.compile(r"\b(?=[A-Z0-9.$#@_-]*[0-9._-])[A-Z][A-Z0-9$#@_-]*(?:[.][A-Z0-9$#@_-]+)*\b")
+_NAME = re.compile(r"[A-Z](?<!\w[A-Z])(?=[A-Z0-9.$#@_-]*[0-9._-])[A-Z0-9$#@_-]*(?:[.][A-Z0-9$#@_-]+)*\b")
 #: Words that open COBOL, SQL and JCL statements.
 _VERBS = "MOVE|PERFORM|ADD|SUBTRACT|MULTIPLY|DIVIDE|COMPUTE|IF|ELSE|END-IF|EVALUATE|WHEN|END-EVALUATE|CALL|EXEC|END-EXEC|DISPLAY|STRING|UNSTRING|INITIALIZE|INSPECT|GO TO|GOBACK|STOP RUN|EXIT|CONTINUE|OPEN|CLOSE|READ|WRITE|REWRITE|DELETE|START|ACCEPT|SET|COPY|SELECT|INSERT|UPDATE|FROM|WHERE|VALUES"
 #: The code that a line opens with: a statement in capitals that names something, a JCL statement, a data
@@ -83,22 +89,28 @@ def fold(word: str) -> str:
 def sentences(text: str) -> list[str]:
     """Sentences of a text; headings, bracketed names and code are left out."""
     out = []
-    for line in re.split(r"\r\n|\n|\r| | |\x85", text):
-        if not line.strip() or _HEADING.match(line):
+    for line in _LINE.split(text):
+        if not line or line.isspace() or _HEADING.match(line):
             continue
         if code := _CODE.match(line):
             line = line[code.end() :]
-        line = _BRACKETED.sub(" ", line)
-        out += [s for s in _SENTENCE.split(line) if s and not s.isspace()]
-    return out
+        if "[" in line or "(" in line:
+            line = _BRACKETED.sub(" ", line)
+        at = 0
+        for end in _SENTENCE.finditer(line):
+            out.append(line[at : end.end()])
+            at = end.end()
+        out.append(line[at:])
+    return [s for s in out if s and not s.isspace()]
 
 
 def natural_words(sentence: str) -> list[str] | None:
     """Words of a sentence of natural language without the names in it; None if it is too little."""
-    words = _WORD.findall(_NAME.sub(" ", sentence))
-    if len(words) >= LEAST_WORDS and sum(len(w) > 1 for w in words) >= LEAST_WORDS:
+    said = _NAME.sub(" ", sentence)
+    words = said.translate(_GAPS).split() if said.isascii() else (_WORD if _EAST.search(said) else _LETTERS).findall(said)
+    if len(words) >= LEAST_WORDS and len([w for w in words if len(w) > 1]) >= LEAST_WORDS:
         return words
-    return words if len(_KANA.findall(sentence)) >= LEAST_KANA else None
+    return words if not sentence.isascii() and len(_KANA.findall(sentence)) >= LEAST_KANA else None
 
 
 class Model:
@@ -184,13 +196,17 @@ class Identifier:
         self.model, self.ids, self.vectors = model, {}, []
 
     def word_ids(self, words: list[str]) -> list[int]:
-        ids, out = self.ids, []
-        for w in words:
-            i = ids.get(w)
-            if i is None:
-                i = ids[w] = len(self.vectors)
-                self.vectors.append(self.model.score(fold(w)))
-            out.append(i)
+        ids = self.ids
+        out = list(map(ids.get, words))
+        if None in out:
+            for k, i in enumerate(out):
+                if i is None:
+                    w = words[k]
+                    i = ids.get(w)
+                    if i is None:
+                        i = ids[w] = len(self.vectors)
+                        self.vectors.append(self.model.score(fold(w)))
+                    out[k] = i
         return out
 
     def segments(self, texts: list[str | None]) -> list[list[tuple[int, float, int, int]]]:
