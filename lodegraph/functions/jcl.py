@@ -59,12 +59,75 @@ def dsn(c: Column) -> Column:
 
 
 def disp(c: Column) -> Column:
-    """struct<status,normal,abnormal,access>."""
-    p = F.split(F.regexp_replace(c, r"[()]", ""), ",")
-    status = F.coalesce(F.nullif(F.upper(F.try_element_at(p, F.lit(1))), F.lit("")), F.lit("NEW"))
-    access = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ACCESS.items() for x in kv]), status), F.lit("special"))
-    part = lambda n: F.nullif(F.upper(F.try_element_at(p, F.lit(n))), F.lit(""))
-    return F.struct(status.alias("status"), part(2).alias("normal"), part(3).alias("abnormal"), access.alias("access"))
+    """struct<status,normal,abnormal,access>; parts that are left out are null, access is special without a status."""
+    p = F.split(F.regexp_replace(F.trim(c), r"[()]", ""), ",")
+    part = lambda n: F.nullif(F.upper(F.trim(F.try_element_at(p, F.lit(n)))), F.lit(""))
+    access = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ACCESS.items() for x in kv]), part(1)), F.lit("special"))
+    return F.struct(part(1).alias("status"), part(2).alias("normal"), part(3).alias("abnormal"), access.alias("access"))
+
+
+def _inner(c: Column) -> Column:
+    """An operand without the parentheses around all of it."""
+    return F.regexp_replace(F.trim(c), r"^\((.*)\)$", "$1")
+
+
+def dcb(c: Column) -> Column:
+    """struct<backreference,parameters>: *.NAME, or a map of sub-parameters in lower case; one without = is under '1'."""
+    back = F.nullif(F.regexp_extract(F.trim(c), r"^\(?\*\.([A-Za-z0-9.]+)\)?$", 1), F.lit(""))
+    keyed = operands(_inner(c))
+    lower = F.transform_keys(keyed, lambda k, v: F.lower(k))
+    return F.struct(back.alias("backreference"), F.when(back.isNull(), lower).alias("parameters"))
+
+
+def vol(c: Column) -> Column:
+    """struct<ser,ref,is_private,is_retained>: serial numbers of volumes, or the DD whose volumes are meant."""
+    t = F.trim(c)
+    ref = F.nullif(F.regexp_extract(t, r"(?i)^\(?(?:.*,)?REF=\*\.([^,)]+)", 1), F.lit(""))
+    one = F.regexp_extract(t, r"(?i)SER=(\([^)]*\)|[^,)]+)", 1)
+    ser = F.when(one != "", F.transform(F.split(_inner(one), ","), lambda x: F.trim(x)))
+    word = lambda w: F.array_contains(F.transform(F.split(_inner(F.upper(t)), ","), lambda x: F.trim(x)), w)
+    return F.struct(ser.alias("ser"), ref.alias("ref"), word("PRIVATE").alias("is_private"), word("RETAIN").alias("is_retained"))
+
+
+def space(c: Column) -> Column:
+    """struct<unit,primary,secondary,rlse,contig,round>."""
+    parts = split_operand(_inner(c))
+    amounts = F.split(_inner(F.try_element_at(parts, F.lit(2))), ",")
+    amount = lambda n: F.nullif(F.trim(F.try_element_at(amounts, F.lit(n))), F.lit(""))
+    flag = lambda w: F.coalesce(F.array_contains(F.transform(F.slice(parts, 3, 9), lambda x: F.upper(F.trim(x))), w), F.lit(False))
+    return F.struct(F.try_element_at(parts, F.lit(1)).alias("unit"), amount(1).alias("primary"), amount(2).alias("secondary"), flag("RLSE").alias("rlse"), flag("CONTIG").alias("contig"), flag("ROUND").alias("round"))
+
+
+def cond(c: Column) -> Column:
+    """struct<value,modifier>: EVEN or ONLY apart from the tests."""
+    t = F.trim(c)
+    modifier = F.nullif(F.upper(F.regexp_extract(t, r"(?i)(?:^|,)(EVEN|ONLY)\)?$", 1)), F.lit(""))
+    return F.struct(F.nullif(F.regexp_replace(t, r"(?i)(?:^|,)(EVEN|ONLY)(?=\)?$)", ""), F.lit("")).alias("value"), modifier.alias("modifier"))
+
+
+def output_references(c: Column) -> Column:
+    """array<string> of the OUTPUT statements that a DD refers to."""
+    return F.transform(F.regexp_extract_all(c, F.lit(r"\*\.([A-Za-z0-9.@#$]+)"), F.lit(1)), lambda x: F.upper(x))
+
+
+#: What the DD names of the system stand for.
+DD_ROLES = {
+    "JOBLIB": "library_override", "STEPLIB": "library_override", "SYSIN": "program_input", "SYSPRINT": "system_print", "SYSOUT": "system_output",
+    "SYSERR": "system_error", "SYSUDUMP": "diagnostic_dump", "SYSABEND": "diagnostic_dump",
+}
+
+
+def dd_fields(name: Column, operand: Column) -> Column:
+    """struct of a DD statement: role, dsn, disp, dcb, vol, space, sysout, outputs."""
+    o = operands(operand)
+    at = lambda k: F.try_element_at(o, F.lit(k))
+    role = F.try_element_at(F.create_map(*[F.lit(x) for kv in DD_ROLES.items() for x in kv]), F.upper(name))
+    has = lambda k, f: F.when(at(k).isNotNull(), f(at(k)))
+    data_set = F.coalesce(at("DSN"), at("DSNAME"))
+    return F.struct(
+        role.alias("role"), F.when(data_set.isNotNull(), dsn(F.regexp_replace(data_set, "'", ""))).alias("dsn"), has("DISP", disp).alias("disp"), has("DCB", dcb).alias("dcb"),
+        F.when(F.coalesce(at("VOL"), at("VOLUME")).isNotNull(), vol(F.coalesce(at("VOL"), at("VOLUME")))).alias("vol"), has("SPACE", space).alias("space"), at("SYSOUT").alias("sysout"), F.coalesce(has("OUTPUT", output_references), F.array().cast("array<string>")).alias("outputs"),
+    )
 
 
 def cond_text(c: Column) -> Column:

@@ -115,6 +115,20 @@ def generated(kind: str, rows: DataFrame, program: str, name: Column, text: Colu
     return rows.select(F.concat_ws(":", F.coalesce(program, F.lit("")), F.lit(kind), name).alias("chunk_id"), F.lit(kind).alias("chunk_type"), F.col(program).alias("program"), text.alias("text"))
 
 
+def top_listing(rows: DataFrame, by: list[str], item: str, most: int) -> DataFrame:
+    """(by, n, items): how many distinct items a group has, and the first of them in order.
+
+    Items are cut to `most` by a limit within the window, before they are collected, so a hot group fills no row."""
+    d = rows.filter(F.col(item).isNotNull()).select(*by, item).distinct()
+    first = d.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(item))).filter(F.col("_r") <= most)
+    return d.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).join(first.groupBy(*by).agg(F.sort_array(F.collect_list(item)).alias("items")), by)
+
+
+def listed(n: Column, items: Column) -> Column:
+    """The items joined by commas, and how many more there are."""
+    return F.concat(F.array_join(items, ", "), F.when(n > F.size(items), F.concat(F.lit(" and "), (n - F.size(items)).cast("string"), F.lit(" more"))).otherwise(""))
+
+
 def listing(items: Column, most: int) -> Column:
     """The first items joined by commas, and how many more there are."""
     return F.concat(F.array_join(F.slice(items, 1, most), ", "), F.when(F.size(items) > most, F.concat(F.lit(" … and "), (F.size(items) - most).cast("string"), F.lit(" more"))).otherwise(""))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodegraph.functions import jcl, records, text
+from lodegraph.functions import cics, jcl, records, text
 from lodegraph.functions import statements as st
 
 
@@ -77,7 +77,7 @@ def test_dsn(spark, value, want):
 def test_operands(spark):
     assert one(spark, jcl.split_operand(F.col("v")), "A=(1,2),B='x,y',C") == ["A=(1,2)", "B='x,y'", "C"]
     assert one(spark, jcl.operands(F.col("v")), "A=(1,2),C") == {"A": "(1,2)", "2": "C"}
-    assert one(spark, jcl.disp(F.col("v")), "(,CATLG)").asDict() == {"status": "NEW", "normal": "CATLG", "abnormal": None, "access": "write"}
+    assert one(spark, jcl.disp(F.col("v")), "(,CATLG)").asDict() == {"status": None, "normal": "CATLG", "abnormal": None, "access": "special"}
     assert one(spark, jcl.cond_text(F.col("v")), "(4,LT)") == "runs only if RC >= 4"
     assert one(spark, jcl.substitute(F.col("v"), {"A": "x", "AB": "y"}), "&AB..&A.&Z") == "y.x&Z"
 
@@ -121,3 +121,38 @@ def test_markers_of_the_network_database(spark):
     for marked in ("BIND RUN-UNIT", "IDMS-STATUS", "OBTAIN FIRST X", "obtain owner", "READY USAGE-MODE IS UPDATE"):
         assert one(spark, text.dialect(F.col("v")), f"x {marked} y") == "IDMS"
     assert one(spark, text.dialect(F.col("v")), "EXEC CICS LINK") == "COBOL"
+
+
+def test_data_definition_operands(spark):
+    """Expected results of the operands' own published cases."""
+    v = F.col("v")
+    assert one(spark, jcl.vol(v), "SER=(VOL1,VOL2,VOL3)").ser == ["VOL1", "VOL2", "VOL3"] and one(spark, jcl.vol(v), "REF=*.PREVDD").ref == "PREVDD" and one(spark, jcl.vol(v), "(PRIVATE,SER=A)").is_private
+    assert tuple(one(spark, jcl.disp(v), "(NEW,UNCATLG,DELETE)")) == ("NEW", "UNCATLG", "DELETE", "write") and tuple(one(spark, jcl.disp(v), "(,CATLG)")) == (None, "CATLG", None, "special")
+    assert tuple(one(spark, jcl.disp(v), "MOD")) == ("MOD", None, None, "append")
+    assert tuple(one(spark, jcl.space(v), "(CYL,(5,1),RLSE,CONTIG)")) == ("CYL", "5", "1", True, True, False) and tuple(one(spark, jcl.space(v), "(TRK,5)")) == ("TRK", "5", None, False, False, False)
+    assert one(spark, jcl.dcb(v), "(RECFM=FB,LRECL=80,BLKSIZE=32720)").parameters == {"recfm": "FB", "lrecl": "80", "blksize": "32720"} and one(spark, jcl.dcb(v), "*.S1.DD1").backreference == "S1.DD1"
+    assert tuple(one(spark, jcl.cond(v), "((4,LT),EVEN)")) == ("((4,LT))", "EVEN") and tuple(one(spark, jcl.cond(v), "ONLY")) == (None, "ONLY")
+    dd = one(spark, jcl.dd_fields(F.lit("SYSOUT"), v), "SYSOUT=(,),OUTPUT=(*.MYOUT)")
+    assert dd.role == "system_output" and dd.outputs == ["MYOUT"] and dd.dsn is None
+    dd = one(spark, jcl.dd_fields(F.lit("X"), v), "DSN='A.B(+1)',DISP=SHR")
+    assert (dd.dsn.kind, dd.dsn.base, dd.disp.access, dd.role) == ("generation", "A.B", "read", None)
+
+
+def test_cics_statements_and_their_facts(spark):
+    source = "\n".join(
+        [
+            "000100 A.", "000200     EXEC CICS SEND MAP('M1') MAPSET(WS-SET)", "000300       RESP(WS-R) END-EXEC. EXEC CICS RETURN TRANSID('T1') END-EXEC",
+            "000400*    EXEC CICS READ FILE('F')", "000500*      INTO(X).", "000600     EXEC CICS HANDLE CONDITION NOTFND(NF) ERROR END-EXEC.",
+            "000700     EXEC CICS HANDLE ABEND LABEL(AB) END-EXEC EXEC CICS IGNORE CONDITION LENGERR END-EXEC EXEC CICS XCTL PROGRAM(WS-PGM) END-EXEC",
+        ]
+    )
+    found = one(spark, cics.statements(F.col("v")), source)
+    assert [(s.line, s.active) for s in found] == [(2, True), (3, True), (6, True), (7, True), (7, True), (7, True), (4, False)]
+    assert found[0].text == "EXEC CICS SEND MAP('M1') MAPSET(WS-SET) RESP(WS-R)" and found[-1].text == "EXEC CICS READ FILE('F') INTO(X)"
+    texts = [s.text for s in found]
+    assert [one(spark, cics.command(F.col("v")), t) for t in texts] == ["SEND", "RETURN", "HANDLE", "HANDLE", "IGNORE", "XCTL", "READ"]
+    assert tuple(one(spark, cics.target(F.col("v")), texts[5])) == ("PROGRAM", "WS-PGM", "identifier") and tuple(one(spark, cics.target(F.col("v")), texts[0])) == ("MAP", "M1", "literal")
+    assert [tuple(r) for r in one(spark, cics.resources(F.col("v")), texts[0])] == [("MAP", "M1", "literal"), ("MAPSET", "WS-SET", "identifier")]
+    handled = [tuple(h) for t in texts for h in one(spark, cics.handlers(F.col("v")), t)]
+    assert handled == [("RESPONSE_CAPTURE", "RESP", "WS-R", "capture"), ("CONDITION", "NOTFND", "NF", "set"), ("CONDITION", "ERROR", None, "reset"), ("ABEND", "LABEL", "AB", "set"), ("IGNORE CONDITION", "LENGERR", None, "ignore")]
+    assert one(spark, cics.statements(F.col("v")), None) is None and one(spark, cics.statements(F.col("v")), "") == []
