@@ -29,7 +29,7 @@ def statements(text: Column) -> Column:
     lines = F.transform(F.split(text, r"\r?\n"), lambda l, i: F.struct((i + 1).alias("no"), l.alias("line"), F.coalesce(l.rlike(r"^.{6}[*/]|^\s*\*>"), F.lit(False)).alias("is_comment")))
 
     def found(active: bool) -> Column:
-        body = lambda x: F.when(x["is_comment"] != F.lit(active), F.regexp_replace(x["line"], r"^(\d{6}|.{6}[*/]|\s*\*>)", " ")).otherwise("")
+        body = lambda x: F.when(x["is_comment"] != F.lit(active), F.regexp_replace(x["line"], r"^(.{6}[*/]|\d{6}|\s*\*>)", " ")).otherwise("")
         marked = F.transform(lines, lambda x: F.regexp_replace(body(x), F.lit(r"(?i)\bEXEC\s+CICS\b"), F.concat(F.lit("\u0001"), x["no"].cast("string"), F.lit("\u0002"))))
         joined = F.array_join(marked, "\n")
         pattern = F.lit("(?is)\u0001(\\d+)\u0002(.*?)(?:\\bEND-EXEC\\b|(?=\u0001)|$)" if active else "(?is)\u0001(\\d+)\u0002(.*?)(?:\\bEND-EXEC\\b|(?=\u0001)|\\.\\s*(?:\n|$)|$)")

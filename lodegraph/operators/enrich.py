@@ -8,16 +8,10 @@ from pyspark.sql import functions as F
 from lodegraph.session import cut
 
 
-def called_by(calls: DataFrame) -> DataFrame:
-    """(program, callers): sorted distinct callers of every target of (source, target)."""
-    return calls.groupBy(F.col("target").alias("program")).agg(F.sort_array(F.collect_set("source")).alias("callers"))
-
-
 def resolve_targets(calls: DataFrame, summaries: DataFrame) -> DataFrame:
-    """(source, targets): ordered targets as the chunk id of their program's summary, else the raw name."""
+    """(source, target, resolved): the chunk id of the target's summary, the least of several, else the raw name."""
     ids = summaries.groupBy(F.col("program").alias("target")).agg(F.min("chunk_id").alias("id"))
-    r = calls.select("source", "target").distinct().join(ids, "target", "left")
-    return r.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("target", F.coalesce("id", "target").alias("name")))), lambda x: x["name"]).alias("targets"))
+    return calls.select("source", "target").distinct().join(ids, "target", "left").select("source", "target", F.coalesce("id", "target").alias("resolved"))
 
 
 def group_usage(members: DataFrame, uses: DataFrame, most: int = 10) -> DataFrame:
@@ -26,8 +20,9 @@ def group_usage(members: DataFrame, uses: DataFrame, most: int = 10) -> DataFram
     members: program, group_id, variable. uses: program, variable, user."""
     u = members.join(uses, ["program", "variable"]).groupBy("group_id", "user").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("group_id").orderBy(F.desc("n"), "user")
-    top = u.withColumn("r", F.row_number().over(w))
-    return top.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_users"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.struct("r", "user")))), lambda x: x["user"]), ",").alias("users"))
+    top = u.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most)
+    users = top.groupBy("group_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "user"))), lambda x: x["user"]), ",").alias("users"))
+    return u.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_users")).join(users, "group_id")
 
 
 def parts(pieces: DataFrame, key: str, order: str, text: str, context: Column) -> DataFrame:

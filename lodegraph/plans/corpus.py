@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodegraph.operators import corpus
+from lodegraph.operators import corpus, derive
 from lodegraph.plans.base import WITH, chunks, data_nodes, edges, nodes
 from lodegraph.session import table
 
@@ -240,15 +240,16 @@ def dataflow_read_write_sites(spark: SparkSession, sf: str) -> DataFrame:
     n = nodes(spark, sf)
     use = lambda c, r: n.select("program", "id", "flow_type", F.explode(c).alias("variable"), F.lit(r).alias("is_read"))
     u = use("variablesread", True).unionByName(use("variablesmodified", False)).filter("variable is not null")
-    sites = F.slice(F.sort_array(F.collect_set(F.when(~F.col("is_read"), F.col("id")))), 1, 10)
-    joined = F.array_join(sites, ",")
-    return u.groupBy("variable").agg(F.count_if("is_read").alias("n_reads"), F.count_if(~F.col("is_read")).alias("n_writes"), F.count_distinct("program").alias("n_programs"), F.bool_or(F.col("is_read") & (F.col("flow_type") == "IF_BRANCH")).alias("controls_flow"), F.when(F.count_if(~F.col("is_read")) > 0, joined).alias("write_sites"))
+    sites = derive.top_listing(u.filter("not is_read"), ["variable"], "id", 10).select("variable", F.array_join("items", ",").alias("write_sites"))
+    g = u.groupBy("variable").agg(F.count_if("is_read").alias("n_reads"), F.count_if(~F.col("is_read")).alias("n_writes"), F.count_distinct("program").alias("n_programs"), F.bool_or(F.col("is_read") & (F.col("flow_type") == "IF_BRANCH")).alias("controls_flow"))
+    return g.join(sites, "variable", "left")
 
 
-@query(WITH + ", t AS (SELECT upper(program) AS program, json_extract_string(metadata, '$.sql_operation') AS op FROM nodes WHERE flow_type = 'EXEC_SQL') SELECT op, string_agg(DISTINCT program, ',' ORDER BY program) AS programs, count(*) AS n FROM t WHERE op IS NOT NULL AND program IS NOT NULL GROUP BY op")
+@query(WITH + "SELECT json_extract_string(metadata, '$.sql_operation') AS op, upper(program) AS program, count(*) AS n FROM nodes WHERE flow_type = 'EXEC_SQL' AND program IS NOT NULL AND json_extract_string(metadata, '$.sql_operation') IS NOT NULL GROUP BY ALL")
 def inverted_table_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Inverted index, a row per operation and program."""
     t = nodes(spark, sf).filter("flow_type = 'EXEC_SQL' and program is not null").select(F.upper("program").alias("program"), F.get_json_object("metadata", "$.sql_operation").alias("op")).filter("op is not null")
-    return t.groupBy("op").agg(F.array_join(F.sort_array(F.collect_set("program")), ",").alias("programs"), F.count(F.lit(1)).alias("n"))
+    return t.groupBy("op", "program").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(WITH + "SELECT d.program, d.fieldname, d.id FROM data d WHERE d.fieldname IS NOT NULL AND d.id NOT IN (SELECT dst FROM edges WHERE edge_type IN ('ACCESSES', 'MODIFIES')) AND d.id NOT IN (SELECT parent_id FROM data WHERE parent_id IS NOT NULL)")
@@ -274,10 +275,12 @@ def enrich_paragraph_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return c.filter("chunk_type = 'paragraph_logic'").join(p, "program", "left").join(s, ["program", "chunk_type"], "left").join(u, "program", "left").select("chunk_id", "program", "app_domain", "n_siblings", "n_writes")
 
 
-@query(WITH + "SELECT program, string_agg(chunk_id, ',' ORDER BY chunk_id) AS paragraph_ids, count(*) AS n FROM chunks WHERE chunk_type = 'section_summary' AND program IS NOT NULL GROUP BY program")
+@query(WITH + "SELECT s.chunk_id AS summary, c.chunk_type, c.chunk_id FROM chunks c JOIN (SELECT program, min(chunk_id) AS chunk_id FROM chunks WHERE chunk_type = 'program_summary' GROUP BY program) s ON s.program = c.program WHERE c.chunk_type IN ('section_summary', 'variable_group', 'paragraph_logic')")
 def program_summary_links(spark: SparkSession, sf: str) -> DataFrame:
-    c = chunks(spark, sf).filter("chunk_type = 'section_summary' and program is not null")
-    return c.groupBy("program").agg(F.array_join(F.sort_array(F.collect_list("chunk_id")), ",").alias("paragraph_ids"), F.count(F.lit(1)).alias("n"))
+    """Links of a program's summary to its chunks of each kind, a row per link."""
+    c = chunks(spark, sf).filter("program is not null")
+    s = c.filter("chunk_type = 'program_summary'").groupBy("program").agg(F.min("chunk_id").alias("summary"))
+    return c.filter("chunk_type in ('section_summary', 'variable_group', 'paragraph_logic')").join(s, "program").select("summary", "chunk_type", "chunk_id")
 
 
 @query("SELECT n_name, count(DISTINCT c_custkey) AS n_customers, count(DISTINCT s_suppkey) AS n_suppliers, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS segments FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")

@@ -25,19 +25,18 @@ def query(sql: str | None = None):
     return add
 
 
-@query(WITH + f", {_CALLS} SELECT c.chunk_id, string_agg(DISTINCT k.source, ',' ORDER BY k.source) AS called_by FROM chunks c LEFT JOIN calls k ON k.target = c.program OR k.target = 'SUB' || (length(c.chunk_id) % 90) WHERE c.chunk_type = 'program_summary' GROUP BY c.chunk_id")
+@query(WITH + f", {_CALLS}, s AS (SELECT chunk_id, unnest([program, 'SUB' || (length(chunk_id) % 90)]) AS program FROM chunks WHERE chunk_type = 'program_summary') SELECT DISTINCT s.chunk_id, c.source AS caller FROM s JOIN calls c ON c.target = s.program")
 def enrich_called_by(spark: SparkSession, sf: str) -> DataFrame:
-    """Summaries with the programs that call them, under their own name or the name of their module."""
-    c = chunks(spark, sf).filter("chunk_type = 'program_summary'").select("chunk_id", F.explode(F.array("program", F.concat(F.lit("SUB"), (F.length("chunk_id") % 90).cast("string")))).alias("program"))
-    by = enrich.called_by(_calls(spark, sf))
-    j = c.join(by, "program", "left").groupBy("chunk_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("callers")))).alias("n"))
-    return j.select("chunk_id", F.when(F.size("n") > 0, F.array_join("n", ",")).alias("called_by"))
+    """Summaries with the programs that call them, under their own name or the name of their module; a row per caller."""
+    c = chunks(spark, sf).filter("chunk_type = 'program_summary'").select("chunk_id", F.explode(F.array("program", F.concat(F.lit("SUB"), (F.length("chunk_id") % 90).cast("string")))).alias("target"))
+    return c.join(_calls(spark, sf), "target").select("chunk_id", F.col("source").alias("caller")).distinct()
 
 
-@query(WITH + f", {_CALLS}, s AS (SELECT 'SUB' || (length(chunk_id) % 90) AS program, min(chunk_id) AS id FROM chunks WHERE chunk_type = 'program_summary' GROUP BY 1) SELECT source, string_agg(coalesce(s.id, target), ',' ORDER BY target) AS targets FROM calls LEFT JOIN s ON s.program = calls.target GROUP BY source")
+@query(WITH + f", {_CALLS}, s AS (SELECT 'SUB' || (length(chunk_id) % 90) AS program, min(chunk_id) AS id FROM chunks WHERE chunk_type = 'program_summary' GROUP BY 1) SELECT source, target, coalesce(s.id, target) AS resolved FROM calls LEFT JOIN s ON s.program = calls.target")
 def enrich_call_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """Calls with the summary of their target, or its raw name; a row per call."""
     s = chunks(spark, sf).filter("chunk_type = 'program_summary'").select(F.concat(F.lit("SUB"), (F.length("chunk_id") % 90).cast("string")).alias("program"), "chunk_id")
-    return enrich.resolve_targets(_calls(spark, sf), s).select("source", F.array_join("targets", ",").alias("targets"))
+    return enrich.resolve_targets(_calls(spark, sf), s)
 
 
 @query(WITH + ", m AS (SELECT program, parent_id AS group_id, fieldname AS variable FROM data WHERE parent_id IS NOT NULL AND fieldname IS NOT NULL AND program IS NOT NULL), u AS (SELECT m.group_id, n.id AS usr, count(*) AS n FROM m JOIN (SELECT program, id, unnest(variablesread) AS v FROM nodes) n ON n.program = m.program AND n.v = m.variable GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY n DESC, usr) AS r FROM u) SELECT group_id, count(*) AS n_users, string_agg(CASE WHEN r <= 10 THEN usr END, ',' ORDER BY r) AS users FROM r GROUP BY group_id")

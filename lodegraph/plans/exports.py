@@ -29,12 +29,12 @@ def graphml_export(spark: SparkSession, sf: str) -> DataFrame:
     return writers.graphml(nodes(spark, sf), edges(spark, sf))
 
 
-@query(WITH + "SELECT program, row_number() OVER (PARTITION BY program ORDER BY src, dst, edge_type) AS n, '  ' || CASE WHEN regexp_matches(src, '^[0-9]') THEN 'n_' ELSE '' END || regexp_replace(src, '[^A-Za-z0-9_]', '_', 'g') || ' -->|' || edge_type || '| ' || CASE WHEN regexp_matches(dst, '^[0-9]') THEN 'n_' ELSE '' END || regexp_replace(dst, '[^A-Za-z0-9_]', '_', 'g') AS line FROM edges WHERE edge_type = 'JUMPS_TO'")
+@query(WITH + "SELECT program, concat_ws('|', src, dst, edge_type) AS key, '  ' || CASE WHEN regexp_matches(src, '^[0-9]') THEN 'n_' ELSE '' END || regexp_replace(src, '[^A-Za-z0-9_]', '_', 'g') || ' -->|' || edge_type || '| ' || CASE WHEN regexp_matches(dst, '^[0-9]') THEN 'n_' ELSE '' END || regexp_replace(dst, '[^A-Za-z0-9_]', '_', 'g') AS line FROM edges WHERE edge_type = 'JUMPS_TO'")
 def mermaid_text(spark: SparkSession, sf: str) -> DataFrame:
     return writers.mermaid(edges(spark, sf).filter("edge_type = 'JUMPS_TO'"))
 
 
-@query(WITH + "SELECT program, row_number() OVER (PARTITION BY program ORDER BY src, dst, edge_type) AS n, '  \"' || src || '\" -> \"' || dst || '\" [label=\"' || edge_type || '\"];' AS line FROM edges WHERE edge_type = 'JUMPS_TO'")
+@query(WITH + "SELECT program, concat_ws('|', src, dst, edge_type) AS key, '  \"' || src || '\" -> \"' || dst || '\" [label=\"' || edge_type || '\"];' AS line FROM edges WHERE edge_type = 'JUMPS_TO'")
 def graphviz_text(spark: SparkSession, sf: str) -> DataFrame:
     return writers.graphviz(edges(spark, sf).filter("edge_type = 'JUMPS_TO'"))
 

@@ -97,9 +97,10 @@ def _calls(spark: SparkSession, sf: str) -> DataFrame:
     return n.select(F.upper("program").alias("source"), F.get_json_object("metadata", "$.call_target").alias("target")).filter("target is not null").distinct()
 
 
-@query(WITH + f", {_CALLS} SELECT target AS program, count(DISTINCT source) AS n_called_by, string_agg(source, ',' ORDER BY source) AS called_by FROM calls GROUP BY target")
+@query(WITH + f", {_CALLS} SELECT target AS program, source AS caller FROM calls")
 def called_by_index(spark: SparkSession, sf: str) -> DataFrame:
-    return _calls(spark, sf).groupBy(F.col("target").alias("program")).agg(F.count_distinct("source").alias("n_called_by"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("called_by"))
+    """Reverse index of calls, a row per caller: a program that all others call fills no row."""
+    return _calls(spark, sf).select(F.col("target").alias("program"), F.col("source").alias("caller"))
 
 
 @query(WITH + f", {_CALLS} SELECT DISTINCT target FROM calls WHERE target NOT IN (SELECT DISTINCT upper(program) FROM nodes WHERE program IS NOT NULL)")
@@ -182,12 +183,14 @@ def topmost_matches(spark: SparkSession, sf: str) -> DataFrame:
     return graph.topmost(graph.ancestor_closure(t, "id", "parent"), t.filter("fieldname like '%-T%'"))
 
 
-@query(_TREE + ", pairs AS (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.parent = b.parent AND a.id < b.id), s AS (SELECT p.a, p.b, x.ancestor, x.n + y.n AS distance FROM pairs p JOIN up x ON x.id = p.a JOIN up y ON y.id = p.b AND y.ancestor = x.ancestor) SELECT a, b, arg_min(ancestor, (distance, ancestor)) AS ancestor, min(distance) AS distance FROM s GROUP BY a, b")
+@query(_TREE + ", leaf AS (SELECT id, parent FROM t WHERE id NOT IN (SELECT parent FROM t WHERE parent IS NOT NULL)), root AS (SELECT id, arg_max(ancestor, n) AS top FROM up GROUP BY id), f AS (SELECT r.top, l.id, min(l.id) OVER (PARTITION BY r.top) AS first FROM leaf l JOIN root r ON r.id = l.id), s AS (SELECT f.first AS a, f.id AS b, x.ancestor, x.n + y.n AS distance FROM f JOIN up x ON x.id = f.first JOIN up y ON y.id = f.id AND y.ancestor = x.ancestor WHERE f.id <> f.first) SELECT a, b, arg_min(ancestor, (distance, ancestor)) AS ancestor, min(distance) AS distance FROM s GROUP BY a, b")
 def lowest_common_ancestor(spark: SparkSession, sf: str) -> DataFrame:
-    t = _tree(spark, sf)
-    sib = t.filter("parent is not null")
-    pairs = sib.select(F.col("id").alias("a"), "parent").join(sib.select(F.col("id").alias("b"), "parent"), "parent").filter("a < b").select("a", "b")
-    return graph.lowest_common_ancestors(pairs, graph.ancestor_closure(t, "id", "parent"))
+    """Where the first elementary field of every record meets each of the record's others."""
+    t, up = _tree(spark, sf), graph.ancestor_closure(_tree(spark, sf), "id", "parent")
+    leaves = t.select("id").join(t.select(F.col("parent").alias("id")).filter("id is not null"), "id", "left_anti")
+    top = up.groupBy("id").agg(F.max_by("ancestor", "n").alias("top")).join(leaves, "id")
+    pairs = top.join(top.groupBy("top").agg(F.min("id").alias("a")), "top").filter("id <> a").select("a", F.col("id").alias("b"))
+    return graph.lowest_common_ancestors(pairs, up)
 
 
 @query(_TREE + "SELECT x.id, arg_min(x.ancestor, (x.n, x.ancestor)) AS target, min(x.n) AS depth FROM up x JOIN t ON t.id = x.ancestor WHERE t.levelnumber = 1 GROUP BY x.id")

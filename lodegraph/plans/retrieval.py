@@ -92,12 +92,11 @@ def retrieval_recall_mrr(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     _POST
-    + """, calls AS (SELECT DISTINCT a.program AS source, b.program AS target FROM program_catalog a JOIN program_catalog b ON ascii(a.program) + length(a.program) < ascii(b.program) + length(b.program) AND a.source_site = b.source_site)
+    + """, calls AS (SELECT DISTINCT upper(program) AS source, json_extract_string(metadata, '$.cics_target_program') AS target FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC, row_id DESC) AS rn FROM code_node) WHERE rn = 1 AND deleted_at IS NULL AND program IS NOT NULL AND json_extract_string(metadata, '$.cics_target_program') IS NOT NULL)
 SELECT x.qid, x.doc_id, round(score * CASE WHEN d.program = x.qid THEN 2.0 WHEN EXISTS (SELECT 1 FROM calls WHERE source = d.program AND target = x.qid) THEN 1.3 WHEN EXISTS (SELECT 1 FROM calls WHERE source = x.qid AND target = d.program) THEN 1.2 ELSE 1.0 END, 6) AS adjusted FROM ranked x JOIN docs d ON d.doc_id = x.doc_id"""
 )
 def rerank_proximity(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "program_catalog").select("program", "source_site", (F.ascii("program") + F.length("program")).alias("o"))
-    calls = p.select(F.col("program").alias("source"), "source_site", F.col("o").alias("a")).join(p.select(F.col("program").alias("target"), "source_site", F.col("o").alias("b")), "source_site").filter("a < b").select("source", "target")
+    calls = nodes(spark, sf).select(F.upper("program").alias("source"), F.get_json_object("metadata", "$.cics_target_program").alias("target")).filter("source is not null and target is not null").distinct()
     ranked = _ranked(spark, sf).join(documents(spark, sf).select("doc_id", "program"), "doc_id")
     target = _queries(spark, sf).select("qid", F.col("qid").alias("target"))
     return r.rerank(ranked, target, calls, "qid", "doc_id").select("qid", "doc_id", F.round("adjusted", 6).alias("adjusted"))

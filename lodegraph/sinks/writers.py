@@ -5,7 +5,7 @@ by Spark's committer, partitions of a table one by one."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodegraph.functions.text import diagram_id
@@ -56,14 +56,12 @@ def graphml(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def mermaid(edges: DataFrame) -> DataFrame:
-    """(program, n, line): a Mermaid flowchart per program, lines numbered from 1 below the header."""
-    w = Window.partitionBy("program").orderBy("src", "dst", "edge_type")
-    return edges.select("program", F.row_number().over(w).alias("n"), F.concat(F.lit("  "), diagram_id("src"), F.lit(" -->|"), F.col("edge_type"), F.lit("| "), diagram_id("dst")).alias("line"))
+    """(program, key, line): a Mermaid flowchart per program, lines in order of their key below the header."""
+    return edges.select("program", F.concat_ws("|", "src", "dst", "edge_type").alias("key"), F.concat(F.lit("  "), diagram_id("src"), F.lit(" -->|"), F.col("edge_type"), F.lit("| "), diagram_id("dst")).alias("line"))
 
 
 def graphviz(edges: DataFrame) -> DataFrame:
-    w = Window.partitionBy("program").orderBy("src", "dst", "edge_type")
-    return edges.select("program", F.row_number().over(w).alias("n"), F.concat(F.lit('  "'), F.col("src"), F.lit('" -> "'), F.col("dst"), F.lit('" [label="'), F.col("edge_type"), F.lit('"];')).alias("line"))
+    return edges.select("program", F.concat_ws("|", "src", "dst", "edge_type").alias("key"), F.concat(F.lit('  "'), F.col("src"), F.lit('" -> "'), F.col("dst"), F.lit('" [label="'), F.col("edge_type"), F.lit('"];')).alias("line"))
 
 
 def write_text(lines: DataFrame, path: str, *order: str) -> None:

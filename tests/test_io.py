@@ -74,7 +74,7 @@ def test_exports(spark, tmp_path):
     e = spark.createDataFrame([("a<", "b", "E", "P")], "src string, dst string, edge_type string, program string")
     lines = [r.line for r in writers.graphml(n, e).orderBy("part", "key").collect()]
     assert len(list(ET.fromstring("\n".join(lines)).iter())) == 8
-    writers.write_text(writers.mermaid(e), f"{tmp_path}/m", "program", "n")
+    writers.write_text(writers.mermaid(e), f"{tmp_path}/m", "program", "key")
     assert [r.value for r in spark.read.text(f"{tmp_path}/m").collect()] == ["  a_ -->|E| b"]
     writers.append_rows(n, f"{tmp_path}/r", "key")
     writers.append_rows(n, f"{tmp_path}/r", "key")
@@ -82,14 +82,28 @@ def test_exports(spark, tmp_path):
 
 
 def test_pending_orphans_stream(spark, tmp_path):
-    schema = "key string, kind string, ref_id long"
+    """Changes of a batch count in order of their time, whatever their order in it; old references expire."""
+    schema = "key string, kind string, ref_id long, ts timestamp"
     os.makedirs(f"{tmp_path}/in")
-    q = windows.pending_orphans(spark.readStream.schema(schema).json(f"{tmp_path}/in")).writeStream.format("memory").queryName("orphans").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").start()
+    q = windows.pending_orphans(spark.readStream.schema(schema).json(f"{tmp_path}/in"), shards=3, horizon="5 days").writeStream.format("memory").queryName("orphans").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").start()
+    at = lambda d, h=0: f"2024-01-{d:02} {h:02}:00:00"
+    batches = [
+        [("a", "refer", 1, at(1)), ("a", "refer", 7, at(1))],
+        [("a", "refer", 2, at(2, 2)), ("a", "arrive", None, at(2, 1))],
+        [("a", "delete", None, at(3, 2)), ("a", "refer", 3, at(3, 1)), ("b", "delete", None, at(3)), ("b", "arrive", None, at(3)), ("b", "refer", 4, at(3))],
+        [("c", "arrive", None, at(20))],
+        [("c", "delete", None, at(21))],
+    ]
+    seen = []
     try:
-        for i, rows in enumerate(([("a", "refer", 1)], [("a", "arrive", None)], [("a", "refer", 2), ("a", "delete", None)])):
-            put(f"{tmp_path}/in/{i}.json", "\n".join(json.dumps(dict(zip(("key", "kind", "ref_id"), r))) for r in rows))
+        for i, rows in enumerate(batches):
+            put(f"{tmp_path}/in/{i}.json", "\n".join(json.dumps(dict(zip(("key", "kind", "ref_id", "ts"), r))) for r in rows))
             q.processAllAvailable()
-        got = [(r.ref_id, r.status) for r in spark.sql("select * from orphans").collect()]
+            seen.append(sorted((r.key, r.ref_id, r.status) for r in spark.sql("select * from orphans").collect()))
     finally:
         q.stop()
-    assert got[:2] == [(1, "opened"), (1, "resolved")] and sorted(got[2:]) == [(1, "reopened"), (2, "reopened")]
+    first = [("a", 1, "opened"), ("a", 7, "opened")]
+    second = [("a", 1, "resolved"), ("a", 7, "resolved")]
+    third = [("a", i, "reopened") for i in (1, 2, 3, 7)] + [("b", 4, "reopened")]
+    assert seen[0] == first and seen[1] == sorted(first + second) and seen[2] == sorted(first + second + third)
+    assert seen[-1] == sorted(first + second + third + [("a", i, "expired") for i in (1, 2, 3, 7)] + [("b", 4, "expired")])
