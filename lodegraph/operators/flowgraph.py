@@ -418,17 +418,83 @@ def edit_distance(a: list[tuple[int, str]], b: list[tuple[int, str]], edit: int
     return d[-1][-1] if la and lb else edit * (len(la) + len(lb))
 
 
+#: Nodes of the larger graph up to which the graph edit distance is searched exactly.
+EXACT_NODES = 9
+
+
+def graph_edit_distance(a: list[tuple[int, str]], b: list[tuple[int, str]], exact_nodes: int = EXACT_NODES) -> tuple[float, bool]:
+    """(distance, is_exact) of two trees given in preorder as (depth, label), taken as graphs without order.
+
+    Every node and edge that is inserted or deleted costs one, as does a node with another label. Nodes are
+    mapped one by one by branch and bound; beyond `exact_nodes` nodes the mapping in order of label and
+    depth stands, whose cost is an upper bound."""
+
+    def graph(t: list[tuple[int, str]]) -> tuple[list[str], set[tuple[int, int]]]:
+        above: list[int] = []
+        edges = set()
+        for i, (depth, _) in enumerate(t):
+            del above[depth:]
+            if above:
+                edges.add((above[-1], i))
+            above.append(i)
+        return [label for _, label in t], edges
+
+    (la, ea), (lb, eb) = graph(a), graph(b)
+    n, m = len(la), len(lb)
+
+    def cost(at: list[int | None]) -> int:
+        """Of a whole mapping: position in b of every node of a, None for deleted ones."""
+        kept = sum(1 for x, y in ea if at[x] is not None and at[y] is not None and (at[x], at[y]) in eb)
+        used = sum(j is not None for j in at)
+        return sum(j is None or la[i] != lb[j] for i, j in enumerate(at)) + (m - used) + len(ea) + len(eb) - 2 * kept
+
+    order_a = sorted(range(n), key=lambda i: (a[i][1], a[i][0], i))
+    order_b = sorted(range(m), key=lambda j: (b[j][1], b[j][0], j))
+    greedy: list[int | None] = [None] * n
+    free = list(order_b)
+    for i in order_a:
+        pick = next((j for j in free if lb[j] == la[i] and a[i][0] == b[j][0]), None)
+        if pick is not None:
+            greedy[i] = pick
+            free.remove(pick)
+    for i in order_a:
+        if greedy[i] is None and free:
+            greedy[i] = free.pop(0)
+    best = min(cost(greedy), cost([None] * n))
+    if max(n, m) > exact_nodes:
+        return float(best), False
+
+    def search(i: int, at: list[int | None], used: set[int], paid: int) -> None:
+        nonlocal best
+        if paid + abs((n - i) - (m - len(used))) >= best:
+            return
+        if i == n:
+            best = min(best, cost(at))
+            return
+        above = next((x for x, y in ea if y == i), None)
+        for j in (*(j for j in range(m) if j not in used), None):
+            step = 1 if j is None or la[i] != lb[j] else 0
+            if above is not None and (j is None or at[above] is None or (at[above], j) not in eb):
+                step += 1  # the edge to the parent is lost
+            search(i + 1, [*at, j], used | {j} if j is not None else used, paid + step)
+
+    search(0, [], set(), 0)
+    return float(best), True
+
+
 def tree_distances(pairs: DataFrame) -> DataFrame:
-    """(a, b, distance) of pairs with their trees as arrays of struct<depth,label> in preorder."""
+    """(a, b, distance, graph_distance, is_exact) of pairs with their trees as arrays of struct<depth,label> in preorder."""
     import pyarrow as pa
 
     def run(batches):
         for batch in batches:
             trees = [[[(n["depth"], n["label"]) for n in t] for t in batch.column(c).to_pylist()] for c in ("tree_a", "tree_b")]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array([edit_distance(x, y) for x, y in zip(*trees)], pa.int32())], names=["a", "b", "distance"])
+            as_graphs = [graph_edit_distance(x, y) for x, y in zip(*trees)]
+            found = [pa.array([edit_distance(x, y) for x, y in zip(*trees)], pa.int32()), pa.array([d for d, _ in as_graphs], pa.float64()), pa.array([e for _, e in as_graphs], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *found], names=["a", "b", "distance", "graph_distance", "is_exact"])
 
     s = pairs.schema
-    return pairs.mapInArrow(run, f"a {s['a'].dataType.simpleString()}, b {s['b'].dataType.simpleString()}, distance int")
+    return pairs.mapInArrow(run, f"a {s['a'].dataType.simpleString()}, b {s['b'].dataType.simpleString()}, distance int, graph_distance double, is_exact boolean")
 
 
 def preorder_trees(roots: DataFrame, rows: DataFrame) -> DataFrame:
@@ -453,7 +519,7 @@ def tree_shapes(trees: DataFrame) -> DataFrame:
 
 
 def shape_distances(trees: DataFrame, queries: Column, salts: int = 16) -> DataFrame:
-    """(program, a, b, distance): shapes of the trees that meet `queries` against all shapes of their program.
+    """(program, a, b, distance, graph_distance, is_exact): shapes of the trees that meet `queries` against all shapes of their program.
 
     trees: program, root, row_id, tree. Classes of equal trees stand for their members (`tree_shapes`), and
     the distance of a pair of shapes is computed once, whatever the programs that hold it."""
@@ -466,7 +532,7 @@ def shape_distances(trees: DataFrame, queries: Column, salts: int = 16) -> DataF
     least, most = F.least("a", "b"), F.greatest("a", "b")
     met = spread(pairs.select(least.alias("_s"), most.alias("_t")).distinct().join(of("_s", "tree_a"), "_s").join(of("_t", "tree_b"), "_t"))
     said = tree_distances(met.select(F.col("_s").alias("a"), F.col("_t").alias("b"), "tree_a", "tree_b")).withColumnsRenamed({"a": "_s", "b": "_t"})
-    return pairs.withColumns({"_s": least, "_t": most}).join(said, ["_s", "_t"]).select("program", "a", "b", "distance")
+    return pairs.withColumns({"_s": least, "_t": most}).join(said, ["_s", "_t"]).select("program", "a", "b", "distance", "graph_distance", "is_exact")
 
 
 def _canonical(nodes: tuple[str, ...], edges: tuple[tuple[int, int], ...]) -> str:

@@ -86,6 +86,27 @@ def reach(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> D
     return seen.all()
 
 
+def shortest_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, id, distance, n_edges, before): least sum of weights from each root, fewest edges among equals.
+
+    edges: src, dst, weight, which is not negative. Rounds of relaxation: only nodes whose distance fell in a
+    round go on, so a round reads the frontier, not the graph. before: the node ahead of it on the path, the
+    least of equals. Ends when nothing falls, so cycles need no guard."""
+    hops = cut(edges.filter("src <> dst").groupBy("src", "dst").agg(F.min("weight").alias("weight")))
+    best = front = cut(roots.select("root", "id").distinct().select("root", "id", F.lit(0).cast("double").alias("distance"), F.lit(0).alias("n_edges"), F.lit(None).cast("string").alias("before")))
+    while not front.isEmpty():
+        tried = front.join(hops, front.id == hops.src).select("root", F.col("dst").alias("id"), (F.col("distance") + F.col("weight")).alias("distance"), (F.col("n_edges") + 1).alias("n_edges"), F.col("src").alias("before"))
+        least = tried.groupBy("root", "id").agg(F.min(F.struct("distance", "n_edges", "before")).alias("new"))
+        both = best.select("root", "id", F.struct("distance", "n_edges", "before").alias("old")).join(least, ["root", "id"], "full_outer")
+        fell = F.col("new").isNotNull() & (F.col("old").isNull() | (F.col("new.distance") < F.col("old.distance")) | ((F.col("new.distance") == F.col("old.distance")) & (F.col("new.n_edges") < F.col("old.n_edges"))))
+        merged = cut(both.select("root", "id", F.when(fell, F.col("new")).otherwise(F.col("old")).alias("b"), fell.alias("fell")))
+        nxt = merged.select("root", "id", "b.*", "fell")
+        front = nxt.filter("fell").drop("fell")
+        best = nxt.drop("fell")
+    release(hops)
+    return best
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): weakly connected components, named after their least id.
 

@@ -253,6 +253,20 @@ def weak_components(spark: SparkSession, sf: str) -> DataFrame:
     return graph.components(graph.project(edges(spark, sf), "CONTAINS_CODE"))
 
 
+@query(
+    WITH_RECURSIVE
+    + """, h AS (SELECT src, dst, min(1 + abs(coalesce(sourceline, 0)) % 7) AS w FROM edges WHERE edge_type IN ('STARTS_WITH', 'JUMPS_TO') AND src <> dst GROUP BY ALL),
+    r AS (SELECT DISTINCT src AS id FROM h WHERE src NOT IN (SELECT dst FROM h)),
+    p AS (SELECT id AS root, id, 0 AS d, 0 AS k, [id] AS seen FROM r UNION ALL SELECT p.root, h.dst, p.d + h.w, p.k + 1, list_append(p.seen, h.dst) FROM p JOIN h ON h.src = p.id WHERE NOT list_contains(p.seen, h.dst))
+    SELECT root, id, min(d)::DOUBLE AS distance, arg_min(k, (d, k)) AS n_edges FROM p GROUP BY root, id"""
+)
+def weighted_shortest_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Least sum of weights from every root of the flow to the nodes that it reaches; a weight is a small number of lines."""
+    e = graph.project(edges(spark, sf), "STARTS_WITH", "JUMPS_TO").select("src", "dst", (1 + F.abs(F.coalesce("sourceline", F.lit(0))) % 7).alias("weight")).filter("src <> dst")
+    roots = graph.degrees(e).filter("n_in = 0").select(F.col("id").alias("root"), "id")
+    return graph.shortest_paths(e, roots).select("root", "id", "distance", "n_edges")
+
+
 @query(WITH + "SELECT n.program, n.id AS node_id, d.id AS data_id, e.edge_type FROM edges e JOIN nodes n ON n.id = e.src JOIN data d ON d.id = e.dst WHERE e.edge_type IN ('ACCESSES', 'MODIFIES')")
 def code_data_pairs(spark: SparkSession, sf: str) -> DataFrame:
     e = graph.project(edges(spark, sf), "ACCESSES", "MODIFIES").select("src", "dst", "edge_type")

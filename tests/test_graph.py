@@ -150,3 +150,46 @@ def test_loops_and_conditions_of_small_graphs(spark):
 def test_closed_cycles_have_their_least_node_as_leader(spark):
     e = spark.createDataFrame([("g", "r", "a"), ("g", "a", "b"), ("g", "p", "q"), ("g", "q", "s"), ("g", "s", "p")], "graph_id string, src string, dst string")
     assert {r.id: r.leader for r in fg.basic_blocks(e).collect()} == {"r": "r", "a": "r", "b": "r", "p": "p", "q": "p", "s": "p"}
+
+
+def test_weighted_paths(spark):
+    e = spark.createDataFrame([("r", "a", 5), ("r", "b", 1), ("b", "a", 1), ("a", "c", 1), ("c", "r", 1), ("b", "c", 2), ("x", "y", 1)], "src string, dst string, weight int")
+    roots = spark.createDataFrame([("r", "r"), ("x", "x")], "root string, id string")
+    got = {(r.root, r.id): (r.distance, r.n_edges, r.before) for r in graph.shortest_paths(e, roots).collect()}
+    assert got == {("r", "r"): (0, 0, None), ("r", "b"): (1, 1, "r"), ("r", "a"): (2, 2, "b"), ("r", "c"): (3, 2, "b"), ("x", "x"): (0, 0, None), ("x", "y"): (1, 1, "x")}
+    assert graph.shortest_paths(e, roots.limit(0)).count() == 0
+
+
+def test_graph_edit_distance_against_all_mappings():
+    def brute(a, b):
+        def graph_of(t):
+            above, es = [], set()
+            for i, (d, _) in enumerate(t):
+                del above[d:]
+                es |= {(above[-1], i)} if above else set()
+                above.append(i)
+            return es
+
+        ea, eb, n, m = graph_of(a), graph_of(b), len(a), len(b)
+        best = 99
+        for at in itertools.product([None, *range(m)], repeat=n):
+            used = [j for j in at if j is not None]
+            if len(used) == len(set(used)):
+                kept = sum(1 for x, y in ea if at[x] is not None and at[y] is not None and (at[x], at[y]) in eb)
+                best = min(best, sum(j is None or a[i][1] != b[j][1] for i, j in enumerate(at)) + m - len(used) + len(ea) + len(eb) - 2 * kept)
+        return best
+
+    rnd = random.Random(4)
+
+    def tree(n):
+        out = [(0, "g")]
+        for _ in range(n - 1):
+            out.append((rnd.randint(1, out[-1][0] + 1), rnd.choice("xyz")))
+        return out
+
+    for _ in range(60):
+        a, b = tree(rnd.randint(1, 5)), tree(rnd.randint(1, 5))
+        assert fg.graph_edit_distance(a, b) == (brute(a, b), True)
+    a, b = tree(14), tree(12)
+    d, exact = fg.graph_edit_distance(a, b)
+    assert not exact and d >= 2 and fg.graph_edit_distance(a, a) == (0, False)
