@@ -50,16 +50,24 @@ def find_where(closure: DataFrame, rows: DataFrame, criterion: Column, direct: C
     return out
 
 
+#: Letters that a name has at least to be looked for within file names.
+LEAST_CONTAINED = 3
+
+
 def resolve_names(wanted: DataFrame, files: DataFrame, name: str, file: str, permissive: bool = True) -> DataFrame:
-    """(name, file, how): file of a program or copybook name; exact, case, extension, or null.
+    """(name, file, how): file of a program or copybook name; exact, case, extension, contains, or null.
 
-    Candidates are joined by equality on the upper-case name and stem; the first file by name wins."""
-    f = files.select(F.col(file).alias("f")).distinct()
+    Candidates are joined by equality: on the name, on its upper case, on the file's stem, and last on the
+    parts of a stem, which are as many as the square of a file name's length. The first file by name wins."""
+    f = files.select(F.col(file).alias("f")).filter("f is not null").distinct()
     stem = F.regexp_replace(F.upper("f"), r"\.[A-Z0-9]+$", "")
-    keys = [F.struct(F.col("f").alias("k"), F.lit(0).alias("rank"), F.lit("exact").alias("how"))]
+    keys = F.array(F.struct(F.col("f").alias("k"), F.lit(0).alias("rank"), F.lit("exact").alias("how")))
     if permissive:
-        keys += [F.struct(F.upper("f").alias("k"), F.lit(1).alias("rank"), F.lit("case").alias("how")), F.struct(stem.alias("k"), F.lit(2).alias("rank"), F.lit("extension").alias("how"))]
-    options = f.select("f", F.inline(F.array(*keys))).groupBy("k").agg(F.min(F.struct("rank", "f", "how")).alias("m"))
+        starts = F.sequence(F.lit(1), F.greatest(F.length(stem) - LEAST_CONTAINED + 1, F.lit(1)))
+        parts = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(LEAST_CONTAINED), F.greatest(F.length(stem) - i + 1, F.lit(LEAST_CONTAINED))), lambda n: F.substring(stem, i, n))))
+        contained = F.transform(F.array_distinct(parts), lambda k: F.struct(k.alias("k"), F.lit(3).alias("rank"), F.lit("contains").alias("how")))
+        keys = F.concat(keys, F.array(F.struct(F.upper("f").alias("k"), F.lit(1).alias("rank"), F.lit("case").alias("how")), F.struct(stem.alias("k"), F.lit(2).alias("rank"), F.lit("extension").alias("how"))), contained)
+    options = f.select("f", F.inline(keys)).groupBy("k").agg(F.min(F.struct("rank", "f", "how")).alias("m"))
     w = wanted.select(name).distinct()
     tried = w.select(name, F.explode(F.array_distinct(F.array(F.col(name), F.upper(name)))).alias("k")).join(options, "k").groupBy(name).agg(F.min("m").alias("m"))
     return w.join(tried, name, "left").select(name, F.col("m.f").alias(file), F.col("m.how").alias("how"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,26 @@ def qualify(namespace: Column, name: Column) -> Column:
     return F.concat_ws(":", namespace, name)
 
 
+def answered(prompts: DataFrame, cache: DataFrame, ask: Callable[[list[str]], list[str | None]]) -> DataFrame:
+    """(key, hash, answer, from_cache): answers of a service, asked once per distinct prompt that no cache row has.
+
+    prompts: key, prompt. cache: hash, answer. ask: answers of a batch of prompts, None for none; it is the
+    plug-in, and runs in the workers. A null prompt has no answer."""
+    import pyarrow as pa
+
+    p = prompts.select("key", "prompt", F.substring(F.sha2("prompt", 256), 1, 16).alias("hash"))
+    known = cache.filter("answer is not null").groupBy("hash").agg(F.min("answer").alias("answer"))
+    open_ = p.filter("prompt is not null").select("hash", "prompt").dropDuplicates(["hash"]).join(known, "hash", "left_anti")
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ask(batch.column(1).to_pylist()), pa.string())], ["hash", "answer"])
+
+    new = cut(open_.select("hash", "prompt").mapInArrow(run, "hash string, answer string"))
+    every = known.withColumn("from_cache", F.lit(True)).unionByName(new.withColumn("from_cache", F.lit(False)))
+    return p.select("key", "hash").join(every, "hash", "left").select("key", "hash", "answer", F.coalesce("from_cache", F.lit(False)).alias("from_cache"))
+
+
 def flat_text(c: Column) -> Column:
     """All scalar values of JSON text, upper case, joined by blanks."""
     found = F.regexp_extract_all(F.regexp_replace(c, r'"(?:[^"\\]|\\.)*"\s*:', ""), F.lit(r'"((?:[^"\\]|\\.)*)"|(-?\d[\d.eE+-]*|true|false)'), F.lit(0))

@@ -78,14 +78,14 @@ def static_dynamic_calls(spark: SparkSession, sf: str) -> DataFrame:
     return nodes(spark, sf).filter("flow_type = 'CALL'").select("id", m("$.call_target").alias("target"), F.when(m("$.dynamic") == "true", "dynamic").otherwise("static").alias("kind"))
 
 
-_WANT = "files AS (SELECT program || CASE WHEN length(program) % 2 = 0 THEN '.cbl' ELSE '.CPY' END AS file FROM program_catalog UNION SELECT lower(program) FROM program_catalog WHERE source_kind = 'jcl'), want AS (SELECT DISTINCT program AS name FROM program_catalog UNION SELECT 'NOT-THERE' UNION SELECT lower(program) FROM program_catalog)"
+_WANT = "files AS (SELECT program || CASE WHEN length(program) % 2 = 0 THEN '.cbl' ELSE '.CPY' END AS file FROM program_catalog UNION SELECT lower(program) FROM program_catalog WHERE source_kind = 'jcl'), want AS (SELECT DISTINCT program AS name FROM program_catalog UNION SELECT 'NOT-THERE' UNION SELECT lower(program) FROM program_catalog UNION SELECT substr(program, 2, 4) FROM program_catalog)"
 
 
-@query(f"WITH {_WANT}, k AS (SELECT file, file AS k, 0 AS rank, 'exact' AS how FROM files UNION ALL SELECT file, upper(file), 1, 'case' FROM files UNION ALL SELECT file, regexp_replace(upper(file), '\\.[A-Z0-9]+$', ''), 2, 'extension' FROM files), m AS (SELECT name, arg_min((file, how), (rank, file)) AS r FROM want JOIN k ON k.k = name OR k.k = upper(name) GROUP BY name) SELECT want.name, r[1] AS file, r[2] AS how FROM want LEFT JOIN m ON m.name = want.name")
+@query(f"WITH {_WANT}, k AS (SELECT file, file AS k, 0 AS rank, 'exact' AS how FROM files UNION ALL SELECT file, upper(file), 1, 'case' FROM files UNION ALL SELECT file, regexp_replace(upper(file), '\\.[A-Z0-9]+$', ''), 2, 'extension' FROM files), c AS (SELECT * FROM k UNION ALL SELECT DISTINCT file, w.name, 3, 'contains' FROM files, (SELECT DISTINCT upper(name) AS name FROM want) w WHERE length(w.name) >= 3 AND contains(regexp_replace(upper(file), '\\.[A-Z0-9]+$', ''), w.name)), m AS (SELECT name, arg_min((file, how), (rank, file)) AS r FROM want JOIN c k ON k.k = name OR k.k = upper(name) GROUP BY name) SELECT want.name, r[1] AS file, r[2] AS how FROM want LEFT JOIN m ON m.name = want.name")
 def copybook_resolver(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "program_catalog")
     files = p.select(F.concat("program", F.when(F.length("program") % 2 == 0, ".cbl").otherwise(".CPY")).alias("file")).union(p.filter("source_kind = 'jcl'").select(F.lower("program")))
-    want = p.select(F.col("program").alias("name")).union(p.select(F.lower("program"))).union(spark.createDataFrame([("NOT-THERE",)], "name string"))
+    want = p.select(F.col("program").alias("name")).union(p.select(F.lower("program"))).union(spark.createDataFrame([("NOT-THERE",)], "name string")).union(p.select(F.substring("program", 2, 4)))
     return derive.resolve_names(want, files, "name", "file")
 
 

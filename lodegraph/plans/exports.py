@@ -39,6 +39,16 @@ def graphviz_text(spark: SparkSession, sf: str) -> DataFrame:
     return writers.graphviz(edges(spark, sf).filter("edge_type = 'JUMPS_TO'"))
 
 
+@query(WITH + "SELECT program, concat_ws('|', src, dst, edge_type) AS key, src || ' ' || lower(replace(edge_type, '_', ' ')) || ' ' || dst || '.' AS line FROM edges WHERE edge_type = 'JUMPS_TO'")
+def plain_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.plain_text(edges(spark, sf).filter("edge_type = 'JUMPS_TO'"))
+
+
+@query()
+def html_page(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.html(nodes(spark, sf), edges(spark, sf))
+
+
 @query(WITH + r"SELECT chunk_id, substr(sha256(text), 1, 16) AS content_hash, coalesce(len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')), 0) AS token_count, coalesce(source_id, chunk_id) AS source_id, '1.5' AS schema_version FROM chunks")
 def stamped_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return writers.stamp(chunks(spark, sf), "1.5").select("chunk_id", "content_hash", "token_count", "source_id", "schema_version")

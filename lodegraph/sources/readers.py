@@ -124,3 +124,14 @@ def copy_closure(copies: DataFrame, available: DataFrame) -> DataFrame:
     here = available.select(F.upper("copybook").alias("id")).distinct().withColumn("found", F.lit(True))
     starts = c.join(c.select(F.col("dst").alias("src")).distinct(), "src", "left_anti").select(F.col("src").alias("root"), F.col("src").alias("id")).distinct()
     return reach(c, starts).filter("depth > 0").join(here, "id", "left").select(F.col("root").alias("program"), F.col("id").alias("copybook"), "depth", F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def svg_edges(spark: SparkSession, path: str) -> DataFrame:
+    """(path, src, dst) of drawn graphs: an edge's title names its ends; a node without any has dst null."""
+    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    titles = lambda kind: F.regexp_extract_all("value", F.lit(rf'(?s)<g[^>]*class="{kind}"[^>]*>\s*<title>(.*?)</title>'), F.lit(1))
+    plain = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&#45;", "-"), "&gt;", ">"), "&amp;", "&")
+    e = F.transform(titles("edge"), lambda x: F.struct(F.trim(F.split(plain(x), "->")[0]).alias("src"), F.trim(F.split(plain(x), "->")[1]).alias("dst")))
+    ends = F.concat(F.transform(e, lambda x: x["src"]), F.transform(e, lambda x: x["dst"]))
+    alone = F.transform(F.array_except(F.transform(titles("node"), plain), ends), lambda n: F.struct(n.alias("src"), F.lit(None).cast("string").alias("dst")))
+    return t.select("path", F.inline(F.concat(e, alone)))

@@ -107,3 +107,26 @@ def test_pending_orphans_stream(spark, tmp_path):
     third = [("a", i, "reopened") for i in (1, 2, 3, 7)] + [("b", 4, "reopened")]
     assert seen[0] == first and seen[1] == sorted(first + second) and seen[2] == sorted(first + second + third)
     assert seen[-1] == sorted(first + second + third + [("a", i, "expired") for i in (1, 2, 3, 7)] + [("b", 4, "expired")])
+
+
+def test_drawn_graphs(spark, tmp_path):
+    put(f"{tmp_path}/g.svg", '<svg><g id="n1" class="node"><title>A&#45;1</title></g><g class="node">\n<title>B</title></g><g class="node"><title>C</title></g><g id="e" class="edge">\n<title>A&#45;1&#45;&gt;B</title></g></svg>')
+    assert {(r.src, r.dst) for r in readers.svg_edges(spark, f"{tmp_path}/g.svg").collect()} == {("A-1", "B"), ("C", None)}
+
+
+def test_appended_rows_have_rising_ids(spark, tmp_path):
+    rows = spark.range(5).select(F.col("id").alias("v"))
+    a = {r.id for r in writers.append_returning(rows, f"{tmp_path}/t").collect()}
+    b = {r.id for r in writers.append_returning(rows, f"{tmp_path}/t").collect()}
+    assert len(a) == len(b) == 5 and max(a) < min(b) and {r.id for r in spark.read.parquet(f"{tmp_path}/t").collect()} == a | b
+    writers.write_markdown(spark.createDataFrame([("x", 1)], "name string, n int"), f"{tmp_path}/m")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/m").collect() if r.value.startswith("| x")] == ["| x | 1 |"]
+
+
+def test_answers_are_asked_once(spark):
+    from lodegraph.operators import enrich
+
+    prompts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "key int, prompt string")
+    cache = prompts.filter("key = 3").select(F.substring(F.sha2("prompt", 256), 1, 16).alias("hash"), F.lit("known").alias("answer"))
+    got = {r.key: (r.answer, r.from_cache) for r in enrich.answered(prompts, cache, lambda ps: [f"re {p}" for p in ps]).collect()}
+    assert got == {1: ("re a", False), 2: ("re a", False), 3: ("known", True), 4: (None, False)}
