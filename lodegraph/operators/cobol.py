@@ -61,16 +61,30 @@ class Node:
         return [t.upper for t in self.head]
 
 
+_FORM = re.compile(r"\s*(?:\d{6})?\s*(?:>>\s*SOURCE\s+(?:FORMAT\s+)?(?:IS\s+)?|\$\s*SET\s+SOURCEFORMAT\s*\(?\s*[\"']?)(FREE|FIXED)", re.I)
+
+
 def tokens(source: str) -> list[Token]:
-    """Tokens of fixed-form source; comments and debugging lines are left out, literals go on over lines."""
+    """Tokens of source, fixed form until a directive says free.
+
+    Comments, directives and debugging lines are left out, also comments of embedded SQL. In fixed form
+    text ends at column 72 and a literal goes on over lines that say so."""
     out: list[Token] = []
+    free = embedded = False
     for no, line in enumerate(re.split(r"\r?\n", source), 1):
-        line = line[:72]
-        mark, body = line[6:7], line[7:]
-        if mark in ("*", "/", "D", "d") or not body.strip() or line.lstrip().startswith("*>"):
+        if form := _FORM.match(line):
+            free = form[1].upper() == "FREE"
+            continue
+        mark, body = (" ", line) if free else (line[6:7], line[7:72])
+        if mark in ("*", "/", "D", "d") or not body.strip() or line.lstrip().startswith(("*>", ">>")) or (embedded and body.lstrip().startswith("--")):
             continue
-        body = body.split("*>")[0] if "*>" in body and body.count("'", 0, body.find("*>")) % 2 == 0 else body
-        found = [m[0] for m in _WORDS.finditer(body)]
+        found = []
+        for m in _WORDS.finditer(body):
+            if m[0] == "*" and body[m.end() : m.end() + 1] == ">" or (embedded and m[0] == "-" and body[m.end() : m.end() + 1] == "-"):
+                break  # a comment up to the end of the line
+            found.append(m[0])
+            if m[0].upper() in ("EXEC", "END-EXEC"):
+                embedded = m[0].upper() == "EXEC"
         if mark == "-" and out and found:
             last = out[-1].text
             if last[0] in "'\"" and (len(last) == 1 or last[-1] != last[0]) and found[0][0] == last[0]:

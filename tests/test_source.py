@@ -150,3 +150,9 @@ def test_over_batches(spark):
     df = spark.createDataFrame([(1, "       A. GO TO A."), (2, None), (3, "")], "row_id long, text string")
     rows = cobol.rows_of(df, "row_id", "text", cobol.flow_edges, "src string, dst string, edge_type string").collect()
     assert {(r.row_id, r.edge_type) for r in rows} == {(1, "CONTAINS_CODE"), (1, "STARTS_WITH"), (1, "JUMPS_TO")}
+
+
+def test_forms_of_source():
+    free = ">>SOURCE FORMAT IS FREE\nA. DISPLAY 'a literal that goes on well beyond the seventy-second column of its line'. *> MOVE X\n*> MOVE Y\nEXEC SQL SELECT A -- IF 'B\nFROM T END-EXEC.\n"
+    assert [n.type for n in nodes(free).values() if n.head] == ["PARAGRAPH", "DISPLAY", "EXEC_SQL"] and cobol.defects(free) == []
+    assert [t.upper for t in cobol.tokens("       MOVE A-B TO C. *> NO\n000100D    DISPLAY X.\n           ADD 1 TO WS-\n      -    LONG.")][:5] == ["MOVE", "A-B", "TO", "C", "."]
