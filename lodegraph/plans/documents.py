@@ -99,12 +99,28 @@ def cics_node_facts(spark: SparkSession, sf: str) -> DataFrame:
 # JCL
 
 
+# The same statements in SQL: lines of 72 columns, operands on one line.
+_JCL = r"""WITH l AS (SELECT row_id, generate_subscripts(x, 1) AS line_no, rtrim(substr(unnest(x), 1, 72)) AS line FROM (SELECT row_id, regexp_split_to_array(text, '\r?\n') AS x FROM chunk WHERE text IS NOT NULL AND lower(trim(chunk_type, ' ')) IN ('step_detail', 'job_flow'))),
+st AS (SELECT row_id, line_no, nullif(regexp_extract(line, '^//(\S*)\s+(\S+)\s*(.*)$', 1), '') AS name, regexp_extract(line, '^//(\S*)\s+(\S+)\s*(.*)$', 2) AS op, regexp_extract(line, '^//(\S*)\s+(\S+)\s*(.*)$', 3) AS operand FROM l WHERE line LIKE '//%' AND line NOT LIKE '//*%'),
+dd AS (SELECT *, nullif(regexp_extract(operand, '(?:^|,)DSN(?:AME)?=''?([^,(]+)', 1), '') AS dsn, nullif(regexp_extract(operand, '(?:^|,)DISP=\(?([A-Z]*)', 1), '') AS disp FROM st WHERE op IN ('EXEC', 'DD')),
+placed AS (SELECT *, max(CASE WHEN op = 'EXEC' THEN line_no END) OVER (PARTITION BY row_id ORDER BY line_no) AS step_no, CASE disp WHEN 'SHR' THEN 'read' WHEN 'OLD' THEN 'read' WHEN 'NEW' THEN 'write' WHEN 'MOD' THEN 'append' WHEN 'PASS' THEN 'pass' ELSE CASE WHEN operand LIKE '%DISP=%' THEN 'special' END END AS access FROM dd),
+ex AS (SELECT row_id, line_no AS step_no, name AS step, coalesce(nullif(regexp_extract(operand, 'PGM=([A-Z0-9@#$&*.]+)', 1), ''), regexp_extract(operand, '^(?:PROC=)?([A-Z0-9@#$]+)', 1)) AS program FROM st WHERE op = 'EXEC'),
+s AS (SELECT placed.row_id, placed.step_no, ex.step, ex.program, CASE WHEN op = 'DD' THEN dsn END AS dataset, CASE WHEN op = 'DD' THEN access END AS access FROM placed JOIN ex ON ex.row_id = placed.row_id AND ex.step_no = placed.step_no)
+"""
+_UTILITIES = ", ".join(f"'{u}'" for u in derive.SYSTEM_UTILITIES)
+_RELATIONS = _JCL + f""", n AS (SELECT upper(program) AS program, count(*) AS n_nodes, count(*) FILTER (WHERE flow_type = 'IF_BRANCH') AS n_decisions FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC, row_id DESC) AS rn FROM code_node) WHERE rn = 1 AND deleted_at IS NULL AND program IS NOT NULL GROUP BY 1),
+rel AS (SELECT row_id, step_no, step, s.program, s.program IN ({_UTILITIES}) AS is_utility, s.program IN (SELECT upper(program) FROM program_catalog) AS in_corpus, count(DISTINCT dataset) FILTER (WHERE access = 'read') AS n_read, count(DISTINCT dataset) FILTER (WHERE access IN ('write', 'append')) AS n_written, coalesce(any_value(n_nodes), 0) AS n_nodes, coalesce(any_value(n_decisions), 0) AS n_decisions FROM s LEFT JOIN n ON n.program = s.program GROUP BY row_id, step_no, step, s.program)
+"""
+
+
 def _jcl(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "chunk").filter("lower(trim(chunk_type)) in ('step_detail', 'job_flow')")
     return jcl.statements(c, "row_id", "text").filter("kind = 'statement'")
 
 
-@query()
+@query(_JCL + """SELECT row_id, line_no, name, CASE upper(name) WHEN 'JOBLIB' THEN 'library_override' WHEN 'STEPLIB' THEN 'library_override' WHEN 'SYSIN' THEN 'program_input' WHEN 'SYSPRINT' THEN 'system_print' WHEN 'SYSOUT' THEN 'system_output' WHEN 'SYSERR' THEN 'system_error' WHEN 'SYSUDUMP' THEN 'diagnostic_dump' WHEN 'SYSABEND' THEN 'diagnostic_dump' END AS role,
+    CASE WHEN dsn IS NULL THEN NULL WHEN dsn = 'NULLFILE' THEN 'nullfile' WHEN dsn LIKE '&&%' THEN 'temporary' ELSE 'plain' END AS dsn_kind, dsn, disp AS status, CASE disp WHEN 'SHR' THEN 'read' WHEN 'OLD' THEN 'read' WHEN 'NEW' THEN 'write' WHEN 'MOD' THEN 'append' WHEN 'PASS' THEN 'pass' ELSE CASE WHEN operand LIKE '%DISP=%' THEN 'special' END END AS access,
+    nullif(regexp_extract(operand, 'LRECL=(\\d+)', 1), '') AS lrecl, nullif(regexp_extract(operand, 'SPACE=\\(?([A-Z0-9]+)', 1), '') AS space_unit, nullif(regexp_extract(operand, 'VOL=SER=([A-Z0-9]+)', 1), '') AS volumes, regexp_extract(operand, 'OUTPUT=\\(?\\*\\.([A-Z0-9]+)', 1) AS outputs FROM dd WHERE op = 'DD'""")
 def jcl_dd_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Operands of every DD statement."""
     d = _jcl(spark, sf).filter("operation = 'DD'").select("row_id", "line_no", "name", jcl.dd_fields(F.col("name"), F.col("operand")).alias("f"))
@@ -135,7 +151,7 @@ def _steps(spark: SparkSession, sf: str) -> DataFrame:
     return s.withColumn("st", step).filter("st is not null").select("row_id", F.col("st.no").alias("step_no"), "st.step", "st.program", F.when(F.col("operation") == "DD", dd["dsn"]["base"]).alias("dataset"), F.when(F.col("operation") == "DD", dd["disp"]["access"]).alias("access"))
 
 
-@query()
+@query(_RELATIONS + "SELECT * FROM rel")
 def jcl_program_steps(spark: SparkSession, sf: str) -> DataFrame:
     """Relation of every job step to the corpus: the program, whether it is a utility or known, its health and data sets."""
     p = table(spark, sf, "program_catalog").select(F.upper("program").alias("program"), F.lit(True).alias("in_corpus"))
@@ -145,7 +161,8 @@ def jcl_program_steps(spark: SparkSession, sf: str) -> DataFrame:
     return j.select("row_id", "step_no", "step", "program", F.col("program").isin(*derive.SYSTEM_UTILITIES).alias("is_utility"), F.coalesce("in_corpus", F.lit(False)).alias("in_corpus"), "n_read", "n_written", F.coalesce("n_nodes", F.lit(0)).alias("n_nodes"), F.coalesce("n_decisions", F.lit(0)).alias("n_decisions"))
 
 
-@query()
+@query(_JCL + """, g AS (SELECT row_id, dataset, min(step_no) FILTER (WHERE access IN ('write', 'append')) AS producer, min(step_no) FILTER (WHERE access = 'read') AS consumer FROM s WHERE dataset IS NOT NULL GROUP BY ALL)
+    SELECT *, CASE WHEN producer IS NOT NULL AND consumer IS NOT NULL THEN 'inter_step' WHEN consumer IS NOT NULL THEN 'external_input' WHEN producer IS NOT NULL THEN 'final_output' ELSE 'unused' END AS flow_type FROM g""")
 def jcl_dataset_flows(spark: SparkSession, sf: str) -> DataFrame:
     """Which step's data sets another step of the same text reads: inter_step, external_input, final_output."""
     d = _steps(spark, sf).filter("dataset is not null").select("row_id", "step_no", "dataset", "access")
@@ -154,7 +171,9 @@ def jcl_dataset_flows(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("row_id", "dataset", "producer", "consumer", kind.alias("flow_type"))
 
 
-@query()
+@query(_RELATIONS + """, g AS (SELECT row_id, string_agg('| ' || coalesce(step, '') || ' | ' || program || ' | ' || CASE WHEN is_utility THEN 'utility' WHEN in_corpus THEN 'analysed' ELSE 'missing' END || ' | ' || n_read || ' | ' || n_written || ' |', chr(10) ORDER BY step_no) AS t, count(*) FILTER (WHERE NOT is_utility) AS u, count(*) FILTER (WHERE NOT is_utility AND in_corpus) AS k FROM rel GROUP BY row_id),
+    h AS (SELECT *, CASE WHEN u > 0 THEN round(k / u * 100)::INT ELSE 0 END AS c FROM g)
+    SELECT row_id, c AS coverage_pct, '# Job steps' || chr(10) || chr(10) || 'Coverage: ' || c || ' %' || chr(10) || chr(10) || '| Step | Program | State | Read | Written |' || chr(10) || '|---|---|---|---|---|' || chr(10) || t || chr(10) AS markdown FROM h""")
 def jcl_report(spark: SparkSession, sf: str) -> DataFrame:
     """A Markdown report per JCL text: steps, their programs, coverage of the corpus."""
     s = jcl_program_steps(spark, sf)
@@ -164,7 +183,8 @@ def jcl_report(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("row_id", share.alias("coverage_pct"), _say("# Job steps\n\nCoverage: ", share, " %\n\n| Step | Program | State | Read | Written |\n|---|---|---|---|---|\n", F.array_join("lines", "\n"), "\n").alias("markdown"))
 
 
-@query()
+@query(_JCL + """, o AS (SELECT row_id, step_no, lead(step_no) OVER (PARTITION BY row_id ORDER BY step_no) AS nxt FROM (SELECT DISTINCT row_id, step_no, program FROM s)), d AS (SELECT DISTINCT row_id, step_no, regexp_replace(dataset, '[^A-Za-z0-9_]', '_', 'g') AS x, access FROM s WHERE dataset IS NOT NULL)
+    SELECT DISTINCT row_id, 'S' || step_no || ' --> S' || nxt AS line FROM o WHERE nxt IS NOT NULL UNION SELECT row_id, CASE WHEN access = 'read' THEN x || ' --> S' || step_no ELSE 'S' || step_no || ' --> ' || x END FROM d""")
 def jcl_diagram(spark: SparkSession, sf: str) -> DataFrame:
     """Edges of the Mermaid diagram of every JCL text, a row per line: steps in order, data sets into and out of them."""
     s = _steps(spark, sf)
@@ -206,7 +226,7 @@ def doc_call_contract(spark: SparkSession, sf: str) -> DataFrame:
     return _doc("call_contract", g, F.col("target"), _say("Program ", F.col("program"), " calls ", F.col("target"), " ", F.col("k"), " times, ", F.col("d"), " of them dynamic; first at line ", F.coalesce(F.col("l").cast("string"), F.lit("unknown")), "."))
 
 
-@query()
+@query(_N + r""", c AS (SELECT program, id, list_filter(regexp_split_to_array(regexp_extract(originaltext, '\bCALL\s+\S+\s+USING\s+([^.\r\n]*)', 1), '[\s,]+'), lambda x: x NOT IN ('', 'BY', 'REFERENCE', 'CONTENT', 'VALUE')) AS p FROM n WHERE flow_type = 'CALL' AND originaltext IS NOT NULL) SELECT program, id, generate_subscripts(p, 1) - 1 AS position, unnest(p) AS parameter FROM c""")
 def call_parameters(spark: SparkSession, sf: str) -> DataFrame:
     """Parameters of every CALL in order, with the node that the call stands at."""
     n = _known(spark, sf).filter("flow_type = 'CALL' and originaltext is not null")
@@ -367,7 +387,7 @@ def _literals(source: str) -> list[tuple[str, str, int]]:
     return out
 
 
-@query()
+@query(WITH + f", g AS (SELECT program, section_name, count(*) AS n, sum(token_count) AS t, list_sort(list_distinct(list(paragraph) FILTER (WHERE paragraph IS NOT NULL))) AS p FROM chunks WHERE program IS NOT NULL AND section_name IS NOT NULL GROUP BY ALL) " + _sql_doc("section_summary", "section_name", f"'Section ' || section_name || ' of ' || program || ' has ' || n || ' chunks of ' || coalesce(t::VARCHAR, '') || ' tokens' || CASE WHEN len(coalesce(p, [])) > 0 THEN '; paragraphs ' || {_sql_listed('p')} ELSE '' END || '.'", "FROM g"))
 def doc_section_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Sections that the chunks name: their paragraphs and their size."""
     c = chunks(spark, sf).filter("program is not null and section_name is not null")
@@ -382,7 +402,7 @@ def doc_analysis_health(spark: SparkSession, sf: str) -> DataFrame:
     return _doc("cobol_analysis_health", g, ALL, _say("Analysis of ", F.col("program"), ": ", F.col("k"), " nodes, ", F.col("d"), " unreachable, ", F.col("t"), " without text; ", F.when(F.col("d") * 10 > F.col("k"), "degraded").when(F.col("t") > 0, "partial").otherwise("full"), "."))
 
 
-@query()
+@query(_JCL + ", g AS (SELECT row_id, count(*) AS n, string_agg(coalesce(step, '') || ' runs ' || program, '; ' ORDER BY step_no) AS t FROM ex GROUP BY row_id) SELECT concat_ws(':', coalesce(p, ''), 'job_flow', g.row_id::VARCHAR) AS chunk_id, 'job_flow' AS chunk_type, p AS program, 'Job of ' || n || ' steps: ' || t || '.' AS text FROM g JOIN (SELECT row_id, upper(trim(program, ' ')) AS p FROM chunk) USING (row_id)")
 def doc_job_flow(spark: SparkSession, sf: str) -> DataFrame:
     """Steps of every JCL text in order, as one document; a text has no more steps than lines."""
     s = _steps(spark, sf).select("row_id", "step_no", "step", "program").distinct()
@@ -394,7 +414,13 @@ def doc_job_flow(spark: SparkSession, sf: str) -> DataFrame:
 # knowledge base
 
 
-@query()
+@query(_N + r""", e AS (SELECT program, count(*) AS ne FROM edges WHERE edge_type IN ('STARTS_WITH', 'FOLLOWED_BY', 'JUMPS_TO') AND program IS NOT NULL GROUP BY program), k AS (SELECT program, coalesce(flow_type, 'UNKNOWN') AS t, flow_type, count(*) AS k FROM n GROUP BY ALL),
+    top AS (SELECT program, string_agg('| ' || CASE WHEN t = 'DIALECT' THEN 'CICS/SQL block' ELSE t END || ' | ' || k || ' |', chr(10) ORDER BY r) AS rows FROM (SELECT *, row_number() OVER (PARTITION BY program ORDER BY k DESC, flow_type) AS r FROM k) WHERE r <= 10 GROUP BY program),
+    m AS (SELECT program, count(*) AS nn FROM n GROUP BY program), v AS (SELECT program, count(*) AS nv FROM data WHERE program IS NOT NULL GROUP BY program),
+    x AS (SELECT m.program, nn, coalesce(ne, 0) AS ne, coalesce(nv, 0) AS nv, rows, greatest(1, coalesce(ne, 0) - nn + 2) AS c FROM m JOIN top USING (program) LEFT JOIN e USING (program) LEFT JOIN v USING (program))
+    SELECT program, '00_Executive_Summary.md' AS file, '' AS section, '# Executive Summary: ' || program || chr(10) || chr(10) || '| Metric | Value |' || chr(10) || '|---|---|' || chr(10) || '| Total CFG Nodes | ' || nn || ' |' || chr(10) || '| Total Edges | ' || ne || ' |' || chr(10) || '| Variables Defined | ' || nv || ' |' || chr(10) || '| Complexity Score | ' || CASE WHEN c <= 5 THEN 'Low' WHEN c <= 15 THEN 'Medium' ELSE 'High' END || ' (' || c || ') |' || chr(10) || chr(10) || '| Type | Count |' || chr(10) || '|---|---|' || chr(10) || rows || chr(10) AS text FROM x
+    UNION ALL SELECT program, '02_Data_Dictionary.md', id, '| ' || lpad(coalesce(levelnumber, 0)::VARCHAR, 2, '0') || ' | ' || fieldname || ' | ' || coalesce(nullif(regexp_extract(upper(rawtext), '\bPIC(?:TURE)?\s+(?:IS\s+)?(\S+?)\.?(?:\s|$)', 1), ''), '') || ' | ' || coalesce(datatype, '') || ' | ' || coalesce(sourcesection, '') || ' |' FROM data WHERE program IS NOT NULL AND fieldname IS NOT NULL
+    UNION ALL SELECT program, '03_Dependencies.yaml', target, '- target: ' || target || chr(10) || '  kind: ' || min(CASE WHEN json_extract_string(metadata, '$.dynamic') = 'true' THEN 'dynamic' ELSE 'static' END) || chr(10) || '  sites: ' || count(*) FROM n WHERE flow_type = 'CALL' AND target IS NOT NULL GROUP BY program, target""")
 def knowledge_base_files(spark: SparkSession, sf: str) -> DataFrame:
     """(program, file, section, text): sections of a program's files, a row each, as Markdown or YAML.
 

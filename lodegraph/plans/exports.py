@@ -44,7 +44,12 @@ def plain_edges(spark: SparkSession, sf: str) -> DataFrame:
     return writers.plain_text(edges(spark, sf).filter("edge_type = 'JUMPS_TO'"))
 
 
-@query()
+@query(
+    WITH
+    + """SELECT 1 AS part, id AS key, '<li id="' || replace(replace(replace(replace(id, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '">' || replace(replace(replace(replace(coalesce(flow_type, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || ' ' || replace(replace(replace(replace(coalesce(originaltext, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</li>' AS line FROM nodes
+    UNION ALL SELECT 3, concat_ws('|', src, dst, edge_type), '<li><a href="#' || replace(replace(replace(replace(src, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '">' || replace(replace(replace(replace(src, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</a> ' || replace(replace(replace(replace(edge_type, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || ' <a href="#' || replace(replace(replace(replace(dst, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '">' || replace(replace(replace(replace(dst, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</a></li>' FROM edges
+    UNION ALL SELECT 0, '', '<!DOCTYPE html><html><head><meta charset="utf-8"><title>Program graph</title></head><body><h1>Program graph</h1><h2>Nodes</h2><ul>' UNION ALL SELECT 2, '', '</ul><h2>Edges</h2><ul>' UNION ALL SELECT 4, '', '</ul></body></html>'"""
+)
 def html_page(spark: SparkSession, sf: str) -> DataFrame:
     return writers.html(nodes(spark, sf), edges(spark, sf))
 
@@ -54,7 +59,7 @@ def stamped_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return writers.stamp(chunks(spark, sf), "1.5").select("chunk_id", "content_hash", "token_count", "source_id", "schema_version")
 
 
-@query()
+@query(WITH + "SELECT '{\"type_counts\":{' || (SELECT string_agg('\"' || t || '\":' || n, ',' ORDER BY t) FROM (SELECT coalesce(chunk_type, '') AS t, count(*) AS n FROM chunks GROUP BY 1)) || '},\"duplicate_content_hashes\":' || (SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM chunks WHERE content_hash IS NOT NULL GROUP BY content_hash)) || '}' AS json")
 def manifest_json(spark: SparkSession, sf: str) -> DataFrame:
     return writers.manifest(chunks(spark, sf))
 
