@@ -26,6 +26,8 @@ DIMENSIONS, BITS = 3, 10
 BUCKETS = 256
 #: Neighbours on the curve that are packed together, largest first.
 BLOCK = 512
+#: Blocks along the curve for which a container stays open, so that only neighbours share one.
+OPEN_BLOCKS = 4
 #: Texts of one range of the curve.
 RANGE_ROWS = 50_000
 
@@ -88,21 +90,29 @@ def sized_on_curve(df: DataFrame, key: str, text: str, path: str | None = None)
     return df.select(F.col(key).alias("item"), tokens.pretokens(text).alias("_words")).mapInArrow(measure, f"item {kind}, n_tokens bigint, curve bigint")
 
 
-def pack_range(rows: Iterable[tuple], capacity: int = CAPACITY, block: int = BLOCK) -> Iterator[tuple]:
+def pack_range(rows: Iterable[tuple], capacity: int = CAPACITY, block: int = BLOCK, open_blocks: int = OPEN_BLOCKS) -> Iterator[tuple]:
     """(item, piece_no, start_token, n_tokens, container_id) of (item, size) rows in curve order.
 
-    Blocks of neighbours go largest first into the fullest container that has room. An item is cut only if
+    Blocks of neighbours go largest first into the fullest container that has room and was opened within
+    the last `open_blocks` blocks, so that a container holds neighbours only. An item is cut only if
     it exceeds the capacity: into full containers and a rest that is packed like an item. A container is
     named after its first piece. An item without tokens takes no room, but has its container."""
     open_bins: list[tuple[int, str]] = []  # (room, container), ascending
+    opened: dict[str, int] = {}  # block in which an open container began
+    blocks = 0
 
     def flush(items: list[tuple]) -> Iterator[tuple]:
+        nonlocal open_bins, opened, blocks
+        blocks += 1
+        open_bins = [b for b in open_bins if blocks - opened[b[1]] < open_blocks]
+        opened = {name: opened[name] for _, name in open_bins}
         for item, piece, start, size in sorted(items, key=lambda t: -t[3]):
             at = bisect.bisect_left(open_bins, (size, ""))
             if at < len(open_bins):
                 room, name = open_bins.pop(at)
             else:
                 room, name = capacity, f"{item}.{piece}"
+                opened[name] = blocks
             yield item, piece, start, size, name
             if room > size or (size == 0 and room > 0):
                 bisect.insort(open_bins, (room - size, name))

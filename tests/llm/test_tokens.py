@@ -99,3 +99,16 @@ def test_hilbert_neighbours_are_close():
     assert sorted(key.tolist()) == list(range(side**3))
     walk = pts[np.argsort(key)]
     assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_containers_hold_neighbours_only():
+    from lodegraph.llm import packing
+
+    rnd = random.Random(8)
+    rows = [(i, min(int(rnd.expovariate(1 / 360)), 2048)) for i in range(6000)]
+    held = {}
+    for item, _, _, size, name in packing.pack_range(iter(rows), 2048, 256, 3):
+        held.setdefault(name, []).append((item, size))
+    assert sorted(i for v in held.values() for i, _ in v) == list(range(6000)) and all(sum(s for _, s in v) <= 2048 for v in held.values())
+    assert max(max(i for i, _ in v) - min(i for i, _ in v) for v in held.values()) < 3 * 256
+    assert sum(s for _, s in rows) / len(held) / 2048 > 0.99
