@@ -16,6 +16,8 @@ from lodegraph.session import clean_key
 
 #: Length of the periods between two snapshots of the keyed state.
 SNAPSHOT_PERIOD = "day"
+#: Events of one key and period beyond which that period is divided, and into what.
+HOT_EVENTS, HOT_PERIOD = 1_000_000, "minute"
 
 
 def parent_rows(df: DataFrame, keys: list[str], arrived: str, gone: str | None = None) -> DataFrame:
@@ -51,19 +53,24 @@ def _parent_events(parents: DataFrame) -> DataFrame:
     )
 
 
-def running_totals(points: DataFrame, moves: DataFrame, values: list[str], period: str = SNAPSHOT_PERIOD, inclusive: bool = True) -> DataFrame:
+def running_totals(points: DataFrame, moves: DataFrame, values: list[str], period: str = SNAPSHOT_PERIOD, inclusive: bool = True, hot_events: int | None = None) -> DataFrame:
     """Points (key, ts, point) with the totals of the moves (key, ts, values) of their key up to their time.
 
     inclusive: a move at the very time of a point counts. The totals are snapshotted at the start of every
     period in which a key has points; (key, period) is what one task works on, and only one pre-aggregated
-    row per key and period enters the running totals of the key's whole timeline."""
-    bucket: Column = F.date_trunc(period, F.coalesce("ts", F.timestamp_seconds(F.lit(-62135596800))))
+    row per key and period enters the running totals of the key's whole timeline. A period in which a key
+    has more than `hot_events` (HOT_EVENTS) events is divided into minutes; such periods are at most as many as the
+    events divided by that number, so they are broadcast."""
+    at = F.coalesce("ts", F.timestamp_seconds(F.lit(-62135596800)))
+    bucket: Column = F.date_trunc(period, at)
     zero = [F.lit(0).cast("long").alias(v) for v in values]
     kind = points.schema["point"].dataType
     events = moves.select("key", "ts", F.lit(1).alias("rank"), *[F.col(v).cast("long").alias(v) for v in values], F.lit(None).cast(kind).alias("point")).unionByName(
         points.select("key", "ts", F.lit(2 if inclusive else 0).alias("rank"), *zero, "point")
     )
     events = events.withColumn("bucket", bucket)
+    hot = events.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > (HOT_EVENTS if hot_events is None else hot_events)).select("key", "bucket", F.lit(True).alias("hot"))
+    events = events.join(F.broadcast(hot), ["key", "bucket"], "left").withColumn("bucket", F.when(F.col("hot"), F.date_trunc(HOT_PERIOD, at)).otherwise(F.col("bucket"))).drop("hot")
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     per = events.groupBy("key", "bucket").agg(*[F.sum(v).alias(v) for v in values], F.count("point").alias("n_points"))
     snapshots = per.select("key", "bucket", "n_points", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"snap_{v}") for v in values]).filter("n_points > 0").drop("n_points")

@@ -1,5 +1,6 @@
 from datetime import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -43,13 +44,21 @@ def test_empty_tables(spark):
     assert found(spark, [("a", day(1), None)], []) == set()
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=9, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     parents=st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 60)), st.one_of(st.none(), st.integers(0, 60))), max_size=12),
     refs=st.lists(st.tuples(st.sampled_from("abcd"), st.one_of(st.none(), st.integers(0, 60))), max_size=12),
     period=st.sampled_from(["day", "month"]),
+    hot=st.sampled_from([0, 2, orphans.HOT_EVENTS]),
 )
-def test_against_brute_force(spark, parents, refs, period):
+def test_against_brute_force(spark, parents, refs, period, hot):
+    """Also with periods that are divided because their key is hot."""
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(orphans, "HOT_EVENTS", hot)
+        against_brute_force(spark, parents, refs, period)
+
+
+def against_brute_force(spark, parents, refs, period):
     ps = [(k, day(a), day(g)) for k, a, g in parents]
     rs = [("t", i, k, day(n)) for i, (k, n) in enumerate(refs)]
     assert found(spark, ps, rs, period) == brute(ps, rs)
