@@ -10,8 +10,25 @@ from pyspark.sql import functions as F
 #: Schema versions that are read, and fields that every chunk has.
 SUPPORTED_SCHEMA_VERSIONS = ("1.3", "1.4", "1.5")
 REQUIRED_FIELDS = ("schema_version", "pipeline_version", "analysis_timestamp", "content_hash")
-#: Thresholds of chunk sizes in tokens.
-THIN_TOKENS, MAX_TOKENS = 30, 512
+#: Thresholds of chunk sizes in tokens, and the overlap of the parts of larger ones.
+THIN_TOKENS, MAX_TOKENS, OVERLAP_TOKENS = 20, 512, 50
+#: Chunk types that are indexed however thin they are, and those that say something by being thin.
+ALWAYS_INDEXABLE = (
+    "cobol_analysis_health", "analysis_health", "jcl_analysis_health", "static_values", "external_program_calls", "controlflow.cfg", "dataflow.variable", "business_rule",
+    "call_contract", "error_path", "screen.pagination", "screen.selection", "screen.row_build", "screen.key_dispatch", "cics.operation", "cics.program_transfer", "cics.resource",
+    "cics.error_handler", "datasets_tables_resources", "copybook_mentions", "copybook_fields", "unused_copybooks", "comments", "commented_out_code",
+)
+NEGATIVE_EVIDENCE = (
+    "dependencies", "cobol_analysis_health", "analysis_health", "jcl_analysis_health", "external_program_calls", "datasets_tables_resources", "unused_copybooks", "comments", "commented_out_code",
+)
+
+
+def indexability(chunk_type: Column, tokens: Column, given: Column | None = None) -> Column:
+    """struct<thin,indexable> of a chunk. given: a flag set before, which counts for chunks that are not thin."""
+    kind = F.coalesce(chunk_type, F.lit(""))
+    always, thin = kind.isin(*ALWAYS_INDEXABLE), tokens < THIN_TOKENS
+    usual = F.lit(True) if given is None else F.coalesce(given, F.lit(True))
+    return F.struct((thin & ~always).alias("thin"), F.when(always, True).when(thin, kind.isin(*NEGATIVE_EVIDENCE)).otherwise(usual).alias("indexable"))
 
 
 def token_count(text: str | Column) -> Column:
@@ -45,7 +62,7 @@ def quality(chunks: DataFrame, tokens: str, *by: str) -> DataFrame:
         percentile(tokens, 0.5).alias("median_tokens"),
         percentile(tokens, 0.9).alias("p90_tokens"),
         F.max(tokens).alias("max_tokens"),
-        F.count_if(F.col(tokens) < THIN_TOKENS).alias("n_thin"),
+        F.count_if((F.col(tokens) > 0) & (F.col(tokens) < THIN_TOKENS)).alias("n_thin"),
         F.count_if(F.col(tokens) > MAX_TOKENS).alias("n_oversized"),
         F.count_if(lacking).alias("n_lacking"),
     )
@@ -176,6 +193,72 @@ def merge_small(df: DataFrame, by: list[str], order: list[Column], size: str, le
     return df.withColumn("_s", starts).withColumn("group_no", F.sum("_s").over(w)).drop("_s")
 
 
+def size_guard(df: DataFrame, by: str, key: str, name: str, size: str, least: int = THIN_TOKENS, most: int = MAX_TOKENS, overlap: int = OVERLAP_TOKENS) -> DataFrame:
+    """(by, group_no, first_key, n_chunks, n_tokens, n_parts): chunks of a group merged and split to size.
+
+    A chunk whose name ends with -EXIT joins the one of the name without it. Small neighbours in order of
+    name join until they are large enough; what stays small joins the group before it, if there is one. A
+    group beyond `most` tokens has parts that overlap. Names are read in order, with one group in memory."""
+    import pyarrow as pa
+
+    base = F.regexp_replace(name, "-EXIT$", "")
+    homes = df.filter(~F.col(name).endswith("-EXIT")).groupBy(by, F.col(name).alias("_base")).agg(F.min(key).alias("_home"))
+    j = df.withColumn("_base", base).join(homes, [by, "_base"], "left")
+    named = j.select(by, F.when(F.col(name).endswith("-EXIT"), F.coalesce("_home", key)).otherwise(F.col(key)).alias("_key"), F.col(key).alias("_own"), F.col(name).alias("_name"), F.col(size).cast("long").alias("_size"))
+    units = named.groupBy(by, "_key").agg(F.min(F.when(F.col("_own") == F.col("_key"), F.col("_name"))).alias("_name"), F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_n"))
+    kinds = {f.name: f.dataType.simpleString() for f in units.schema}
+
+    def run(batches):
+        state: dict = {"by": None}
+
+        def close() -> list[tuple]:
+            """The open group; one that is too small is added to the group before it."""
+            if state["open"] is None:
+                return []
+            first, n, total = state["open"]
+            state["open"] = None
+            if total < least and state["kept"] is not None:
+                k = state["kept"]
+                state["kept"] = (k[0], k[1], k[2] + n, k[3] + total)
+                return []
+            done = [] if state["kept"] is None else [(state["by"], *state["kept"])]
+            state["no"] += 1
+            state["kept"] = (state["no"], first, n, total)
+            return done
+
+        def finish() -> list[tuple]:
+            if state["by"] is None:
+                return []
+            done = close()
+            return done + ([] if state["kept"] is None else [(state["by"], *state["kept"])])
+
+        def as_batch(rows: list[tuple], types: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], [by, "group_no", "first_key", "n_chunks", "n_tokens"])
+
+        types = None
+        for batch in batches:
+            types = [batch.schema.field(0).type, pa.int64(), batch.schema.field(1).type, pa.int64(), pa.int64()]
+            out: list[tuple] = []
+            for group, k, n, tokens in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 3))):
+                if state["by"] is None or group != state["by"]:
+                    out += finish()
+                    state = {"by": group, "open": None, "kept": None, "no": 0, "small": False}
+                if state["open"] is not None and state["small"] and state["open"][2] < least and tokens < least:
+                    first, m, total = state["open"]
+                    state["open"] = (first, m + n, total + tokens)
+                    continue
+                out += close()
+                state["open"], state["small"] = (k, n, tokens), tokens < least
+            yield as_batch(out, types)
+        if types is not None:
+            yield as_batch(finish(), types)
+
+    placed = units.repartition(F.col(by)).sortWithinPartitions(by, "_name", "_key").select(by, "_key", "_name", "_size", "_n")
+    groups = placed.mapInArrow(run, f"`{by}` {kinds[by]}, group_no bigint, first_key {kinds['_key']}, n_chunks bigint, n_tokens bigint")
+    parts = F.when(F.col("n_tokens") > most, F.ceil((F.col("n_tokens") - overlap) / (most - overlap))).otherwise(1).cast("int")
+    return groups.withColumn("n_parts", parts)
+
+
 def prefix_join(left: DataFrame, right: DataFrame, name: str, key: str) -> DataFrame:
     """Left rows with the right key they equal, else the least right key that starts with the name.
 

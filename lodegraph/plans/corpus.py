@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodegraph.operators import corpus, derive
-from lodegraph.plans.base import WITH, chunks, data_nodes, edges, nodes
+from lodegraph.plans.base import WITH, WITH_RECURSIVE, chunks, data_nodes, edges, nodes
 from lodegraph.session import table
 
 QUERIES: dict = {}
@@ -48,22 +48,46 @@ def manifest_type_counts(spark: SparkSession, sf: str) -> DataFrame:
 _LACK = " OR ".join(f"{f} IS NULL OR trim({f}, ' ') = ''" for f in corpus.REQUIRED_FIELDS)
 
 
-@query(WITH + f"SELECT program, count(*) AS n_chunks, min(token_count) AS min_tokens, round(quantile_cont(token_count, 0.5), 2) AS median_tokens, round(quantile_cont(token_count, 0.9), 2) AS p90_tokens, max(token_count) AS max_tokens, count(*) FILTER (WHERE token_count < 30) AS n_thin, count(*) FILTER (WHERE token_count > 512) AS n_oversized, count(*) FILTER (WHERE {_LACK}) AS n_lacking FROM chunks GROUP BY program")
+@query(WITH + f"SELECT program, count(*) AS n_chunks, min(token_count) AS min_tokens, round(quantile_cont(token_count, 0.5), 2) AS median_tokens, round(quantile_cont(token_count, 0.9), 2) AS p90_tokens, max(token_count) AS max_tokens, count(*) FILTER (WHERE token_count > 0 AND token_count < 20) AS n_thin, count(*) FILTER (WHERE token_count > 512) AS n_oversized, count(*) FILTER (WHERE {_LACK}) AS n_lacking FROM chunks GROUP BY program")
 def chunk_quality(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.quality(chunks(spark, sf), "token_count", "program")
 
 
-@query("SELECT row_id, CASE WHEN t < 30 THEN true ELSE false END AS is_thin, CASE WHEN t >= 30 OR ct IN ('dead_code', 'error_path') THEN true ELSE false END AS is_indexable FROM (SELECT row_id, coalesce(" + WORDS + ", 0) AS t, lower(trim(chunk_type, ' ')) AS ct FROM chunk)")
+_ALWAYS, _NEGATIVE = (", ".join(f"'{t}'" for t in ts) for ts in (corpus.ALWAYS_INDEXABLE, corpus.NEGATIVE_EVIDENCE))
+
+
+@query(f"SELECT row_id, t < 20 AND ct NOT IN ({_ALWAYS}) AS is_thin, CASE WHEN ct IN ({_ALWAYS}) THEN true WHEN t < 20 THEN ct IN ({_NEGATIVE}) ELSE coalesce(indexable, true) END AS is_indexable FROM (SELECT row_id, indexable, coalesce({WORDS}, 0) AS t, coalesce(lower(trim(chunk_type, ' ')), '') AS ct FROM chunk)")
 def indexability_flags(spark: SparkSession, sf: str) -> DataFrame:
-    t = corpus.token_count("text")
-    c = table(spark, sf, "chunk")
-    always = F.coalesce(F.lower(F.trim("chunk_type")).isin("dead_code", "error_path"), F.lit(False))
-    return c.select("row_id", (t < corpus.THIN_TOKENS).alias("is_thin"), ((t >= corpus.THIN_TOKENS) | always).alias("is_indexable"))
+    i = corpus.indexability(F.lower(F.trim("chunk_type")), corpus.token_count("text"), F.col("indexable"))
+    return table(spark, sf, "chunk").select("row_id", i.alias("i")).select("row_id", F.col("i.thin").alias("is_thin"), F.col("i.indexable").alias("is_indexable"))
 
 
-@query("SELECT lower(trim(chunk_type, ' ')) AS chunk_type, count(*) FILTER (WHERE token_count < 30) AS n_thin, count(*) FILTER (WHERE token_count > 512) AS n_oversized FROM chunk GROUP BY 1")
+@query("SELECT lower(trim(chunk_type, ' ')) AS chunk_type, count(*) FILTER (WHERE token_count > 0 AND token_count < 20) AS n_thin, count(*) FILTER (WHERE token_count > 512) AS n_oversized FROM chunk GROUP BY 1")
 def thin_oversized_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "chunk").groupBy(F.lower(F.trim("chunk_type")).alias("chunk_type")).agg(F.count_if(F.col("token_count") < 30).alias("n_thin"), F.count_if(F.col("token_count") > 512).alias("n_oversized"))
+    thin = (F.col("token_count") > 0) & (F.col("token_count") < corpus.THIN_TOKENS)
+    return table(spark, sf, "chunk").groupBy(F.lower(F.trim("chunk_type")).alias("chunk_type")).agg(F.count_if(thin).alias("n_thin"), F.count_if(F.col("token_count") > corpus.MAX_TOKENS).alias("n_oversized"))
+
+
+@query(
+    WITH_RECURSIVE
+    + f""", c AS (SELECT program, chunk_id, CASE WHEN length(chunk_id) % 5 = 0 THEN regexp_replace(paragraph, '-[^-]*$', '') || '-EXIT' ELSE regexp_replace(paragraph, '-[^-]*$', '') END AS name, coalesce({WORDS}, 0) % 40 AS n FROM chunks WHERE chunk_type = 'paragraph_logic' AND paragraph IS NOT NULL AND program IS NOT NULL),
+    h AS (SELECT program, name, min(chunk_id) AS home FROM c WHERE name NOT LIKE '%-EXIT' GROUP BY ALL),
+    k AS (SELECT c.*, CASE WHEN c.name LIKE '%-EXIT' THEN coalesce(h.home, c.chunk_id) ELSE c.chunk_id END AS key FROM c LEFT JOIN h ON h.program = c.program AND h.name = regexp_replace(c.name, '-EXIT$', '')),
+    u AS (SELECT program, key, min(CASE WHEN key = chunk_id THEN name END) AS name, sum(n) AS n, count(*) AS k FROM k GROUP BY ALL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY program ORDER BY name, key) AS i FROM u),
+    w AS (SELECT program, i, key, n, k, 1 AS g, n AS total, n < 20 AS small FROM o WHERE i = 1 UNION ALL
+      SELECT o.program, o.i, o.key, o.n, o.k, CASE WHEN w.small AND w.total < 20 AND o.n < 20 THEN w.g ELSE w.g + 1 END, CASE WHEN w.small AND w.total < 20 AND o.n < 20 THEN w.total + o.n ELSE o.n END, o.n < 20 FROM w JOIN o ON o.program = w.program AND o.i = w.i + 1),
+    g AS (SELECT program, g, arg_min(key, i) AS key, sum(n) AS n, sum(k) AS k FROM w GROUP BY ALL),
+    m AS (SELECT *, max(CASE WHEN g = 1 OR n >= 20 THEN g END) OVER (PARTITION BY program ORDER BY g) AS kept FROM g),
+    f AS (SELECT program, kept, arg_min(key, g) AS first_key, sum(k)::BIGINT AS n_chunks, sum(n)::BIGINT AS n_tokens FROM m GROUP BY ALL)
+    SELECT program, row_number() OVER (PARTITION BY program ORDER BY kept) AS group_no, first_key, n_chunks, n_tokens, CASE WHEN n_tokens > 60 THEN ceil((n_tokens - 10) / 50)::INT ELSE 1 END AS n_parts FROM f"""
+)
+def size_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """Paragraph chunks merged and split to size; sizes and names are folded so that every rule is met often."""
+    c = chunks(spark, sf).filter("chunk_type = 'paragraph_logic' and paragraph is not null and program is not null")
+    name = F.regexp_replace("paragraph", "-[^-]*$", "")
+    c = c.select("program", "chunk_id", F.when(F.length("chunk_id") % 5 == 0, F.concat(name, F.lit("-EXIT"))).otherwise(name).alias("name"), (corpus.token_count("text") % 40).alias("n"))
+    return corpus.size_guard(c, "program", "chunk_id", "name", "n", 20, 60, 10)
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodegraph.functions.text import diagram_id
-from lodegraph.operators.corpus import content_hash, token_count
+from lodegraph.operators.corpus import content_hash, indexability, token_count
 from lodegraph.session import cut
 
 
@@ -19,6 +19,7 @@ def stamp(chunks: DataFrame, schema_version: str, quality: str = "full", tokens:
 
     tokens: count of a tokenizer where there is one, as `p3_chunk_tokens` gives it; words without it."""
     n = token_count("text") if tokens is None else tokens
+    flags = indexability(F.lower(F.trim("chunk_type")), n)
     return chunks.withColumns(
         {
             "content_hash": content_hash("text"),
@@ -26,8 +27,8 @@ def stamp(chunks: DataFrame, schema_version: str, quality: str = "full", tokens:
             "source_id": F.coalesce("source_id", "chunk_id") if "source_id" in chunks.columns else F.col("chunk_id"),
             "schema_version": F.lit(schema_version),
             "parse_quality": F.lit(quality),
-            "thin_chunk": n < 30,
-            "indexable": n >= 30,
+            "thin_chunk": flags["thin"],
+            "indexable": flags["indexable"],
             "analysis_timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         }
     )
