@@ -29,7 +29,7 @@ def call_target(c: str | Column, program: Column | None = None) -> Column:
 def is_program_target(c: str | Column) -> Column:
     """A name of at least two characters that is no constant, no number, and has no blanks."""
     v = F.upper(F.trim(col(c)))
-    return F.coalesce((F.length(v) >= 2) & ~v.isin(*FIGURATIVE) & ~v.rlike(r"^\d+$") & v.rlike(r"^[A-Z][A-Z0-9_-]*$"), F.lit(False))
+    return F.coalesce((F.length(v) >= 2) & ~v.isin(*FIGURATIVE, "NULLS") & ~v.rlike(r"^\d+$") & v.rlike(r"^[A-Z][A-Z0-9_-]*$"), F.lit(False))
 
 
 def figurative(c: str | Column) -> Column:

@@ -100,6 +100,48 @@ def weighted_mean(parts: dict[str, float]) -> Column:
     return F.try_divide(value, total)
 
 
+#: Weights of the parts of the confidence in an analysis, what a parse is worth, and the labels.
+CONFIDENCE_WEIGHTS = {"parse": 0.30, "copybooks": 0.25, "data": 0.20, "dependencies": 0.15, "narrative": 0.10}
+PARSE_WORTH = {"full": 1.0, "partial": 0.6, "degraded": 0.2}
+CONFIDENCE_LABELS = [(0.85, "high"), (0.65, "medium")]
+
+
+def confidence(parse_quality: Column, resolved: Column, copybooks: Column, typed: Column, fields: Column, dynamic_sql: Column, unknown_calls: Column, commented: Column, paragraphs: Column) -> Column:
+    """struct<score,label,parse,copybooks,data,dependencies,narrative>: confidence in the analysis of a program.
+
+    Parts are shares of what there is: nothing to resolve or to type counts as whole, no paragraphs as a
+    half, data that were never read (null) as 0.8, as does a parse of unknown quality. Dynamic SQL costs
+    0.2 of the dependencies, each of at most two calls without a known target 0.15."""
+    share = lambda a, b, none: F.when(b > 0, a / b).otherwise(none)
+    worth = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in PARSE_WORTH.items() for x in kv]), parse_quality), F.lit(0.8))
+    parts = {
+        "parse": worth,
+        "copybooks": share(resolved, copybooks, 1.0),
+        "data": F.when(fields.isNull(), 0.8).otherwise(share(typed, fields, 1.0)),
+        "dependencies": F.greatest(F.lit(0.0), 1.0 - F.when(dynamic_sql, 0.2).otherwise(0.0) - 0.15 * F.least(unknown_calls, F.lit(2))),
+        "narrative": share(commented, paragraphs, 0.5),
+    }
+    score = F.round(reduce(lambda a, b: a + b, [parts[k] * w for k, w in CONFIDENCE_WEIGHTS.items()]), 3)
+    return F.struct(score.alias("score"), label(score, CONFIDENCE_LABELS, "low").alias("label"), *[F.round(c, 3).alias(k) for k, c in parts.items()])
+
+
+def paragraph_patterns(n: dict[str, Column], others: Column) -> Column:
+    """array<string> of what a paragraph does, by its counts per node type. others: nodes that are no MOVE and no paragraph."""
+    branches = n["IF_BRANCH"] + n["EVALUATE"]
+    say = lambda when, *parts: F.when(when, F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]))
+    return F.array_compact(
+        F.array(
+            say(n["EXEC_SQL"] > 0, "DB2 access (", n["EXEC_SQL"], " SQL)"),
+            say(n["EXEC_CICS"] > 0, "CICS operations (", n["EXEC_CICS"], " commands)"),
+            say(branches > 3, "decision logic (", branches, " branches)"),
+            say(n["PERFORM"] > 0, "orchestrates ", n["PERFORM"], " sub-procedures"),
+            say((n["MOVE"] > 5) & (others < 5), "data initialization (", n["MOVE"], " MOVEs)"),
+            say((n["READ"] > 0) | (n["WRITE"] > 0), "file I/O"),
+            say((n["GOBACK"] > 0) | (n["STOP_RUN"] > 0), "terminates execution"),
+        )
+    )
+
+
 def label(score: Column, steps: list[tuple[float, str]], otherwise: str) -> Column:
     out = None
     for bound, name in steps:

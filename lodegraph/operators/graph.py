@@ -67,17 +67,19 @@ def degrees(edges: DataFrame) -> DataFrame:
     return edges.select(ends).groupBy("id").agg(F.sum("o").alias("n_out"), F.sum("i").alias("n_in"))
 
 
-def reach(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+def reach(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, closed: DataFrame | None = None) -> DataFrame:
     """(root, id, depth): least number of edges from each root; roots at depth 0.
 
     Rounds of frontier joins: only nodes new in a round go on, and what is visited lies in a few cut parts.
-    roots: root, id. Ends when a round finds nothing new, so cycles need no guard."""
+    roots: root, id. Ends when a round finds nothing new, so cycles need no guard. closed: (root, id) that
+    a root neither reaches nor goes through."""
     hops = cut(edges.select("src", "dst").filter("src <> dst").distinct())
     front = cut(roots.select("root", "id").distinct().withColumn("depth", F.lit(0)))
     seen, depth, old = Visited(front), 0, []
     while max_depth is None or depth < max_depth:
         depth += 1
-        nxt = cut(front.join(hops, front.id == hops.src).select("root", F.col("dst").alias("id")).distinct().join(seen.all(), ["root", "id"], "left_anti").withColumn("depth", F.lit(depth)))
+        nxt = front.join(hops, front.id == hops.src).select("root", F.col("dst").alias("id")).distinct().join(seen.all(), ["root", "id"], "left_anti")
+        nxt = cut((nxt if closed is None else nxt.join(closed, ["root", "id"], "left_anti")).withColumn("depth", F.lit(depth)))
         release(*old)
         if nxt.isEmpty():
             break
@@ -86,6 +88,17 @@ def reach(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> D
     return seen.all()
 
 
+def paragraph_bodies(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(paragraph, id): the nodes of every paragraph, itself included: what it starts with, and what follows
+    that without coming to another paragraph. nodes: id, flow_type; edges: src, dst, edge_type."""
+    heads = nodes.filter("flow_type = 'PARAGRAPH'").select("id").distinct()
+    starts = project(edges, "STARTS_WITH").select("src", "dst").distinct()
+    follows = project(edges, "FOLLOWED_BY").select("src", "dst").distinct().join(heads.select(F.col("id").alias("dst")), "dst", "left_anti").select("src", "dst")
+    own = heads.select(F.col("id").alias("root"), "id")
+    first = starts.join(heads.select(F.col("id").alias("src")), "src").filter("src <> dst").select(F.col("src").alias("root"), F.col("dst").alias("id"))
+    return reach(starts.unionByName(follows), first, closed=own).select(F.col("root").alias("paragraph"), "id").unionByName(own.select(F.col("root").alias("paragraph"), "id"))
+
+
 def shortest_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(root, id, distance, n_edges, before): least sum of weights from each root, fewest edges among equals.
 

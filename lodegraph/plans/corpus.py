@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodegraph.operators import corpus, derive
+from lodegraph.functions import text
+from lodegraph.operators import corpus, derive, graph
 from lodegraph.plans.base import WITH, WITH_RECURSIVE, chunks, data_nodes, edges, nodes
 from lodegraph.session import table
 
@@ -154,10 +155,33 @@ def weighted_composite_skip_null(spark: SparkSession, sf: str) -> DataFrame:
     return _parts(spark, sf).select("program", corpus.weighted_mean({"reach": 0.5, "reads": 0.4, "calls": 0.1}).alias("score"))
 
 
-@query(_PARTS + "SELECT program, score, CASE WHEN score >= 0.85 THEN 'high' WHEN score >= 0.65 THEN 'medium' ELSE 'low' END AS confidence FROM (SELECT program, 0.5 * coalesce(reach, 0) + 0.3 * coalesce(reads, 0) + 0.2 * coalesce(calls, 1) AS score FROM p)")
+@query(
+    WITH
+    + r""", q AS (SELECT upper(trim(program, ' ')) AS program, CASE WHEN bool_or(parse_quality = 'degraded') THEN 'degraded' WHEN bool_or(parse_quality = 'partial') THEN 'partial' WHEN bool_or(parse_quality = 'full') THEN 'full' END AS quality, coalesce(bool_or(regexp_matches(upper(text), '\b(PREPARE|EXECUTE\s+IMMEDIATE)\b')), false) AS dynamic_sql,
+      count(DISTINCT paragraph) AS paragraphs, count(DISTINCT CASE WHEN regexp_matches(text, '(?m)^.{6}[*]') THEN paragraph END) AS commented FROM chunk WHERE trim(program, ' ') <> '' GROUP BY 1),
+    m AS (SELECT program, count(*) AS copybooks, count(*) FILTER (WHERE c IN (SELECT upper(program) FROM program_catalog)) AS resolved FROM (SELECT DISTINCT upper(trim(program, ' ')) AS program, unnest(regexp_extract_all(upper(text), '\bCOPY\s+([A-Z0-9@#$-]+)', 1)) AS c FROM chunk WHERE trim(program, ' ') <> '' AND text IS NOT NULL) GROUP BY program),
+    d AS (SELECT upper(program) AS program, count(*) AS fields, count(*) FILTER (WHERE datatype IS NOT NULL AND datatype <> 'OBJECT') AS typed FROM data WHERE program IS NOT NULL AND fieldname IS NOT NULL AND fieldname NOT IN ('FILLER', '[ROOT]') AND levelnumber > 0 GROUP BY 1),
+    u AS (SELECT upper(program) AS program, count(*) AS unknown FROM nodes WHERE program IS NOT NULL AND flow_type = 'CALL' AND json_extract_string(metadata, '$.dynamic') = 'true' GROUP BY 1),
+    p AS (SELECT q.program, CASE quality WHEN 'full' THEN 1.0 WHEN 'partial' THEN 0.6 WHEN 'degraded' THEN 0.2 ELSE 0.8 END::DOUBLE AS parse, CASE WHEN coalesce(copybooks, 0) > 0 THEN resolved / copybooks ELSE 1.0 END::DOUBLE AS copybooks, CASE WHEN fields IS NULL THEN 0.8 WHEN fields > 0 THEN typed / fields ELSE 1.0 END::DOUBLE AS data,
+      greatest(0.0, 1.0 - CASE WHEN dynamic_sql THEN 0.2 ELSE 0.0 END - 0.15 * least(coalesce(unknown, 0), 2))::DOUBLE AS dependencies, CASE WHEN paragraphs > 0 THEN commented / paragraphs ELSE 0.5 END::DOUBLE AS narrative FROM q LEFT JOIN m USING (program) LEFT JOIN d USING (program) LEFT JOIN u USING (program)),
+    s AS (SELECT *, round(0.3 * parse + 0.25 * copybooks + 0.2 * data + 0.15 * dependencies + 0.1 * narrative, 3) AS score FROM p)
+    SELECT program, score, CASE WHEN score >= 0.85 THEN 'high' WHEN score >= 0.65 THEN 'medium' ELSE 'low' END AS label, round(parse, 3) AS parse, round(copybooks, 3) AS copybooks, round(data, 3) AS data, round(dependencies, 3) AS dependencies, round(narrative, 3) AS narrative FROM s"""
+)
 def confidence_score(spark: SparkSession, sf: str) -> DataFrame:
-    s = 0.5 * F.coalesce("reach", F.lit(0.0)) + 0.3 * F.coalesce("reads", F.lit(0.0)) + 0.2 * F.coalesce("calls", F.lit(1.0))
-    return _parts(spark, sf).select("program", s.alias("score")).withColumn("confidence", corpus.label(F.col("score"), [(0.85, "high"), (0.65, "medium")], "low"))
+    """Confidence in every program's analysis, from its chunks, copybooks, data fields and calls."""
+    name = F.upper(F.trim("program"))
+    c = table(spark, sf, "chunk").withColumn("program", name).filter("program <> ''")
+    is_ = lambda q: F.bool_or(F.col("parse_quality") == q)
+    quality = F.when(is_("degraded"), "degraded").when(is_("partial"), "partial").when(is_("full"), "full")
+    q = c.groupBy("program").agg(quality.alias("quality"), F.coalesce(F.bool_or(text.is_dynamic_sql("text")), F.lit(False)).alias("dynamic_sql"), F.count_distinct("paragraph").alias("paragraphs"), F.count_distinct(F.when(F.col("text").rlike("(?m)^.{6}[*]"), F.col("paragraph"))).alias("commented"))
+    named = c.filter("text is not null").select("program", F.explode(F.regexp_extract_all(F.upper("text"), F.lit(r"\bCOPY\s+([A-Z0-9@#$-]+)"), F.lit(1))).alias("c")).distinct()
+    known = table(spark, sf, "program_catalog").select(F.upper("program").alias("c"), F.lit(1).alias("here")).distinct()
+    m = named.join(known, "c", "left").groupBy("program").agg(F.count(F.lit(1)).alias("copybooks"), F.count("here").alias("resolved"))
+    d = data_nodes(spark, sf).filter("program is not null and fieldname not in ('FILLER', '[ROOT]') and levelnumber > 0").groupBy(F.upper("program").alias("program")).agg(F.count(F.lit(1)).alias("fields"), F.count_if(F.col("datatype") != "OBJECT").alias("typed"))
+    u = nodes(spark, sf).filter("program is not null and flow_type = 'CALL'").filter(F.get_json_object("metadata", "$.dynamic") == "true").groupBy(F.upper("program").alias("program")).agg(F.count(F.lit(1)).alias("unknown"))
+    j = q.join(m, "program", "left").join(d, "program", "left").join(u, "program", "left").na.fill(0, ["copybooks", "resolved", "unknown"])
+    k = corpus.confidence(*[F.col(x) for x in ("quality", "resolved", "copybooks", "typed", "fields", "dynamic_sql", "unknown", "commented", "paragraphs")])
+    return j.select("program", k.alias("k")).select("program", "k.*")
 
 
 @query(WITH + ", s AS (SELECT program, count(*) FILTER (WHERE flow_type = 'SENTENCE') * 100.0 / count(*) AS generic, count(*) FILTER (WHERE flow_type = 'DIALECT') AS hazards, count(*) FILTER (WHERE reachable IS FALSE) AS skipped FROM nodes GROUP BY program) SELECT program, greatest(0.0, 100.0 - (least(35.0, generic) + 5 * hazards + 2 * skipped + CASE WHEN hazards > 8 THEN 30 ELSE 0 END)) AS score FROM s")
@@ -174,12 +198,23 @@ def cyclomatic_bucket(spark: SparkSession, sf: str) -> DataFrame:
     return n.join(e, n.program.eqNullSafe(e.program), "left").select(n.program, c.alias("complexity"), b.alias("bucket"))
 
 
-@query(WITH + ", p AS (SELECT program, count(*) FILTER (WHERE flow_type = 'IF_BRANCH') AS b, count(*) FILTER (WHERE flow_type = 'MOVE') AS m, count(*) FILTER (WHERE flow_type NOT IN ('IF_BRANCH', 'MOVE')) AS o, count(*) FILTER (WHERE flow_type = 'EXEC_SQL') AS s FROM nodes GROUP BY program) SELECT program, concat_ws(',', CASE WHEN b > 3 THEN 'branching' END, CASE WHEN m > 5 THEN 'data movement' END, CASE WHEN s > 0 THEN 'database' END, CASE WHEN o < 5 THEN 'short' END) AS patterns FROM p")
+@query(
+    WITH_RECURSIVE
+    + """, h AS (SELECT DISTINCT id FROM nodes WHERE flow_type = 'PARAGRAPH'), sw AS (SELECT DISTINCT src, dst FROM edges WHERE edge_type = 'STARTS_WITH'), go AS (SELECT src, dst FROM sw UNION SELECT src, dst FROM edges WHERE edge_type = 'FOLLOWED_BY' AND dst NOT IN (SELECT id FROM h)),
+    r AS (SELECT src AS root, dst AS id FROM sw WHERE src IN (SELECT id FROM h) AND src <> dst UNION SELECT r.root, go.dst FROM r JOIN go ON go.src = r.id WHERE go.dst <> r.root),
+    b AS (SELECT root, id FROM r UNION SELECT id, id FROM h), t AS (SELECT b.root, b.id, n.flow_type AS t FROM b LEFT JOIN nodes n ON n.id = b.id),
+    g AS (SELECT root, count(*) AS total, count(*) FILTER (WHERE t = 'EXEC_SQL') AS q, count(*) FILTER (WHERE t = 'EXEC_CICS') AS c, count(*) FILTER (WHERE t IN ('IF_BRANCH', 'EVALUATE')) AS d, count(*) FILTER (WHERE t = 'PERFORM') AS p, count(*) FILTER (WHERE t = 'MOVE') AS m, count(*) FILTER (WHERE t NOT IN ('MOVE', 'PARAGRAPH', 'PARAGRAPH_NAME')) AS o, count(*) FILTER (WHERE t IN ('READ', 'WRITE')) AS f, count(*) FILTER (WHERE t IN ('GOBACK', 'STOP_RUN')) AS e FROM t GROUP BY root)
+    SELECT root AS paragraph, total AS total_statements, concat_ws('; ', CASE WHEN q > 0 THEN 'DB2 access (' || q || ' SQL)' END, CASE WHEN c > 0 THEN 'CICS operations (' || c || ' commands)' END, CASE WHEN d > 3 THEN 'decision logic (' || d || ' branches)' END, CASE WHEN p > 0 THEN 'orchestrates ' || p || ' sub-procedures' END,
+    CASE WHEN m > 5 AND o < 5 THEN 'data initialization (' || m || ' MOVEs)' END, CASE WHEN f > 0 THEN 'file I/O' END, CASE WHEN e > 0 THEN 'terminates execution' END) AS patterns FROM g"""
+)
 def paragraph_profile_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """What every paragraph does, by the types of the nodes of its body."""
+    n = nodes(spark, sf).select("id", "flow_type")
+    b = graph.paragraph_bodies(n, edges(spark, sf)).join(n, "id", "left")
     t = F.col("flow_type")
-    p = nodes(spark, sf).groupBy("program").agg(F.count_if(t == "IF_BRANCH").alias("b"), F.count_if(t == "MOVE").alias("m"), F.count_if(~t.isin("IF_BRANCH", "MOVE")).alias("o"), F.count_if(t == "EXEC_SQL").alias("s"))
-    names = F.array_compact(F.array(F.when(F.col("b") > 3, "branching"), F.when(F.col("m") > 5, "data movement"), F.when(F.col("s") > 0, "database"), F.when(F.col("o") < 5, "short")))
-    return p.select("program", F.array_join(names, ",").alias("patterns"))
+    kinds = ("EXEC_SQL", "EXEC_CICS", "IF_BRANCH", "EVALUATE", "PERFORM", "MOVE", "READ", "WRITE", "GOBACK", "STOP_RUN")
+    g = b.groupBy("paragraph").agg(F.count(F.lit(1)).alias("total_statements"), *[F.count_if(t == k).alias(k) for k in kinds], F.count_if(~t.isin("MOVE", "PARAGRAPH", "PARAGRAPH_NAME")).alias("others"))
+    return g.select("paragraph", "total_statements", F.array_join(corpus.paragraph_patterns({k: F.col(k) for k in kinds}, F.col("others")), "; ").alias("patterns"))
 
 
 @query("SELECT field, avg(present) * 100 AS present_pct FROM (SELECT unnest(['paragraph', 'section_name', 'split_from', 'parse_quality', 'text']) AS field, unnest([(paragraph IS NOT NULL)::INT, (section_name IS NOT NULL)::INT, (split_from IS NOT NULL)::INT, (parse_quality IS NOT NULL)::INT, (text IS NOT NULL)::INT]) AS present FROM chunk) GROUP BY field")
