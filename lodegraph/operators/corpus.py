@@ -156,9 +156,10 @@ def complexity(n_edges: Column, n_nodes: Column) -> tuple[Column, Column]:
 
 
 def self_evaluation(generic_pct: Column, hazards: Column, skipped: Column, degraded: Column, high: Column, medium: Column) -> Column:
-    """100 less the penalties, not below 0."""
+    """struct<score,label>: 100 less the penalties, not below 0, as a whole number; high, medium, low or none."""
     loss = F.least(F.lit(35.0), generic_pct) + 5 * hazards + 2 * skipped + F.when(degraded, 30).otherwise(0) + 12 * high + 5 * medium
-    return F.greatest(F.lit(0.0), F.lit(100.0) - loss)
+    score = F.greatest(F.lit(0.0), F.floor(F.lit(100.5) - loss)).cast("int")
+    return F.struct(score.alias("score"), label(score, [(85, "high"), (65, "medium"), (35, "low")], "none").alias("label"))
 
 
 def baseline_diff(a: DataFrame, b: DataFrame, key: str, metrics: list[str], tolerance: float = 0.01) -> DataFrame:

@@ -107,3 +107,41 @@ def contains_fact(text: Column, fact: Column) -> Column:
     """Whether upper-case text holds the fact with no identifier character right before or behind it."""
     quoted = F.concat(F.lit("(?<![A-Z0-9_-])\\Q"), fact, F.lit("\\E(?![A-Z0-9_-])"))
     return F.regexp(F.upper(text), quoted)
+
+
+#: What in a narrative shows that a node type was told, and the types that branch.
+TYPE_MARKERS = {
+    "GOTO": ("GO TO",), "GO_TO": ("GO TO",), "PERFORM": ("PERFORM",), "EVALUATE": ("EVALUATE BLOCK", "### EVALUATE"), "EVALUATE_BRANCH": ("WHEN",), "IF": ("DECISION POINT", "**CONDITION:**"),
+    "IF_BRANCH": ("DECISION POINT", "**CONDITION:**"), "SEARCH": ("SEARCH",), "DIALECT": ("CICS",), "EXEC_CICS": ("CICS",), "EXEC_SQL": ("SQL",), "READ": ("READ",), "WRITE": ("WRITE",), "OPEN": ("OPEN",),
+    "CLOSE": ("CLOSE",), "REWRITE": ("REWRITE",), "DELETE": ("DELETE",), "START": ("START",), "RETURN": ("RETURN",), "STOP": ("STOP",), "STOP_RUN": ("STOP RUN",), "GOBACK": ("GOBACK",), "EXIT": ("EXIT",),
+}
+BRANCH_TYPES = ("IF", "IF_BRANCH", "EVALUATE", "EVALUATE_BRANCH", "SEARCH")
+HEADING = r"(?m)^#{2,6}\s+(.+?)\s*$"
+BRANCH_MARKER = r"(?im)^(?:#{2,6}\s+(?:Decision Point|EVALUATE Block|EVALUATE)\b|\s*-\s+\*\*WHEN\*\*|\s*\*\*Condition:\*\*)"
+#: Weights of headings, statements and branches in the coverage of a narrative.
+COVERAGE_WEIGHTS = {"headings": 0.50, "statements": 0.40, "branches": 0.10}
+
+
+def narrative_coverage(nodes: DataFrame, narratives: DataFrame) -> DataFrame:
+    """(program, headings, statements, branches, composite): percentages of what a program's narratives tell.
+
+    nodes: program, name, type; narratives: program, text. A program may have many narratives: each is
+    read for itself, and what it tells is united. A part without anything to tell is null and left out of
+    the composite, which is 0 without any part."""
+    from lodegraph.operators.corpus import weighted_mean
+
+    fact = lambda c: F.upper(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    n = nodes.select("program", fact(F.col("name")).alias("name"), fact(F.col("type")).alias("type"))
+    said = F.upper("text")
+    told = narratives.filter("text is not null").select("program", said.alias("said"), "text")
+    headings = told.select("program", F.explode(F.array_distinct(F.regexp_extract_all("said", F.lit(HEADING), F.lit(1)))).alias("name")).distinct()
+    marked = F.array_compact(F.array(*[F.when(F.greatest(*[F.contains("said", F.lit(m)) for m in (*ms, ms[0])]), t) for t, ms in TYPE_MARKERS.items()]))
+    types = told.select("program", F.explode(marked).alias("type")).distinct()
+    branches = told.groupBy("program").agg(F.sum(F.regexp_count("text", F.lit(BRANCH_MARKER))).alias("marks"))
+    share = lambda df, key, other: df.join(other.withColumn("_t", F.lit(1)), ["program", key], "left").groupBy("program").agg(F.round(F.count("_t") / F.count(F.lit(1)) * 100, 2).alias("pct"))
+    p = share(n.filter("type = 'PARAGRAPH'").select("program", "name").distinct(), "name", headings).withColumnRenamed("pct", "headings")
+    s = share(n.filter(F.col("type").isin(*TYPE_MARKERS)).select("program", "type").distinct(), "type", types).withColumnRenamed("pct", "statements")
+    expected = n.filter(F.col("type").isin(*BRANCH_TYPES)).groupBy("program").agg(F.count(F.lit(1)).alias("n"))
+    b = expected.join(branches, "program", "left").select("program", F.round(F.least("n", F.coalesce("marks", F.lit(0))) / F.col("n") * 100, 2).alias("branches"))
+    every = n.select("program").distinct().join(p, "program", "left").join(s, "program", "left").join(b, "program", "left")
+    return every.withColumn("composite", F.round(F.coalesce(weighted_mean(COVERAGE_WEIGHTS), F.lit(0.0)), 2))

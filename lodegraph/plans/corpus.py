@@ -184,10 +184,10 @@ def confidence_score(spark: SparkSession, sf: str) -> DataFrame:
     return j.select("program", k.alias("k")).select("program", "k.*")
 
 
-@query(WITH + ", s AS (SELECT program, count(*) FILTER (WHERE flow_type = 'SENTENCE') * 100.0 / count(*) AS generic, count(*) FILTER (WHERE flow_type = 'DIALECT') AS hazards, count(*) FILTER (WHERE reachable IS FALSE) AS skipped FROM nodes GROUP BY program) SELECT program, greatest(0.0, 100.0 - (least(35.0, generic) + 5 * hazards + 2 * skipped + CASE WHEN hazards > 8 THEN 30 ELSE 0 END)) AS score FROM s")
+@query(WITH + ", s AS (SELECT program, count(*) FILTER (WHERE flow_type = 'SENTENCE') * 100.0 / count(*) AS generic, count(*) FILTER (WHERE flow_type = 'DIALECT') AS hazards, count(*) FILTER (WHERE reachable IS FALSE) AS skipped FROM nodes GROUP BY program) SELECT program, score, CASE WHEN score >= 85 THEN 'high' WHEN score >= 65 THEN 'medium' WHEN score >= 35 THEN 'low' ELSE 'none' END AS label FROM (SELECT program, greatest(0.0, floor(100.5 - (least(35.0, generic) + 5 * hazards + 2 * skipped + CASE WHEN hazards > 8 THEN 30 ELSE 0 END)))::INT AS score FROM s)")
 def self_eval_score(spark: SparkSession, sf: str) -> DataFrame:
     s = nodes(spark, sf).groupBy("program").agg((F.count_if(F.col("flow_type") == "SENTENCE") * 100.0 / F.count(F.lit(1))).alias("generic"), F.count_if(F.col("flow_type") == "DIALECT").alias("hazards"), F.count_if(~F.col("reachable")).alias("skipped"))
-    return s.select("program", corpus.self_evaluation(F.col("generic"), F.col("hazards"), F.col("skipped"), F.col("hazards") > 8, F.lit(0), F.lit(0)).alias("score"))
+    return s.select("program", corpus.self_evaluation(F.col("generic"), F.col("hazards"), F.col("skipped"), F.col("hazards") > 8, F.lit(0), F.lit(0)).alias("e")).select("program", "e.*")
 
 
 @query(WITH + ", n AS (SELECT program, count(*) AS nn FROM nodes GROUP BY 1), e AS (SELECT program, count(*) AS ne FROM edges WHERE edge_type = 'FOLLOWED_BY' GROUP BY 1), c AS (SELECT n.program, greatest(coalesce(ne, 0) - nn + 2, 1) AS complexity FROM n LEFT JOIN e ON e.program = n.program) SELECT program, complexity, CASE WHEN complexity <= 5 THEN 'Low' WHEN complexity <= 15 THEN 'Medium' ELSE 'High' END AS bucket FROM c")

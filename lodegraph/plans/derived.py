@@ -183,12 +183,6 @@ def program_health(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("program", F.when(F.col("g") & F.col("k") & F.col("u"), "complete").when(F.coalesce("g", "k", "u").isNotNull(), "partial").otherwise("missing").alias("health"))
 
 
-@query("SELECT doc_id, len(regexp_extract_all(text, '(?m)^#+ ')) AS n_headings, regexp_matches(text, '(?i)return code|condition code') AS says_return_code FROM documents WHERE text IS NOT NULL")
-def narrative_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").filter("text is not null")
-    return d.select("doc_id", F.regexp_count("text", F.lit("(?m)^#+ ")).alias("n_headings"), F.col("text").rlike("(?i)return code|condition code").alias("says_return_code"))
-
-
 @query("SELECT row_id, upper(op) AS command FROM (SELECT row_id, unnest(regexp_extract_all(text, 'EXEC CICS (\\w+)', 1)) AS op FROM chunk WHERE text IS NOT NULL)")
 def cics_operations(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "chunk").filter("text is not null").select("row_id", F.explode(F.regexp_extract_all("text", F.lit(r"EXEC CICS \w+"), F.lit(0))).alias("s"))

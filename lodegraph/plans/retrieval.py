@@ -115,3 +115,22 @@ def fact_families(spark: SparkSession, sf: str) -> DataFrame:
     call = F.when(F.col("flow_type") == "CALL", F.get_json_object("metadata", "$.call_target"))
     facts = F.array_compact(F.array(pair("CALL:", "call", call), pair("SQL:", "sql", F.get_json_object("metadata", "$.sql_operation"))))
     return nodes(spark, sf).select("program", F.inline(facts)).groupBy("fact", "family").agg(F.count_distinct("program").alias("n_programs"))
+
+
+_MARKS = ", ".join(f"('{t}', '{m}')" for t, ms in r.TYPE_MARKERS.items() for m in ms)
+
+
+@query(
+    f"""WITH n AS (SELECT upper(program) AS program, upper(trim(regexp_replace(label, '\\s+', ' ', 'g'), ' ')) AS name, flow_type AS type FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC, row_id DESC) AS rn FROM code_node) WHERE rn = 1 AND deleted_at IS NULL AND program IS NOT NULL),
+    d AS (SELECT program, text, upper(text) AS said FROM documents WHERE text IS NOT NULL AND program IS NOT NULL), k(type, mark) AS (VALUES {_MARKS}),
+    h AS (SELECT DISTINCT program, unnest(regexp_extract_all(said, '{r.HEADING}', 1)) AS name FROM d), t AS (SELECT DISTINCT d.program, k.type FROM d JOIN k ON contains(d.said, k.mark)), m AS (SELECT program, sum(len(regexp_extract_all(text, '{r.BRANCH_MARKER}'))) AS marks FROM d GROUP BY program),
+    p AS (SELECT x.program, round(count(h.name) / count(*) * 100, 2) AS headings FROM (SELECT DISTINCT program, name FROM n WHERE type = 'PARAGRAPH') x LEFT JOIN h ON h.program = x.program AND h.name = x.name GROUP BY 1),
+    s AS (SELECT x.program, round(count(t.type) / count(*) * 100, 2) AS statements FROM (SELECT DISTINCT program, type FROM n WHERE type IN (SELECT type FROM k)) x LEFT JOIN t ON t.program = x.program AND t.type = x.type GROUP BY 1),
+    b AS (SELECT x.program, round(least(x.n, coalesce(marks, 0)) / x.n * 100, 2) AS branches FROM (SELECT program, count(*) AS n FROM n WHERE type IN ('IF', 'IF_BRANCH', 'EVALUATE', 'EVALUATE_BRANCH', 'SEARCH') GROUP BY 1) x LEFT JOIN m ON m.program = x.program)
+    SELECT program, headings, statements, branches, round(coalesce((coalesce(headings * 0.5, 0) + coalesce(statements * 0.4, 0) + coalesce(branches * 0.1, 0)) / nullif(CASE WHEN headings IS NULL THEN 0 ELSE 0.5 END + CASE WHEN statements IS NULL THEN 0 ELSE 0.4 END + CASE WHEN branches IS NULL THEN 0 ELSE 0.1 END, 0), 0), 2) AS composite
+    FROM (SELECT DISTINCT program FROM n) LEFT JOIN p USING (program) LEFT JOIN s USING (program) LEFT JOIN b USING (program)"""
+)
+def narrative_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """What the documents of a program tell of its paragraphs, statement types and branches."""
+    n = nodes(spark, sf).filter("program is not null").select(F.upper("program").alias("program"), F.col("label").alias("name"), F.col("flow_type").alias("type"))
+    return r.narrative_coverage(n, documents(spark, sf).filter("program is not null").select("program", "text"))

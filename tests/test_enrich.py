@@ -81,3 +81,41 @@ def test_baseline_diff_nulls(spark):
     a = spark.createDataFrame([(1, 1.0), (2, None), (3, 1.0)], "k int, m double")
     b = spark.createDataFrame([(1, 1.005), (2, 5.0), (4, 1.0)], "k int, m double")
     assert {tuple(r) for r in corpus.baseline_diff(a, b, "k", ["m"]).collect()} == {(1, "same", ""), (2, "changed", "m"), (3, "removed", ""), (4, "added", "")}
+
+
+def test_what_a_narrative_tells(spark):
+    from lodegraph.operators import retrieval
+
+    nodes = spark.createDataFrame([("P", "main  para", "PARAGRAPH"), ("P", "B", "PARAGRAPH"), ("P", "x", "IF_BRANCH"), ("P", "y", "if_branch"), ("P", "z", "READ"), ("Q", "a", "MOVE"), ("R", "A", "PARAGRAPH")], "program string, name string, type string")
+    texts = [("P", "# TITLE\n## Main Para \n### Decision Point: x\n  - **WHEN** y\n"), ("P", "nothing"), ("P", None), ("R", "## b")]
+    got = {r.program: (r.headings, r.statements, r.branches, r.composite) for r in retrieval.narrative_coverage(nodes, spark.createDataFrame(texts, "program string, text string")).collect()}
+    assert got == {"P": (50.0, 50.0, 100.0, 55.0), "Q": (None, None, None, 0.0), "R": (0.0, None, None, 0.0)}
+
+
+def test_bodies_of_paragraphs(spark):
+    from lodegraph.operators import graph
+
+    nodes = spark.createDataFrame([(i, "PARAGRAPH" if i in "PQR" else "MOVE") for i in "PQRabcd"], "id string, flow_type string")
+    e = [("P", "a", "STARTS_WITH"), ("a", "b", "FOLLOWED_BY"), ("b", "Q", "FOLLOWED_BY"), ("b", "P", "STARTS_WITH"), ("P", "d", "FOLLOWED_BY"), ("Q", "R", "STARTS_WITH"), ("R", "c", "FOLLOWED_BY"), ("x", "y", "STARTS_WITH")]
+    rows = graph.paragraph_bodies(nodes, spark.createDataFrame(e, "src string, dst string, edge_type string")).collect()
+    got = {p: {r.id for r in rows if r.paragraph == p} for p in "PQR"}
+    assert got == {"P": {"P", "a", "b"}, "Q": {"Q", "R", "c"}, "R": {"R"}} and len(rows) == 7
+
+
+def test_size_guard_rules(spark):
+    from lodegraph.operators import corpus
+
+    rows = [("P", "1", "A", 5), ("P", "2", "A-EXIT", 3), ("P", "3", "B", 30), ("P", "4", "C", 4), ("P", "5", "D", 9), ("P", "6", "D-EXIT", 8), ("P", "7", "E", 100), ("P", "8", "F", 2), ("Q", "9", "X-EXIT", 1), ("R", "0", "Z", 0)]
+    df = spark.createDataFrame(rows, "program string, id string, name string, n int")
+    got = sorted(tuple(r) for r in corpus.size_guard(df, "program", "id", "name", "n", 20, 60, 10).collect())
+    assert got == [("P", 1, "1", 2, 8, 1), ("P", 2, "3", 1, 30, 1), ("P", 3, "4", 3, 21, 1), ("P", 4, "7", 2, 102, 2), ("Q", 1, "9", 1, 1, 1), ("R", 1, "0", 1, 0, 1)]
+    assert corpus.size_guard(df.limit(0), "program", "id", "name", "n").count() == 0
+
+
+def test_indexability_of_thin_chunks(spark):
+    from lodegraph.operators import corpus
+
+    rows = [("workflow", 19, None), ("workflow", 20, None), ("workflow", 20, False), ("static_values", 1, False), ("dependencies", 1, None), (None, 1, True)]
+    df = spark.createDataFrame(rows, "t string, n int, g boolean")
+    got = [(r.i.thin, r.i.indexable) for r in df.select(corpus.indexability(F.col("t"), F.col("n"), F.col("g")).alias("i")).collect()]
+    assert got == [(True, False), (False, True), (False, False), (False, True), (True, True), (True, False)]
