@@ -54,10 +54,20 @@ ALL = "ALL"
 # facts of CICS statements
 
 
+def _node_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements at CICS nodes, put together from the command and the target that the nodes name."""
+    m = lambda p: F.get_json_object("metadata", p)
+    n = nodes(spark, sf).select("row_id", "id", F.upper("program").alias("program"), F.col("sourceline").alias("line"), m("$.cics_command").alias("c"), m("$.cics_target_program").alias("t")).filter("c is not null and t is not null")
+    is_map, word = F.contains("c", F.lit("MAP")), F.substring_index("c", " ", 1)
+    said = F.when(is_map, F.concat(F.lit(" MAP ("), "t", F.lit(")"))).when(word.isin("LINK", "XCTL", "RETURN"), F.concat(F.lit(" PROGRAM('"), "t", F.lit("')"))).otherwise(F.concat(F.lit(" FILE ( '"), "t", F.lit("' )")))
+    return n.select("row_id", "id", "program", "line", F.concat(F.lit("EXEC CICS "), word, said).alias("statement"))
+
+
 def cics_statements(spark: SparkSession, sf: str) -> DataFrame:
-    """Every EXEC CICS statement of a chunk; those in comments are inactive."""
-    c = table(spark, sf, "chunk").filter("text is not null").select("row_id", F.trim(F.upper("program")).alias("program"), F.inline(cics.statements(F.col("text"))))
-    return c.withColumnRenamed("text", "statement").withColumn("command", cics.command(F.col("statement")))
+    """Every EXEC CICS statement of a chunk, where those in comments are inactive, and of a node; origin tells them apart."""
+    c = table(spark, sf, "chunk").filter("text is not null").select(F.lit("chunk").alias("origin"), "row_id", F.trim(F.upper("program")).alias("program"), F.inline(cics.statements(F.col("text"))))
+    n = _node_statements(spark, sf).select(F.lit("node").alias("origin"), "row_id", "program", "line", F.lit(True).alias("active"), "statement")
+    return c.withColumnRenamed("text", "statement").unionByName(n).withColumn("command", cics.command(F.col("statement")))
 
 
 @query()
@@ -65,17 +75,17 @@ def cics_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Operations: what a statement does, and on what."""
     s, t = cics_statements(spark, sf), cics.target(F.col("statement"))
     group = F.when(F.col("t.kind").isin("FILE", "DATASET"), cics.file_group(F.col("command")))
-    return s.withColumn("t", t).select("row_id", "line", "active", "command", cics.operation_type(F.col("command")).alias("type"), F.col("t.kind").alias("target_kind"), F.col("t.value").alias("target"), F.col("t.source").alias("target_source"), group.alias("file_group"), F.size(cics.arguments(F.col("statement"))).alias("n_arguments"))
+    return s.withColumn("t", t).select("origin", "row_id", "line", "active", "command", cics.operation_type(F.col("command")).alias("type"), F.col("t.kind").alias("target_kind"), F.col("t.value").alias("target"), F.col("t.source").alias("target_source"), group.alias("file_group"), F.size(cics.arguments(F.col("statement"))).alias("n_arguments"))
 
 
 @query()
 def cics_resources(spark: SparkSession, sf: str) -> DataFrame:
-    return cics_statements(spark, sf).filter("active").select("row_id", "line", "command", F.inline(cics.resources(F.col("statement")))).distinct()
+    return cics_statements(spark, sf).filter("active").select("origin", "row_id", "line", "command", F.inline(cics.resources(F.col("statement")))).distinct()
 
 
 @query()
 def cics_handlers(spark: SparkSession, sf: str) -> DataFrame:
-    return cics_statements(spark, sf).select("row_id", "line", "active", F.inline(cics.handlers(F.col("statement")))).distinct()
+    return cics_statements(spark, sf).select("origin", "row_id", "line", "active", F.inline(cics.handlers(F.col("statement")))).distinct()
 
 
 @query(
@@ -86,12 +96,9 @@ def cics_handlers(spark: SparkSession, sf: str) -> DataFrame:
     CASE WHEN m THEN 'MAP' WHEN w IN ('LINK', 'XCTL', 'RETURN') THEN 'PROGRAM' ELSE 'FILE' END AS target_kind, t AS target, CASE WHEN m THEN 'identifier' ELSE 'literal' END AS target_source, CASE WHEN m OR w NOT IN ('LINK', 'XCTL', 'RETURN') THEN 1 ELSE 0 END AS n_resources, 2 AS n_captured FROM w"""
 )
 def cics_node_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Operations of the statements at CICS nodes, put together from what the nodes say."""
-    m = lambda p: F.get_json_object("metadata", p)
-    n = nodes(spark, sf).select("id", m("$.cics_command").alias("c"), m("$.cics_target_program").alias("t")).filter("c is not null and t is not null")
-    is_map, word = F.contains("c", F.lit("MAP")), F.substring_index("c", " ", 1)
-    said = F.when(is_map, F.concat(F.lit(" MAP ("), "t", F.lit(")"))).when(word.isin("LINK", "XCTL", "RETURN"), F.concat(F.lit(" PROGRAM('"), "t", F.lit("')"))).otherwise(F.concat(F.lit(" FILE ( '"), "t", F.lit("' )")))
-    source = F.concat(F.lit("000100     EXEC CICS "), word, said, F.lit("\n000200       RESP(WS-RESP) RESP2(WS-RESP2) END-EXEC."))
+    """Operations of the statements at CICS nodes, read from source lines over which they go on."""
+    n = _node_statements(spark, sf)
+    source = F.concat(F.lit("000100     "), "statement", F.lit("\n000200       RESP(WS-RESP) RESP2(WS-RESP2) END-EXEC."))
     s = n.select("id", F.inline(cics.statements(source))).withColumnRenamed("text", "s").withColumns({"command": cics.command(F.col("s")), "t": cics.target(F.col("s"))})
     return s.select("id", "command", cics.operation_type(F.col("command")).alias("type"), F.col("t.kind").alias("target_kind"), F.col("t.value").alias("target"), F.col("t.source").alias("target_source"), F.size(cics.resources(F.col("s"))).alias("n_resources"), F.size(cics.handlers(F.col("s"))).alias("n_captured"))
 
@@ -271,7 +278,7 @@ def _by_fact(kind: str, rows: DataFrame, name: list[str], said: Column) -> DataF
 @query()
 def doc_cics_operation(spark: SparkSession, sf: str) -> DataFrame:
     s = cics_statements(spark, sf).filter("active").withColumn("t", cics.target(F.col("statement")))
-    return _by_fact("cics.operation", s.select("program", "row_id", "line", "command", "t.kind", "t.value"), ["row_id", "line", "command"], _say("Line ", F.col("line"), ": ", F.col("command"), F.when(F.col("kind").isNotNull(), _say(" on ", F.lower("kind"), " ", F.col("value"))).otherwise(""), "."))
+    return _by_fact("cics.operation", s.select("program", "origin", "row_id", "line", "command", "t.kind", "t.value"), ["origin", "row_id", "line", "command"], _say("Line ", F.col("line"), ": ", F.col("command"), F.when(F.col("kind").isNotNull(), _say(" on ", F.lower("kind"), " ", F.col("value"))).otherwise(""), "."))
 
 
 @query()
@@ -283,8 +290,8 @@ def doc_cics_resource(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def doc_cics_error_handler(spark: SparkSession, sf: str) -> DataFrame:
-    s = cics_statements(spark, sf).select("program", "row_id", "line", "active", F.inline(cics.handlers(F.col("statement"))))
-    return _by_fact("cics.error_handler", s, ["row_id", "line", "key"], _say(F.col("kind"), " ", F.col("key"), " at line ", F.col("line"), F.when(F.col("target").isNotNull(), _say(" leads to ", F.col("target"))).otherwise(""), F.when(F.col("active"), ".").otherwise(" in a comment.")))
+    s = cics_statements(spark, sf).select("program", "origin", "row_id", "line", "active", F.inline(cics.handlers(F.col("statement"))))
+    return _by_fact("cics.error_handler", s, ["origin", "row_id", "line", "key"], _say(F.col("kind"), " ", F.col("key"), " at line ", F.col("line"), F.when(F.col("target").isNotNull(), _say(" leads to ", F.col("target"))).otherwise(""), F.when(F.col("active"), ".").otherwise(" in a comment.")))
 
 
 @query()

@@ -26,6 +26,9 @@ def corpus(spark, sf, tmp_path_factory):
     texts = [("p1 ", "paragraph_logic", SOURCE), (None, "paragraph_logic", SOURCE), ("P2", " Paragraph_Logic", ""), ("P2", "paragraph_logic", None), ("P2", "workflow", SOURCE), ("P3", None, SOURCE)]
     rows = [{"row_id": i, "chunk_id": f"c{i}", "program": p, "chunk_type": t, "text": x} for i, (p, t, x) in enumerate(texts)]
     spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema).write.parquet(f"{root}/chunk.parquet")
+    n = table(spark, sf, "code_node").schema
+    node = {"row_id": 1, "id": "n1", "program": "P9", "flow_type": "DIALECT", "sourceline": 12, "metadata": '{"cics_command": "SEND MAP", "cics_target_program": "M9"}'}
+    spark.createDataFrame([tuple(node.get(f.name) for f in n)], n).write.parquet(f"{root}/code_node.parquet")
     table(spark, sf, "chunk_type_ref").write.parquet(f"{root}/chunk_type_ref.parquet")
     return root
 
@@ -35,6 +38,7 @@ def rows_of(spark, corpus, name, *cols):
 
 
 def test_cics_fact_tables(spark, corpus):
+    assert ("node", 12, "SEND", "MAP", "M9") in rows_of(spark, corpus, "cics_facts", "origin", "line", "command", "target_kind", "target")
     facts = [r[1:] for r in rows_of(spark, corpus, "cics_facts", "row_id", "line", "active", "command", "type", "target_kind", "target", "target_source", "file_group") if r[0] == 0]
     assert facts == [
         (3, True, "SEND", "other", "MAP", "M1", "literal", None), (4, True, "HANDLE", "other", None, None, None, None), (7, False, "READ", "file_read", "DATASET", "CUST", "literal", "cics_files_read"),
