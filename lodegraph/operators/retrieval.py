@@ -1,7 +1,7 @@
 """Retrieval over documents: terms, postings, TF-IDF and BM25 ranking, reranking, evaluation.
 
 Queries are a table; their terms are joined to the postings, so a term of the corpus that no query has is
-never shuffled for scoring. Ranking keeps the first k per query with a group limit before the shuffle.
+never shuffled for scoring, and terms that many queries share are summed once for all of them. Ranking keeps the first k per query with a group limit before the shuffle.
 """
 
 from __future__ import annotations
@@ -50,25 +50,41 @@ def index_statistics(docs: DataFrame, text: str, pattern: str = INDEX_TERM) -> D
     return docs.select(n.alias("n")).agg(F.count(F.lit(1)).alias("total_chunks"), F.round(F.avg("n"), 1).alias("avg_doc_length"))
 
 
-def _matched(post: DataFrame, queries: DataFrame, query: str, text: str, docs: DataFrame) -> DataFrame:
-    q = query_terms(queries, query, text)
-    df = document_frequency(post).join(q.select("term").distinct(), "term", "left_semi")
-    total = docs.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
-    return q.join(df, "term").join(post, "term").withColumn("n_docs", total)
+def tf_idf(post: DataFrame, key: str, docs: DataFrame) -> DataFrame:
+    """(key, term, weight): tf (ln((1 + N) / (1 + df)) + 1)."""
+    m = post.join(document_frequency(post), "term").withColumn("n_docs", _count(docs))
+    return m.select(key, "term", (F.col("tf") * (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)).alias("weight"))
 
 
-def tf_idf(post: DataFrame, queries: DataFrame, query: str, text: str, key: str, docs: DataFrame) -> DataFrame:
-    """(query, key, score): sum over the query's terms of tf (ln((1 + N) / (1 + df)) + 1)."""
-    m = _matched(post, queries, query, text, docs)
-    return m.groupBy(query, key).agg(F.sum(F.col("tf") * (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1)).alias("score"))
-
-
-def bm25(post: DataFrame, queries: DataFrame, query: str, text: str, key: str, docs: DataFrame, length: DataFrame) -> DataFrame:
-    """(query, key, score) by Okapi BM25; length: one row with avg_len."""
-    m = _matched(post, queries, query, text, docs).withColumn("avg_len", length.scalar())
+def bm25(post: DataFrame, key: str, docs: DataFrame, length: DataFrame) -> DataFrame:
+    """(key, term, weight) by Okapi BM25; length: one row with avg_len."""
+    m = post.join(document_frequency(post), "term").withColumn("n_docs", _count(docs)).withColumn("avg_len", length.scalar())
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     s = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n_terms") / F.col("avg_len")))
-    return m.groupBy(query, key).agg(F.sum(s).alias("score"))
+    return m.select(key, "term", s.alias("weight"))
+
+
+def _count(docs: DataFrame) -> Column:
+    return docs.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+
+
+def best(weighted: DataFrame, queries: DataFrame, query: str, text: str, key: str, k: int) -> DataFrame:
+    """(query, key, score, rank): the k best keys of each query by the sum of the weights of its terms.
+
+    weighted: key, term, weight, none below zero. Queries with the same terms among those that several
+    queries have are one profile. Documents are scored once per profile, and per query only where they hold
+    a term of its own: another document can be among the k best of a query only if it is among those of its
+    profile, as own terms never lower a score. Pairs of every query with every document are not built."""
+    q = query_terms(queries, query, text).distinct()
+    q = q.join(q.groupBy("term").agg((F.count(F.lit(1)) > 1).alias("_many")), "term")
+    profile = F.array_join(F.array_sort(F.collect_list(F.when(F.col("_many"), F.col("term")))), " ")
+    of = cut(q.groupBy(query).agg(profile.alias("_profile")))
+    terms_of = of.select("_profile").distinct().select("_profile", F.explode(F.split("_profile", " ")).alias("term"))
+    common = cut(terms_of.join(weighted, "term").groupBy("_profile", key).agg(F.sum("weight").alias("score")))
+    own = q.filter("not _many").join(weighted, "term").groupBy(query, key).agg(F.sum("weight").alias("_own"))
+    held = own.join(of, query).join(common, ["_profile", key], "left").select(query, key, (F.col("_own") + F.coalesce("score", F.lit(0.0))).alias("score"))
+    led = top_k(common, "_profile", key, k).join(of, "_profile").select(query, key, "score")
+    return top_k(held.unionByName(led).groupBy(query, key).agg(F.max("score").alias("score")), query, key, k)
 
 
 def top_k(scored: DataFrame, query: str, key: str, k: int, score: str = "score") -> DataFrame:

@@ -45,7 +45,7 @@ def _queries(spark: SparkSession, sf: str) -> DataFrame:
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
     docs, q = documents(spark, sf), _queries(spark, sf)
     post = r.postings(docs, "doc_id", "text", only=r.query_terms(q, "qid", "qtext"))
-    return r.top_k(r.tf_idf(post, q, "qid", "qtext", "doc_id", docs), "qid", "doc_id", 5)
+    return r.best(r.tf_idf(post, "doc_id", docs), q, "qid", "qtext", "doc_id", 5)
 
 
 @query(_POST + "SELECT term, df, cf FROM df")
@@ -67,8 +67,8 @@ def tfidf_top5(spark: SparkSession, sf: str) -> DataFrame:
 def bm25_top5(spark: SparkSession, sf: str) -> DataFrame:
     docs, q = documents(spark, sf), _queries(spark, sf)
     length = docs.select(F.size(r.terms("text")).alias("n")).agg(F.avg("n").alias("avg_len"))
-    scored = r.bm25(r.postings(docs, "doc_id", "text", only=r.query_terms(q, "qid", "qtext")), q, "qid", "qtext", "doc_id", docs, length)
-    return r.top_k(scored, "qid", "doc_id", 5).select("qid", "doc_id", F.round("score", 6).alias("score"), "rank")
+    weighted = r.bm25(r.postings(docs, "doc_id", "text", only=r.query_terms(q, "qid", "qtext")), "doc_id", docs, length)
+    return r.best(weighted, q, "qid", "qtext", "doc_id", 5).select("qid", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
 _JUDGED = _POST + ", judged AS (SELECT q.qid, coalesce(min(rank) = 1, false) AS hit_1, coalesce(min(rank) <= 5, false) AS hit_5, coalesce(1.0 / min(rank), 0) AS reciprocal_rank FROM q LEFT JOIN (SELECT ranked.* FROM ranked JOIN docs ON docs.doc_id = ranked.doc_id AND docs.program = ranked.qid) x ON x.qid = q.qid GROUP BY q.qid) "
