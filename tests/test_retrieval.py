@@ -24,3 +24,26 @@ def test_best_against_all_pairs(spark):
         score = {d: sum(weight.get((d, t), 0) for t in ts) for d in docs if any((d, t) in weight for t in ts)}
         want |= {(k, i + 1): x for i, x in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:4])}
     assert got == want
+
+
+@pytest.fixture(scope="module")
+def many(spark, sf, tmp_path_factory):
+    """1,500 programs and documents that all share their words: too many pairs to build, few rows to return."""
+    out, n = tmp_path_factory.mktemp("many"), 1500
+
+    def write(name, rows):
+        schema = table(spark, sf, name).schema
+        spark.createDataFrame([tuple(x.get(f.name) for f in schema) for x in rows], schema).repartition(1).write.parquet(f"{out}/{name}.parquet")
+
+    write("program_catalog", [{"program": f"PGM{i:04}", "app_domain": "cards", "source_kind": "jcl" if i % 2 else "cobol"} for i in range(n)])
+    write("documents", [{"doc_id": i, "program": f"PGM{i:04}", "text": f"summary batch cards PGM{i:04}"} for i in range(n)])
+    write("code_node", [{"row_id": 1, "id": "a", "program": "PGM0000", "metadata": '{"cics_target_program": "PGM0001"}'}])
+    return str(out)
+
+
+def test_reranked_documents_of_many_programs(spark, many):
+    rows = entry.queries()["rerank_proximity"](spark, many).collect()
+    best = {x.qid: x for x in sorted(rows, key=lambda x: x.adjusted)}
+    assert len(rows) == 5 * 1500 and all(x.doc_id == int(q[3:]) for q, x in best.items())
+    of = {(x.qid, x.doc_id): x.adjusted for x in rows}
+    assert of["PGM0001", 0] == pytest.approx(1.3 * of["PGM0001", 2], abs=1e-5) and of["PGM0000", 1] == pytest.approx(1.2 * of["PGM0000", 2], abs=1e-5)
