@@ -47,3 +47,8 @@ def test_reranked_documents_of_many_programs(spark, many):
     assert len(rows) == 5 * 1500 and all(x.doc_id == int(q[3:]) for q, x in best.items())
     of = {(x.qid, x.doc_id): x.adjusted for x in rows}
     assert of["PGM0001", 0] == pytest.approx(1.3 * of["PGM0001", 2], abs=1e-5) and of["PGM0000", 1] == pytest.approx(1.2 * of["PGM0000", 2], abs=1e-5)
+
+
+def test_recall_of_many_programs(spark, many):
+    rows = entry.queries()["retrieval_recall_mrr"](spark, many).collect()
+    assert sorted(tuple(x) for x in rows) == [("cobol", 750, 1.0, 1.0, 1.0), ("jcl", 750, 1.0, 1.0, 1.0)]
