@@ -52,3 +52,8 @@ def test_reranked_documents_of_many_programs(spark, many):
 def test_recall_of_many_programs(spark, many):
     rows = entry.queries()["retrieval_recall_mrr"](spark, many).collect()
     assert sorted(tuple(x) for x in rows) == [("cobol", 750, 1.0, 1.0, 1.0), ("jcl", 750, 1.0, 1.0, 1.0)]
+
+
+def test_judged_queries_of_many_programs(spark, many):
+    rows = entry.queries()["retrieval_judged"](spark, many).collect()
+    assert len(rows) == 1500 and all(x.hit_1 and x.hit_5 and x.reciprocal_rank == 1 for x in rows)
