@@ -20,3 +20,8 @@ def chain(spark):
 def test_dominators_of_a_large_graph(chain):
     rows = fg.dominator_table(chain).collect()
     assert len(rows) == N + 1 and all(r.idom == (f"{int(r.id) - 1:07}" if int(r.id) else None) for r in rows)
+
+
+def test_edge_kinds_of_a_large_graph(chain):
+    got = {r.kind: r["count"] for r in fg.classify_edges(chain, fg.dfs_table(chain)).groupBy("kind").count().collect()}
+    assert got == {"tree": N, "back": 1}
