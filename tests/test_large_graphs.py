@@ -25,3 +25,7 @@ def test_dominators_of_a_large_graph(chain):
 def test_edge_kinds_of_a_large_graph(chain):
     got = {r.kind: r["count"] for r in fg.classify_edges(chain, fg.dfs_table(chain)).groupBy("kind").count().collect()}
     assert got == {"tree": N, "back": 1}
+
+
+def test_limit_of_a_large_graph(chain):
+    assert [tuple(r) for r in fg.reducibility(chain).collect()] == [("P", 1, True)]
