@@ -29,3 +29,8 @@ def test_edge_kinds_of_a_large_graph(chain):
 
 def test_limit_of_a_large_graph(chain):
     assert [tuple(r) for r in fg.reducibility(chain).collect()] == [("P", 1, True)]
+
+
+def test_intervals_of_a_large_graph(chain):
+    rows = fg.dfs_table(chain).collect()
+    assert len(rows) == N + 1 and all(r.depth == r.discovered == r.preorder == int(r.id) for r in rows)
