@@ -34,3 +34,7 @@ def test_limit_of_a_large_graph(chain):
 def test_intervals_of_a_large_graph(chain):
     rows = fg.dfs_table(chain).collect()
     assert len(rows) == N + 1 and all(r.depth == r.discovered == r.preorder == int(r.id) for r in rows)
+
+
+def test_dj_edges_of_a_large_graph(chain):
+    assert {r.kind: r["count"] for r in fg.join_edges(chain).groupBy("kind").count().collect()} == {"D": N, "BJ": 1}
