@@ -38,3 +38,7 @@ def test_intervals_of_a_large_graph(chain):
 
 def test_dj_edges_of_a_large_graph(chain):
     assert {r.kind: r["count"] for r in fg.join_edges(chain).groupBy("kind").count().collect()} == {"D": N, "BJ": 1}
+
+
+def test_loops_of_a_large_graph(chain):
+    assert [tuple(r) for r in fg.loops(chain).collect()] == [("P", f"{N - 1:07}", 1, 2)]
