@@ -68,17 +68,27 @@ def _count(docs: DataFrame) -> Column:
     return docs.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
 
 
-def best(weighted: DataFrame, queries: DataFrame, query: str, text: str, key: str, k: int) -> DataFrame:
-    """(query, key, score, rank): the k best keys of each query by the sum of the weights of its terms.
+#: Queries that a term may have to be scored for each of them; a term of more queries is scored for their profiles.
+FEW_QUERIES = 32
+
 
-    weighted: key, term, weight, none below zero. Queries with the same terms among those that several
-    queries have are one profile. Documents are scored once per profile, and per query only where they hold
-    a term of its own: another document can be among the k best of a query only if it is among those of its
-    profile, as own terms never lower a score. Pairs of every query with every document are not built."""
+def profiled(queries: DataFrame, query: str, text: str, few: int = FEW_QUERIES) -> tuple[DataFrame, DataFrame]:
+    """(query, term, _many) of all terms, _many for those of more than `few` queries, and (query, _profile), the latter of each query."""
     q = query_terms(queries, query, text).distinct()
-    q = q.join(q.groupBy("term").agg((F.count(F.lit(1)) > 1).alias("_many")), "term")
+    q = q.join(q.groupBy("term").agg((F.count(F.lit(1)) > few).alias("_many")), "term")
     profile = F.array_join(F.array_sort(F.collect_list(F.when(F.col("_many"), F.col("term")))), " ")
-    of = cut(q.groupBy(query).agg(profile.alias("_profile")))
+    return q, cut(q.groupBy(query).agg(profile.alias("_profile")))
+
+
+def best(weighted: DataFrame, queries: DataFrame, query: str, text: str, key: str, k: int, few: int = FEW_QUERIES) -> DataFrame:
+    """(query, key, score, rank): the k best keys of each query by the sum of the weights of its terms.
+
+    weighted: key, term, weight, none below zero. Queries with the same terms among those that more than
+    `few` queries have are one profile. Documents are scored once per profile, and per query only where they
+    hold one of its other terms: another document can be among the k best of a query only if it is among
+    those of its profile, as other terms never lower a score. Pairs of every query with every document are
+    not built, and terms that a few queries share make no profiles."""
+    q, of = profiled(queries, query, text, few)
     terms_of = of.select("_profile").distinct().select("_profile", F.explode(F.split("_profile", " ")).alias("term"))
     common = cut(terms_of.join(weighted, "term").groupBy("_profile", key).agg(F.sum("weight").alias("score")))
     own = q.filter("not _many").join(weighted, "term").groupBy(query, key).agg(F.sum("weight").alias("_own"))

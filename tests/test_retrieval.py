@@ -57,3 +57,27 @@ def test_recall_of_many_programs(spark, many):
 def test_judged_queries_of_many_programs(spark, many):
     rows = entry.queries()["retrieval_judged"](spark, many).collect()
     assert len(rows) == 1500 and all(x.hit_1 and x.hit_5 and x.reciprocal_rank == 1 for x in rows)
+
+
+@pytest.mark.parametrize("few", [0, 1, 3, 32])
+def test_best_with_terms_of_a_few_queries(spark, few):
+    rnd = random.Random(6)
+    words = [f"W{i}" for i in range(12)]
+    docs = {i: [rnd.choice(words) for _ in range(rnd.randint(0, 6))] for i in range(60)}
+    queries = {f"q{i}": sorted({"W0", *rnd.sample(words[:9], rnd.randint(0, 3))}) for i in range(20)} | {"own": ["W9", "W1"], "none": []}
+    weight = {(d, t): n * (1 + int(t[1:]) % 3) / 4 for d, ts in docs.items() for t, n in Counter(ts).items()}
+    weighted = spark.createDataFrame([(d, t, w) for (d, t), w in weight.items()], "id int, term string, weight double")
+    q = spark.createDataFrame([(k, " ".join(ts)) for k, ts in queries.items()], "q string, text string")
+    got = {(x.q, x["rank"]): (x.id, x.score) for x in r.best(weighted, q, "q", "text", "id", 4, few).collect()}
+    want = {}
+    for k, ts in queries.items():
+        score = {d: sum(weight.get((d, t), 0) for t in ts) for d in docs if any((d, t) in weight for t in ts)}
+        want |= {(k, i + 1): x for i, x in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:4])}
+    assert got == want
+
+
+def test_queries_that_share_a_name_make_no_profile_of_it(spark):
+    """Programs of five sites: each name is a term of five queries, all of which have two words in common."""
+    q = spark.createDataFrame([(f"PGM{i:03}.{k}", f"PGM{i:03}.{k} summary batch") for i in range(100) for k in range(5)], "q string, text string")
+    _, of = r.profiled(q, "q", "text")
+    assert [tuple(x) for x in of.groupBy("_profile").count().collect()] == [("BATCH SUMMARY", 500)]
