@@ -33,14 +33,32 @@ def postings(docs: DataFrame, key: str, text: str, pattern: str = QUERY_TERM, on
 
     only: a table of terms; others are dropped before anything is shuffled, and since ranking reads the
     rest twice, it is cut from its lineage."""
-    d = docs.select(key, terms(text, pattern).alias("_t"))
-    d = d.select(key, F.size("_t").alias("n_terms"), F.explode("_t").alias("term"))
     if only is not None:
+        d = docs.select(key, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("_t"))
+        d = d.select(key, "_t", F.size("_t").alias("n_terms"), F.explode(F.array_distinct("_t")).alias("_w")).withColumn("term", F.upper("_w"))
+        d = marked(d, "term", only.select("term").distinct())
+        d = d.select(key, "term", "n_terms", (F.size("_t") - F.size(F.array_remove("_t", F.col("_w")))).alias("tf"))
         kept = d.join(only.select("term").distinct(), "term", "left_semi")
-        return cut(kept.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_terms").alias("n_terms")))
+        return cut(kept.groupBy(key, "term").agg(F.sum("tf").alias("tf"), F.first("n_terms").alias("n_terms")))
+    d = docs.select(key, terms(text, pattern).alias("_t"))
+    d = d.select(key, F.size("_t").alias("n_terms"), F.explode("_t").alias("term"))
     return d.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n_terms").alias("n_terms"))
 
 
+#: Words of 64 bits in the bitmap of the terms that are looked for: 512 KB for any number of terms.
+MARK_WORDS = 1 << 16
+
+
+def marked(rows: DataFrame, column: str, only: DataFrame) -> DataFrame:
+    """Rows whose value may be one of `only`, by a bitmap of hashes: all that are, and few others."""
+    at = F.pmod(F.xxhash64(column), F.lit(64 * MARK_WORDS))
+    bit, word = (at % 64).cast("int"), F.floor(at / 64).cast("int")
+    held = only.select(word.alias("id"), F.expr(f"shiftleft(1L, int(pmod(xxhash64({column}), 64)))").alias("bits")).groupBy("id").agg(F.bit_or("bits").alias("bits"))
+    dense = only.sparkSession.range(MARK_WORDS).join(held, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    bitmap = dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda x: x["bits"]).alias("_bitmap"))
+    return rows.filter(F.getbit(F.get(bitmap.scalar(), word), bit) == 1)
+
+
 def document_frequency(post: DataFrame) -> DataFrame:
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 

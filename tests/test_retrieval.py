@@ -81,3 +81,20 @@ def test_queries_that_share_a_name_make_no_profile_of_it(spark):
     q = spark.createDataFrame([(f"PGM{i:03}.{k}", f"PGM{i:03}.{k} summary batch") for i in range(100) for k in range(5)], "q string, text string")
     _, of = r.profiled(q, "q", "text")
     assert [tuple(x) for x in of.groupBy("_profile").count().collect()] == [("BATCH SUMMARY", 500)]
+
+
+def test_postings_of_the_terms_looked_for(spark, monkeypatch):
+    """A bitmap of one word leaves terms that were not looked for; the counts are those of all postings."""
+    docs = spark.createDataFrame([(1, "Pay pay PAY-1 straße 9abc ab"), (2, ""), (3, "x yy YY zz"), (4, "pay " * 500 + "other")], "id int, text string")
+    only = spark.createDataFrame([("PAY",), ("YY",), ("ABC",), ("NONE",)], "term string")
+    every = {tuple(x) for x in r.postings(docs, "id", "text").filter("term in ('PAY', 'YY', 'ABC')").collect()}
+    for words in (1, r.MARK_WORDS):
+        monkeypatch.setattr(r, "MARK_WORDS", words)
+        assert {tuple(x) for x in r.postings(docs, "id", "text", only=only).collect()} == every
+    assert (4, "PAY", 500, 501) in every and (1, "PAY", 2, 6) in every
+
+
+def test_terms_not_looked_for_are_dropped_before_a_shuffle(spark):
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(1000)], "id int, term string")
+    left = {x.id for x in r.marked(docs, "term", docs.filter("id < 10").select("term")).collect()}
+    assert set(range(10)) <= left and len(left) < 15
