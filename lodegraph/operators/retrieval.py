@@ -101,18 +101,21 @@ def profiled(queries: DataFrame, query: str, text: str, few: int = FEW_QUERIES)
 def best(weighted: DataFrame, queries: DataFrame, query: str, text: str, key: str, k: int, few: int = FEW_QUERIES) -> DataFrame:
     """(query, key, score, rank): the k best keys of each query by the sum of the weights of its terms.
 
-    weighted: key, term, weight, none below zero. Queries with the same terms among those that more than
-    `few` queries have are one profile. Documents are scored once per profile, and per query only where they
+    weighted: key, term, weight, none below zero. Queries with the same terms are ranked as one query. Queries
+    with the same terms among those that more than `few` of these have are one profile. Documents are scored once per profile, and per query only where they
     hold one of its other terms: another document can be among the k best of a query only if it is among
     those of its profile, as other terms never lower a score. Pairs of every query with every document are
     not built, and terms that a few queries share make no profiles."""
-    q, of = profiled(queries, query, text, few)
+    sets = query_terms(queries, query, text).distinct().groupBy(query).agg(F.array_join(F.array_sort(F.collect_list("term")), " ").alias("_set"))
+    sets = cut(sets)
+    q, of = profiled(sets.select("_set").distinct(), "_set", "_set", few)
     terms_of = of.select("_profile").distinct().select("_profile", F.explode(F.split("_profile", " ")).alias("term"))
     common = cut(terms_of.join(weighted, "term").groupBy("_profile", key).agg(F.sum("weight").alias("score")))
-    own = q.filter("not _many").join(weighted, "term").groupBy(query, key).agg(F.sum("weight").alias("_own"))
-    held = own.join(of, query).join(common, ["_profile", key], "left").select(query, key, (F.col("_own") + F.coalesce("score", F.lit(0.0))).alias("score"))
-    led = top_k(common, "_profile", key, k).join(of, "_profile").select(query, key, "score")
-    return top_k(held.unionByName(led).groupBy(query, key).agg(F.max("score").alias("score")), query, key, k)
+    own = q.filter("not _many").join(weighted, "term").groupBy("_set", key).agg(F.sum("weight").alias("_own"))
+    held = own.join(of, "_set").join(common, ["_profile", key], "left").select("_set", key, (F.col("_own") + F.coalesce("score", F.lit(0.0))).alias("score"))
+    led = top_k(common, "_profile", key, k).join(of, "_profile").select("_set", key, "score")
+    ranked = top_k(held.unionByName(led).groupBy("_set", key).agg(F.max("score").alias("score")), "_set", key, k)
+    return ranked.join(sets, "_set").select(query, key, "score", "rank")
 
 
 def top_k(scored: DataFrame, query: str, key: str, k: int, score: str = "score") -> DataFrame:

@@ -83,6 +83,23 @@ def test_queries_that_share_a_name_make_no_profile_of_it(spark):
     assert [tuple(x) for x in of.groupBy("_profile").count().collect()] == [("BATCH SUMMARY", 500)]
 
 
+def test_queries_of_equal_terms_are_ranked_once(spark, monkeypatch):
+    """40 copies of 50 programs: a name is a term of 40 queries, but of one set of terms, so it makes no profile."""
+    q = spark.createDataFrame([(f"P{i:02}.{k}", f"P{i:02}.{k} summary batch") for i in range(50) for k in range(40)], "q string, text string")
+    weighted = spark.createDataFrame([(d, t, 1.0) for d in range(50) for t in ("SUMMARY", "BATCH", f"P{d:02}")], "id int, term string, weight double")
+    profiles, profiled = [], r.profiled
+
+    def seen(*args):
+        q, of = profiled(*args)
+        profiles.extend(x["_profile"] for x in of.select("_profile").distinct().collect())
+        return q, of
+
+    monkeypatch.setattr(r, "profiled", seen)
+    rows = r.best(weighted, q, "q", "text", "id", 2).collect()
+    assert profiles == ["BATCH SUMMARY"]
+    assert {(x.q, x["rank"]): (x.id, x.score) for x in rows} == {(f"P{i:02}.{k}", n + 1): ((i, 3.0), (int(i == 0), 2.0))[n] for i in range(50) for k in range(40) for n in range(2)}
+
+
 def test_postings_of_the_terms_looked_for(spark, monkeypatch):
     """A bitmap of one word leaves terms that were not looked for; the counts are those of all postings."""
     docs = spark.createDataFrame([(1, "Pay pay PAY-1 straße 9abc ab"), (2, ""), (3, "x yy YY zz"), (4, "pay " * 500 + "other")], "id int, text string")
