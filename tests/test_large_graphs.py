@@ -42,3 +42,12 @@ def test_dj_edges_of_a_large_graph(chain):
 
 def test_loops_of_a_large_graph(chain):
     assert [tuple(r) for r in fg.loops(chain).collect()] == [("P", f"{N - 1:07}", 1, 2)]
+
+
+def test_edge_kinds_from_one_search(spark, sf):
+    from lodegraph.plans import flowgraphs
+
+    got = flowgraphs.edge_classification(spark, sf)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") == 1
+    e = flowgraphs.program_graphs(spark, sf)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, fg.classify_edges(e, fg.dfs_table(e)).collect()))
