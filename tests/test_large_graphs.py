@@ -1,5 +1,8 @@
 """Flow graphs of more edges than were accepted before (200,000)."""
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +54,29 @@ def test_edge_kinds_from_one_search(spark, sf):
     assert got._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") == 1
     e = flowgraphs.program_graphs(spark, sf)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, fg.classify_edges(e, fg.dfs_table(e)).collect()))
+
+
+def nested(n):
+    """0 > 1 > ... > n, and from n back to each: n + 1 loops, one within the other."""
+    name = [f"{i:06}" for i in range(n + 1)]
+    return {x: [name[i + 1]] if i < n else name for i, x in enumerate(name)}, name
+
+
+def quick(f, *args):
+    """f's result; time that grows with the square of the loops would be over 10 seconds."""
+    began = time.process_time()
+    out = f(*args)
+    assert time.process_time() - began < 10
+    return out
+
+
+def graphs(n=400):
+    rnd = random.Random(9)
+    for _ in range(n):
+        names = [f"n{i:02}" for i in range(rnd.randint(1, 9))]
+        yield {x: sorted(rnd.sample(names, min(len(names), rnd.choice([0, 1, 1, 2, 2, 3])))) for x in names}, names[0]
+
+
+def test_limit_of_nested_loops():
+    g, name = nested(20_000)
+    assert quick(fg.limit_graph, g, name[0]) == 1
