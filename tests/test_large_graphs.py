@@ -80,3 +80,17 @@ def graphs(n=400):
 def test_limit_of_nested_loops():
     g, name = nested(20_000)
     assert quick(fg.limit_graph, g, name[0]) == 1
+
+
+def test_dominators_of_nested_loops():
+    g, name = nested(40_000)
+    assert quick(fg.dominators, g, name[0]) == {x: name[i - 1] if i else None for i, x in enumerate(name)}
+
+
+def test_dominators_by_what_is_cut_off():
+    """A node dominates what the root does not reach without it; the nearest has all others above it."""
+    for g, root in graphs():
+        live = set(fg.depth_first(g, root))
+        lost = {d: live - set(fg.depth_first({k: [x for x in v if x != d] for k, v in g.items() if k != d}, root)) - {d} if d != root else live - {root} for d in live}
+        want = {n: max((d for d in live if n in lost[d]), key=lambda d: sum(d in x for x in lost.values()), default=None) for n in live}
+        assert fg.dominators(g, root) == want
