@@ -94,3 +94,13 @@ def test_dominators_by_what_is_cut_off():
         lost = {d: live - set(fg.depth_first({k: [x for x in v if x != d] for k, v in g.items() if k != d}, root)) - {d} if d != root else live - {root} for d in live}
         want = {n: max((d for d in live if n in lost[d]), key=lambda d: sum(d in x for x in lost.values()), default=None) for n in live}
         assert fg.dominators(g, root) == want
+
+
+def test_sizes_of_nested_loops():
+    g, name = nested(20_000)
+    assert quick(fg.loop_sizes, g, name[0]) == {x: (1, len(name) - i) for i, x in enumerate(name)}
+
+
+def test_sizes_of_loops_are_those_of_their_bodies():
+    for g, root in graphs():
+        assert fg.loop_sizes(g, root) == {h: (len(ts), len(body)) for h, (ts, body) in fg.natural_loops(g, root).items()}
